@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+Every survey table is rebuilt as a whole by a batch job (truncate and
+replace); there are no event streams, watermarks or stateful operators to
+express.  The package exists so the layout stays uniform; a continuous
+variant would run the same builders inside ``foreachBatch``.
+"""
