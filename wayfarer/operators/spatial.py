@@ -34,7 +34,9 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_CELL_SIZE = 0.05
+DEFAULT_CELL_SIZE = "auto"
+CELLS_PER_ZONE_SIDE = 8          # auto: cell side = median zone extent / this
+MAX_CELLS = 4_000_000            # auto: coarsen until the cover has at most this many cells
 DEFAULT_MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 _CONF_MAX_BROADCAST = "wayfarer.spatial.maxBroadcastBytes"
 _SLACK = 1e-9          # relative padding of cell boxes when clipping edges
@@ -98,10 +100,39 @@ def on_boundary(edges: Column, px: Column, py: Column) -> Column:
 
 
 # ---------------------------------------------------------------- index
+def _auto_cell_size(z: DataFrame) -> float:
+    """Cell side from the zones' own extents (one small aggregate over the zone table).
+
+    About ``CELLS_PER_ZONE_SIDE`` cells across a median zone, so most cells of
+    a zone are interior (no edge test); coarsened if the cover would exceed
+    ``MAX_CELLS`` cells.
+    """
+    ext = F.greatest(F.col("_maxx") - F.col("_minx"), F.col("_maxy") - F.col("_miny"))
+    row = z.agg(F.percentile_approx(ext, 0.5).alias("med"),
+                F.sum((F.col("_maxx") - F.col("_minx")) * (F.col("_maxy") - F.col("_miny"))).alias("area"),
+                F.sum(F.col("_maxx") - F.col("_minx") + F.col("_maxy") - F.col("_miny")).alias("perim"),
+                F.count(F.lit(1)).alias("n")).first()
+    if not row or not row["med"]:
+        return 1.0
+    G = float(row["med"]) / CELLS_PER_ZONE_SIDE
+    # cells ~ area/G^2 + perimeter/G + n ; grow G until under the cap
+    while (row["area"] / G ** 2 + row["perim"] / G + row["n"]) > MAX_CELLS:
+        G *= 1.5
+    return G
+
+
+_STATS: dict = {}   # stats_key -> (cell size, measured index bytes)
+
+
 def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str = "geometry",
-                     cell_size: float = DEFAULT_CELL_SIZE, max_broadcast_bytes: int | None = None) -> ZoneIndex:
-    """Grid index of ``zones``; ``attrs`` are carried to every match."""
-    G = float(cell_size)
+                     cell_size: float | str = DEFAULT_CELL_SIZE,
+                     max_broadcast_bytes: int | None = None, stats_key=None) -> ZoneIndex:
+    """Grid index of ``zones``; ``attrs`` are carried to every match.
+
+    ``stats_key`` (e.g. the zone table's path) memoises the two measurements
+    (cell size, index bytes) for a zone table that does not change, so
+    repeated builds skip the two small measuring jobs.
+    """
     attrs = [id_col, *[a for a in attrs if a != id_col]]
     spark = zones.sparkSession
 
@@ -113,6 +144,10 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
         F.array_min(F.transform("_e", lambda e: F.least(e["y1"], e["y2"]))).alias("_miny"),
         F.array_max(F.transform("_e", lambda e: F.greatest(e["y1"], e["y2"]))).alias("_maxy"),
     ).where(F.size("_e") > 0)
+    if stats_key is not None and stats_key in _STATS:
+        G, est = _STATS[stats_key]
+    else:
+        G, est = (_auto_cell_size(z) if cell_size == "auto" else float(cell_size)), None
 
     cells = (z
              .withColumn("cx", F.explode(F.sequence(F.floor(F.col("_minx") / G), F.floor(F.col("_maxx") / G))))
@@ -146,9 +181,12 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
 
     if max_broadcast_bytes is None:
         max_broadcast_bytes = int(spark.conf.get(_CONF_MAX_BROADCAST, str(DEFAULT_MAX_BROADCAST_BYTES)))
-    # size check: one small aggregate over the zone table
-    est = index.agg(F.coalesce(F.sum(F.col("_bytes") + 24), F.lit(0))).first()[0]
-    return ZoneIndex(index.drop("_bytes"), G, attrs, int(est), int(est) <= max_broadcast_bytes)
+    if est is None:
+        # size check: one small aggregate over the zone table
+        est = int(index.agg(F.coalesce(F.sum(F.col("_bytes") + 24), F.lit(0))).first()[0])
+        if stats_key is not None:
+            _STATS[stats_key] = (G, est)
+    return ZoneIndex(index.drop("_bytes"), G, attrs, est, est <= max_broadcast_bytes)
 
 
 # ---------------------------------------------------------------- lookups

@@ -34,7 +34,8 @@ class Inputs:
 
     def zone_index(self, version: str):
         if version not in self._zones:
-            self._zones[version] = zones.zone_index(zones.load_zones(self.spark, self.sf_dir, version))
+            self._zones[version] = zones.zone_index(zones.load_zones(self.spark, self.sf_dir, version),
+                                                    stats_key=(self.sf_dir, version))
         return self._zones[version]
 
     @property

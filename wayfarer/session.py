@@ -20,6 +20,12 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.driver.memory": "8g",
+    # Generated methods above HotSpot's 8000-byte limit are never JIT-compiled;
+    # the wide survey projections hit it.  Fall back to the (JIT-compiled)
+    # iterator code for such stages, and let the JIT compile huge methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

@@ -25,6 +25,7 @@ class Relation:
     columns: tuple                  # ((name, type, expr), ...)
     join: tuple | None = None       # (other_table, left_key, right_key)
     where: str | None = None
+    spread: bool = False            # fact table: spread rows over all cores after the scan
 
 
 def _seg(key: str) -> str:
@@ -263,11 +264,12 @@ RELATIONS: dict[str, Relation] = {
     for r in [
         Relation("core_hh", "customer", tuple(_CORE_HH)),
         Relation("followon_hh", "customer", (("hh_id", "bigint", "c_custkey"),), where="c_custkey % 4 = 0"),
-        Relation("core_person", "orders", tuple(_CORE_PERSON)),
-        Relation("core_trip", "lineitem", tuple(_CORE_TRIP), join=("orders", "l_orderkey", "o_orderkey")),
+        Relation("core_person", "orders", tuple(_CORE_PERSON), spread=True),
+        Relation("core_trip", "lineitem", tuple(_CORE_TRIP), join=("orders", "l_orderkey", "o_orderkey"),
+                 spread=True),
         Relation("trip_linked_src", "lineitem", tuple(_TRIP_LINKED_SRC),
-                 join=("orders", "l_orderkey", "o_orderkey"), where="l_linenumber <= 4"),
-        Relation("core_day", "events", tuple(_CORE_DAY)),
+                 join=("orders", "l_orderkey", "o_orderkey"), where="l_linenumber <= 4", spread=True),
+        Relation("core_day", "events", tuple(_CORE_DAY), spread=True),
         Relation("core_vehicle", "part", tuple(_CORE_VEHICLE)),
         Relation("taz_v3", "nation", tuple(_TAZ_V3)),
         Relation("taz_v4", "part", tuple(_TAZ_V4), where="p_partkey < 200"),
@@ -279,12 +281,32 @@ def _select_exprs(rel: Relation) -> list[str]:
     return [f"CAST({expr} AS {typ}) AS {name}" for name, typ, expr in rel.columns]
 
 
+SPREAD_CONF = "wayfarer.source.spreadPartitions"
+
+
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Round-robin the scanned rows over ``n`` partitions when the scan yields fewer.
+
+    The test files hold one parquet row group each, so a scan is one task;
+    without this every narrow operator downstream (zone lookups, recodes)
+    would run on one core.  Round-robin is skew-free and deterministic on
+    retry (rows are sorted locally first).  Real tables come in many splits
+    and are left alone.
+    """
+    n = int(spark.conf.get(SPREAD_CONF, str(spark.sparkContext.defaultParallelism)))
+    if n > 1 and df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark DataFrame for one survey relation over the star tables in ``sf_dir``."""
     rel = RELATIONS[name]
     df = spark.read.parquet(f"{sf_dir}/{rel.base}.parquet")
     if rel.where:
         df = df.where(rel.where)
+    if rel.spread:
+        df = _spread(spark, df)
     if rel.join:
         other, lk, rk = rel.join
         df = df.join(spark.read.parquet(f"{sf_dir}/{other}.parquet"), F.col(lk) == F.col(rk), "inner")
