@@ -47,6 +47,88 @@ def previous_value(df: DataFrame, value: Column, partition: Sequence[str], order
     return df.withColumn(alias, F.lag(value, 1).over(w))
 
 
+def _estimated_rows(df: DataFrame) -> float:
+    """Row estimate from the optimizer's statistics (bytes / row width), no job."""
+    qe = df._jdf.queryExecution()
+    stats = qe.optimizedPlan().stats()
+    rows = stats.rowCount()
+    if rows.isDefined():
+        return float(str(rows.get()))
+    width = max(1, sum(8 if t in ("bigint", "double", "timestamp") else 4 for _, t in df.dtypes))
+    return float(str(stats.sizeInBytes())) / width
+
+
+def _bucket_of(key: Column, bounds: list) -> Column:
+    """Index of the range holding ``key``: number of bounds <= key (balanced CASE tree).
+
+    ``bounds`` are sorted struct literals; the tree has depth log2(len), and
+    is a plain expression, so it stays inside whole-stage codegen.
+    """
+    def tree(lo: int, hi: int) -> Column:          # bucket in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2                      # first bucket of the upper half
+        return F.when(key < bounds[mid - 1], tree(lo, mid - 1)).otherwise(tree(mid, hi))
+    return tree(0, len(bounds))
+
+
+def previous_value_balanced(df: DataFrame, value: Column, partition: str, order: Sequence[str], alias: str,
+                            key_sample: DataFrame | None = None, buckets: int | None = None,
+                            sample_per_bucket: int = 32, seed: int = 17) -> DataFrame:
+    """LAG(value) over (PARTITION BY partition ORDER BY order ASC) that splits hot partitions.
+
+    A plain window sends every row of one ``partition`` value to one task; a
+    value holding a third of the table would be a third of the job in one
+    task.  Here the global order (partition, *order) is cut into ``buckets``
+    contiguous ranges from a bounded key sample, the window runs per
+    (range, partition) - so a hot value is spread over many tasks - and the
+    first row of each piece takes its predecessor from the last row of the
+    nearest earlier non-empty range (a table with one row per range, which
+    is what gets broadcast).
+
+    ``key_sample``: where to sample the keys (defaults to ``df``; pass the
+    source table when ``df`` is expensive to recompute - any sample gives
+    correct results, a representative one gives balanced ranges).
+    ``order`` columns are ascending with NULLS FIRST (SQL default).
+    """
+    spark = df.sparkSession
+    keys = [partition] + [c for c in order if c != partition]
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n <= 1:
+        return previous_value(df, value, [partition], [F.col(c).asc() for c in order], alias)
+    src = (key_sample if key_sample is not None else df).select(*keys)
+    want = n * sample_per_bucket
+    # sampling fraction from the planner's size estimate (no counting job); the
+    # sample only shapes the ranges, so an estimate is enough, and the rows
+    # brought to the driver are capped either way
+    est_rows = _estimated_rows(src)
+    frac = 1.0 if est_rows <= want else want / est_rows
+    sample = sorted((tuple(r) for r in src.sample(False, frac, seed).limit(4 * want).collect()),
+                    key=lambda t: tuple((v is not None, v) for v in t))
+    if len(sample) < 2:
+        return previous_value(df, value, [partition], [F.col(c).asc() for c in order], alias)
+    step = max(1, len(sample) // n)
+    bounds_py = sorted({sample[i] for i in range(step, len(sample), step)},
+                       key=lambda t: tuple((v is not None, v) for v in t))
+    types = dict(src.dtypes)
+    bounds = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, b)]) for b in bounds_py]
+    key = F.struct(*[F.col(k) for k in keys])
+
+    b, first, val = "__bucket", "__first", "__val"
+    w = Window.partitionBy(b, partition).orderBy(*[F.col(c).asc() for c in order])
+    x = df.withColumns({b: _bucket_of(key, bounds), val: value})
+    x = x.withColumns({alias: F.lag(F.col(val), 1).over(w), first: F.lag(F.lit(1), 1).over(w).isNull()})
+
+    # last row (by the full order key) of every non-empty range, and for each
+    # range the last row of the nearest earlier non-empty one
+    last = x.groupBy(b).agg(F.max(F.struct(*[F.col(k) for k in keys], F.col(val).alias("v"))).alias("__last"))
+    prev = (last.withColumn("__prev", F.lag("__last").over(Window.orderBy(b)))
+            .select(F.col(b), F.col("__prev")[partition].alias("__pp"), F.col("__prev")["v"].alias("__pv")))
+    x = x.join(F.broadcast(prev), b, "left")
+    fixed = F.when(F.col(first) & F.col("__pp").eqNullSafe(F.col(partition)), F.col("__pv")).otherwise(F.col(alias))
+    return x.withColumn(alias, fixed).drop(b, first, val, "__pp", "__pv")
+
+
 def gap_since_previous(start: Column, prev_end: Column) -> Column:
     """start - previous end; negative -> -1; no previous (or missing time) -> 0."""
     gap = start - prev_end

@@ -227,12 +227,21 @@ def pa_swap(pairs: Sequence[tuple[str, str, str, str]], pa: str = "PA_AP") -> li
 ACTIVITY_ORDER = ("hh_id", "person_id", "trip_id")
 
 
-def with_activity_gap(df: DataFrame) -> DataFrame:
-    """previous arrival (per person, by hh, person, trip) and the gap to it."""
+def with_activity_gap(df: DataFrame, key_sample: DataFrame | None = None, balanced: bool = True) -> DataFrame:
+    """previous arrival (per person, by hh, person, trip) and the gap to it.
+
+    ``balanced`` (default) splits persons with very many trips over several
+    tasks (range-bucketed LAG); ``key_sample`` is a cheap table with the same
+    keys to draw the range bounds from (the trip source).
+    """
     arrive = minutes_after_midnight("arrive_hour", "arrive_minute")
     depart = minutes_after_midnight("depart_hour", "depart_minute")
-    df = rel.previous_value(df, arrive, ["person_id"], [F.col(c).asc() for c in ACTIVITY_ORDER],
-                            "lag_arrive_mam")
+    if balanced:
+        df = rel.previous_value_balanced(df, arrive, "person_id", list(ACTIVITY_ORDER), "lag_arrive_mam",
+                                         key_sample=key_sample)
+    else:
+        df = rel.previous_value(df, arrive, ["person_id"], [F.col(c).asc() for c in ACTIVITY_ORDER],
+                                "lag_arrive_mam")
     return df.withColumn("activ_dur", rel.gap_since_previous(depart, F.col("lag_arrive_mam")))
 
 
@@ -243,7 +252,7 @@ def build_trip_unlinked(core_trip: DataFrame, core_person: DataFrame,
     t = t.withColumn("PA_AP", R.direction_unlinked())
     t = t.withColumn("PURP7", R.purp7())
     passthrough = star_except(t, codes.TRIP_UNLINKED_DROP)
-    t = with_activity_gap(t)
+    t = with_activity_gap(t, key_sample=core_trip)
     college, other = R.weight_split("segment_type", "trip_weight_v2")
     return t.select(
         *passthrough,
