@@ -74,7 +74,8 @@ def _bucket_of(key: Column, bounds: list) -> Column:
 
 def previous_value_balanced(df: DataFrame, value: Column, partition: str, order: Sequence[str], alias: str,
                             key_sample: DataFrame | None = None, buckets: int | None = None,
-                            sample_per_bucket: int = 32, seed: int = 17) -> DataFrame:
+                            sample_per_bucket: int = 32, seed: int = 17,
+                            boundaries_from_sample: bool = False) -> DataFrame:
     """LAG(value) over (PARTITION BY partition ORDER BY order ASC) that splits hot partitions.
 
     A plain window sends every row of one ``partition`` value to one task; a
@@ -89,6 +90,11 @@ def previous_value_balanced(df: DataFrame, value: Column, partition: str, order:
     ``key_sample``: where to sample the keys (defaults to ``df``; pass the
     source table when ``df`` is expensive to recompute - any sample gives
     correct results, a representative one gives balanced ranges).
+    ``boundaries_from_sample``: take each range's last row from ``key_sample``
+    instead of ``df`` (saves recomputing ``df``); exact when every row of
+    ``df`` comes from a ``key_sample`` row with the same keys and value and
+    every ``key_sample`` row appears in ``df`` (e.g. ``df`` is ``key_sample``
+    after left lookups).
     ``order`` columns are ascending with NULLS FIRST (SQL default).
     """
     spark = df.sparkSession
@@ -103,8 +109,14 @@ def previous_value_balanced(df: DataFrame, value: Column, partition: str, order:
     # brought to the driver are capped either way
     est_rows = _estimated_rows(src)
     frac = 1.0 if est_rows <= want else want / est_rows
-    sample = sorted((tuple(r) for r in src.sample(False, frac, seed).limit(4 * want).collect()),
-                    key=lambda t: tuple((v is not None, v) for v in t))
+    rows = src.sample(False, frac, seed).limit(4 * want).collect()
+    if len(rows) < want // 4 and frac < 1.0:
+        # the estimate was far off (joins without statistics multiply sizes):
+        # count once and draw again
+        total = src.count()
+        frac = 1.0 if total <= want else want / total
+        rows = src.sample(False, frac, seed).limit(4 * want).collect()
+    sample = sorted((tuple(r) for r in rows), key=lambda t: tuple((v is not None, v) for v in t))
     if len(sample) < 2:
         return previous_value(df, value, [partition], [F.col(c).asc() for c in order], alias)
     step = max(1, len(sample) // n)
@@ -116,12 +128,17 @@ def previous_value_balanced(df: DataFrame, value: Column, partition: str, order:
 
     b, first, val = "__bucket", "__first", "__val"
     w = Window.partitionBy(b, partition).orderBy(*[F.col(c).asc() for c in order])
-    x = df.withColumns({b: _bucket_of(key, bounds), val: value})
+    # explicit exchange on (range, partition): an upstream hash partitioning on
+    # ``partition`` alone would otherwise satisfy the window and keep a hot
+    # value in one task
+    x = df.withColumns({b: _bucket_of(key, bounds), val: value}).repartition(F.col(b), F.col(partition))
     x = x.withColumns({alias: F.lag(F.col(val), 1).over(w), first: F.lag(F.lit(1), 1).over(w).isNull()})
 
     # last row (by the full order key) of every non-empty range, and for each
     # range the last row of the nearest earlier non-empty one
-    last = x.groupBy(b).agg(F.max(F.struct(*[F.col(k) for k in keys], F.col(val).alias("v"))).alias("__last"))
+    base = (key_sample.withColumns({b: _bucket_of(key, bounds), val: value})
+            if boundaries_from_sample and key_sample is not None else x)
+    last = base.groupBy(b).agg(F.max(F.struct(*[F.col(k) for k in keys], F.col(val).alias("v"))).alias("__last"))
     prev = (last.withColumn("__prev", F.lag("__last").over(Window.orderBy(b)))
             .select(F.col(b), F.col("__prev")[partition].alias("__pp"), F.col("__prev")["v"].alias("__pv")))
     x = x.join(F.broadcast(prev), b, "left")

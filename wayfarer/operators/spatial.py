@@ -191,13 +191,21 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
 
 # ---------------------------------------------------------------- lookups
 def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex, tag: str) -> DataFrame:
+    """Left join each point's cell candidates as column ``__<tag>_zones``.
+
+    The index side is used unchanged (same plan for every lookup on it), so
+    several lookups against one zone table share one broadcast.
+    """
     G = index.cell_size
-    cx, cy, zs = f"__{tag}_cx", f"__{tag}_cy", f"__{tag}_zones"
-    cells = index.cells.select(F.col("cx").alias(cx), F.col("cy").alias(cy), F.col("zones").alias(zs))
+    zs = f"__{tag}_zones"
+    for c in ("__cx", "__cy", "__zones"):
+        if c in points.columns:
+            raise ValueError(f"reserved column {c} present")
+    cells = index.cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zones").alias("__zones"))
     if index.broadcast:
         cells = F.broadcast(cells)
-    pts = points.withColumns({cx: F.floor(F.col(lon) / G), cy: F.floor(F.col(lat) / G)})
-    return pts.join(cells, [cx, cy], "left").drop(cx, cy)
+    pts = points.withColumns({"__cx": F.floor(F.col(lon) / G), "__cy": F.floor(F.col(lat) / G)})
+    return pts.join(cells, ["__cx", "__cy"], "left").drop("__cx", "__cy").withColumnRenamed("__zones", zs)
 
 
 def _matches(zs: Column, px: Column, py: Column, predicate: str) -> Column:

@@ -238,7 +238,7 @@ def with_activity_gap(df: DataFrame, key_sample: DataFrame | None = None, balanc
     depart = minutes_after_midnight("depart_hour", "depart_minute")
     if balanced:
         df = rel.previous_value_balanced(df, arrive, "person_id", list(ACTIVITY_ORDER), "lag_arrive_mam",
-                                         key_sample=key_sample)
+                                         key_sample=key_sample, boundaries_from_sample=key_sample is not None)
     else:
         df = rel.previous_value(df, arrive, ["person_id"], [F.col(c).asc() for c in ACTIVITY_ORDER],
                                 "lag_arrive_mam")
