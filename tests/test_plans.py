@@ -21,8 +21,12 @@ def test_tables_have_no_forbidden_operators(spark, name):
 
 
 def test_activity_gap_is_one_window(spark):
+    """Both LAGs in one Window over (range, person); the second Window is the
+    one-row-per-range boundary repair."""
+    import re
     p = plan(E.queries()["activity_gap"](spark, SF))
-    assert p.count("Window [") == 1
+    assert p.count("Window [") == 2
+    assert len(re.findall(r"Window \[lag\(.*lag\(", p)) == 1
 
 
 def test_dedup_limits_before_shuffle(spark):

@@ -58,3 +58,7 @@ def test_balanced_lag_is_used_on_joined_fixture_input(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "__bucket" in p and p.count("Window [") == 2
     assert "hashpartitioning(__bucket" in p
+    # the person join and the window share the (range, person) partitioning:
+    # one exchange for the trips, one for the persons, none added for the window
+    import re
+    assert len(re.findall(r"hashpartitioning\(__bucket#\d+L?, person_id#\d+L?", p)) == 2

@@ -47,29 +47,96 @@ def previous_value(df: DataFrame, value: Column, partition: Sequence[str], order
     return df.withColumn(alias, F.lag(value, 1).over(w))
 
 
-def _estimated_rows(df: DataFrame) -> float:
-    """Row estimate from the optimizer's statistics (bytes / row width), no job."""
-    qe = df._jdf.queryExecution()
-    stats = qe.optimizedPlan().stats()
-    rows = stats.rowCount()
-    if rows.isDefined():
-        return float(str(rows.get()))
-    width = max(1, sum(8 if t in ("bigint", "double", "timestamp") else 4 for _, t in df.dtypes))
-    return float(str(stats.sizeInBytes())) / width
-
-
-def _bucket_of(key: Column, bounds: list) -> Column:
-    """Index of the range holding ``key``: number of bounds <= key (balanced CASE tree).
-
-    ``bounds`` are sorted struct literals; the tree has depth log2(len), and
-    is a plain expression, so it stays inside whole-stage codegen.
+def _null_first_key(t: tuple) -> tuple:
+    return tuple((v is not None, v) for v in t)
+
+
+class RangeBuckets:
+    """Contiguous ranges of a composite ascending key (NULLS FIRST), from a sample.
+
+    ``bucket()`` maps a row to its range index with a balanced CASE tree over
+    the bounds (depth log2(n), a plain codegen expression).  Used to spread a
+    hot leading-key value (one person with a third of all trips) over many
+    tasks while keeping each range contiguous in the key order.
     """
-    def tree(lo: int, hi: int) -> Column:          # bucket in [lo, hi]
+
+    def __init__(self, keys: Sequence[str], types: dict, bounds_py: list):
+        self.keys, self.types, self.bounds_py = list(keys), types, bounds_py
+        self.bounds = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(self.keys, b)])
+                       for b in bounds_py]
+
+    @property
+    def n(self) -> int:
+        return len(self.bounds) + 1
+
+    @classmethod
+    def from_sample(cls, df: DataFrame, keys: Sequence[str], buckets: int, per_bucket: int = 32,
+                    seed: int = 17) -> "RangeBuckets":
+        """Bounds from a uniform sample of ``buckets * per_bucket`` key rows.
+
+        One job: every task keeps its rows with the smallest random tags
+        (bounded top-k), the driver receives at most ``buckets * per_bucket``
+        rows.  The sample only shapes the ranges; results never depend on it.
+        """
+        src = df.select(*keys)
+        want = max(2, buckets * per_bucket)
+        rows = [tuple(r)[:len(keys)] for r in
+                src.withColumn("__tag", F.rand(seed)).orderBy("__tag").limit(want).collect()]
+        rows.sort(key=_null_first_key)
+        step = max(1, len(rows) // max(1, buckets))
+        bounds = sorted({rows[i] for i in range(step, len(rows), step)}, key=_null_first_key)
+        return cls(keys, dict(src.dtypes), bounds)
+
+    def _tree(self, key: Column, lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
-        mid = (lo + hi + 1) // 2                      # first bucket of the upper half
-        return F.when(key < bounds[mid - 1], tree(lo, mid - 1)).otherwise(tree(mid, hi))
-    return tree(0, len(bounds))
+        mid = (lo + hi + 1) // 2
+        return F.when(key < self.bounds[mid - 1], self._tree(key, lo, mid - 1)).otherwise(self._tree(key, mid, hi))
+
+    def bucket(self, cols: Sequence[Column] | None = None) -> Column:
+        cols = cols or [F.col(k) for k in self.keys]
+        key = F.struct(*[c.alias(k) for c, k in zip(cols, self.keys)])
+        return self._tree(key, 0, len(self.bounds))
+
+    def span(self, lead: str) -> Column:
+        """All ranges a row with leading key ``lead`` can fall in (array of ints)."""
+        lowest = [F.col(lead)] + [F.lit(None).cast(self.types[k]) for k in self.keys[1:]]
+        highest = [F.col(lead)] + [_max_of(self.types[k]) for k in self.keys[1:]]
+        return F.sequence(self.bucket(lowest), self.bucket(highest))
+
+
+def _max_of(typ: str) -> Column:
+    top = {"bigint": 2 ** 63 - 1, "int": 2 ** 31 - 1, "smallint": 2 ** 15 - 1, "tinyint": 127}
+    if typ in top:
+        return F.lit(top[typ]).cast(typ)
+    if typ == "double":
+        return F.lit(float("inf"))
+    raise TypeError(f"range bucket key of type {typ} needs a maximum")
+
+
+def lag_in_ranges(df: DataFrame, rb: RangeBuckets, bucket_col: str, value: Column, alias: str,
+                  boundary_rows: DataFrame) -> DataFrame:
+    """LAG(value) by ``rb.keys[0]`` ordered by the remaining keys, per range + repair.
+
+    ``df`` must carry ``bucket_col`` (= ``rb.bucket()``).  The window runs per
+    (range, leading key); the first row of each piece takes its predecessor
+    from the last row of the nearest earlier non-empty range, computed over
+    ``boundary_rows`` (rows with the same keys and value as ``df``; one row
+    per range is broadcast).
+    """
+    partition, order = rb.keys[0], rb.keys[1:]
+    first, val = "__first", "__val"
+    w = Window.partitionBy(bucket_col, partition).orderBy(*[F.col(c).asc() for c in order])
+    x = df.withColumn(val, value)
+    x = x.withColumns({alias: F.lag(F.col(val), 1).over(w), first: F.lag(F.lit(1), 1).over(w).isNull()})
+    base = boundary_rows.withColumns({bucket_col: rb.bucket(), val: value})
+    last = base.groupBy(bucket_col).agg(
+        F.max(F.struct(*[F.col(k) for k in rb.keys], F.col(val).alias("v"))).alias("__last"))
+    prev = (last.withColumn("__prev", F.lag("__last").over(Window.orderBy(bucket_col)))
+            .select(F.col(bucket_col), F.col("__prev")[partition].alias("__pp"), F.col("__prev")["v"].alias("__pv")))
+    x = x.join(F.broadcast(prev), bucket_col, "left")
+    fixed = F.when(F.col(first) & F.col("__pp").eqNullSafe(F.col(partition)), F.col("__pv")).otherwise(F.col(alias))
+    return x.withColumn(alias, fixed).drop(first, val, "__pp", "__pv")
 
 
 def previous_value_balanced(df: DataFrame, value: Column, partition: str, order: Sequence[str], alias: str,
@@ -80,70 +147,30 @@ def previous_value_balanced(df: DataFrame, value: Column, partition: str, order:
 
     A plain window sends every row of one ``partition`` value to one task; a
     value holding a third of the table would be a third of the job in one
-    task.  Here the global order (partition, *order) is cut into ``buckets``
-    contiguous ranges from a bounded key sample, the window runs per
-    (range, partition) - so a hot value is spread over many tasks - and the
-    first row of each piece takes its predecessor from the last row of the
-    nearest earlier non-empty range (a table with one row per range, which
-    is what gets broadcast).
-
-    ``key_sample``: where to sample the keys (defaults to ``df``; pass the
-    source table when ``df`` is expensive to recompute - any sample gives
-    correct results, a representative one gives balanced ranges).
+    task.  Here the global order (partition, *order) is cut into contiguous
+    ranges from a bounded key sample, rows are shuffled by (range, partition)
+    - a hot value lands in many tasks - and the window plus a one-row-per-range
+    repair give exactly the plain LAG.
+
+    ``key_sample``: where to sample the keys (default ``df``); any sample is
+    correct, a representative one balances the ranges.
     ``boundaries_from_sample``: take each range's last row from ``key_sample``
-    instead of ``df`` (saves recomputing ``df``); exact when every row of
-    ``df`` comes from a ``key_sample`` row with the same keys and value and
-    every ``key_sample`` row appears in ``df`` (e.g. ``df`` is ``key_sample``
-    after left lookups).
-    ``order`` columns are ascending with NULLS FIRST (SQL default).
+    (exact when ``df`` is ``key_sample`` after left lookups: same rows, maybe
+    repeated).  ``order`` is ascending with NULLS FIRST (SQL default).
     """
-    spark = df.sparkSession
     keys = [partition] + [c for c in order if c != partition]
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if n <= 1:
         return previous_value(df, value, [partition], [F.col(c).asc() for c in order], alias)
-    src = (key_sample if key_sample is not None else df).select(*keys)
-    want = n * sample_per_bucket
-    # sampling fraction from the planner's size estimate (no counting job); the
-    # sample only shapes the ranges, so an estimate is enough, and the rows
-    # brought to the driver are capped either way
-    est_rows = _estimated_rows(src)
-    frac = 1.0 if est_rows <= want else want / est_rows
-    rows = src.sample(False, frac, seed).limit(4 * want).collect()
-    if len(rows) < want // 4 and frac < 1.0:
-        # the estimate was far off (joins without statistics multiply sizes):
-        # count once and draw again
-        total = src.count()
-        frac = 1.0 if total <= want else want / total
-        rows = src.sample(False, frac, seed).limit(4 * want).collect()
-    sample = sorted((tuple(r) for r in rows), key=lambda t: tuple((v is not None, v) for v in t))
-    if len(sample) < 2:
-        return previous_value(df, value, [partition], [F.col(c).asc() for c in order], alias)
-    step = max(1, len(sample) // n)
-    bounds_py = sorted({sample[i] for i in range(step, len(sample), step)},
-                       key=lambda t: tuple((v is not None, v) for v in t))
-    types = dict(src.dtypes)
-    bounds = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, b)]) for b in bounds_py]
-    key = F.struct(*[F.col(k) for k in keys])
-
-    b, first, val = "__bucket", "__first", "__val"
-    w = Window.partitionBy(b, partition).orderBy(*[F.col(c).asc() for c in order])
+    src = key_sample if key_sample is not None else df
+    rb = RangeBuckets.from_sample(src, keys, n, sample_per_bucket, seed)
+    b = "__bucket"
     # explicit exchange on (range, partition): an upstream hash partitioning on
     # ``partition`` alone would otherwise satisfy the window and keep a hot
     # value in one task
-    x = df.withColumns({b: _bucket_of(key, bounds), val: value}).repartition(F.col(b), F.col(partition))
-    x = x.withColumns({alias: F.lag(F.col(val), 1).over(w), first: F.lag(F.lit(1), 1).over(w).isNull()})
-
-    # last row (by the full order key) of every non-empty range, and for each
-    # range the last row of the nearest earlier non-empty one
-    base = (key_sample.withColumns({b: _bucket_of(key, bounds), val: value})
-            if boundaries_from_sample and key_sample is not None else x)
-    last = base.groupBy(b).agg(F.max(F.struct(*[F.col(k) for k in keys], F.col(val).alias("v"))).alias("__last"))
-    prev = (last.withColumn("__prev", F.lag("__last").over(Window.orderBy(b)))
-            .select(F.col(b), F.col("__prev")[partition].alias("__pp"), F.col("__prev")["v"].alias("__pv")))
-    x = x.join(F.broadcast(prev), b, "left")
-    fixed = F.when(F.col(first) & F.col("__pp").eqNullSafe(F.col(partition)), F.col("__pv")).otherwise(F.col(alias))
-    return x.withColumn(alias, fixed).drop(b, first, val, "__pp", "__pv")
+    x = df.withColumn(b, rb.bucket()).repartition(F.col(b), F.col(partition))
+    out = lag_in_ranges(x, rb, b, value, alias, src if boundaries_from_sample else df)
+    return out.drop(b)
 
 
 def gap_since_previous(start: Column, prev_end: Column) -> Column:

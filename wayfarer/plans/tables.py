@@ -245,14 +245,37 @@ def with_activity_gap(df: DataFrame, key_sample: DataFrame | None = None, balanc
     return df.withColumn("activ_dur", rel.gap_since_previous(depart, F.col("lag_arrive_mam")))
 
 
+def person_lookup_in_ranges(core_trip: DataFrame, core_person: DataFrame, buckets: int | None = None):
+    """Trips left-joined to their person, shuffled once by (person range, person_id).
+
+    The trip order (person_id, hh_id, trip_id) is cut into contiguous ranges
+    (``RangeBuckets``); every trip goes to its range, every person row to each
+    range its trips can fall in (one range, or several for a person with very
+    many trips).  The join and the later per-person window both run on this
+    one partitioning, and a hot person is spread over many tasks.
+    Returns (joined DataFrame with ``__bucket``, the ranges).
+    """
+    n = buckets or int(core_trip.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rb = rel.RangeBuckets.from_sample(core_trip, ["person_id", "hh_id", "trip_id"], n)
+    b = "__bucket"
+    trips = core_trip.withColumn(b, rb.bucket()).repartition(F.col(b), F.col("person_id"))
+    persons = (core_person.select("person_id", "school_type").where(F.col("person_id").isNotNull())
+               .withColumn(b, F.explode(rb.span("person_id"))).repartition(F.col(b), F.col("person_id")))
+    return left_join_keep_order(trips, persons, [b, "person_id"]), rb
+
+
 def build_trip_unlinked(core_trip: DataFrame, core_person: DataFrame,
                         taz_v3: ZoneIndex, taz_v4: ZoneIndex) -> DataFrame:
-    t = left_join_keep_order(core_trip, core_person.select("person_id", "school_type"), ["person_id"])
+    t, rb = person_lookup_in_ranges(core_trip, core_person)
     t = trip_zones_unlinked(t, taz_v3, taz_v4)
     t = t.withColumn("PA_AP", R.direction_unlinked())
     t = t.withColumn("PURP7", R.purp7())
-    passthrough = star_except(t, codes.TRIP_UNLINKED_DROP)
-    t = with_activity_gap(t, key_sample=core_trip)
+    passthrough = star_except(t.drop("__bucket"), codes.TRIP_UNLINKED_DROP)
+    arrive = minutes_after_midnight("arrive_hour", "arrive_minute")
+    depart = minutes_after_midnight("depart_hour", "depart_minute")
+    # F2/F3 on the same (range, person) partitioning as the join: no new shuffle
+    t = rel.lag_in_ranges(t, rb, "__bucket", arrive, "lag_arrive_mam", boundary_rows=core_trip)
+    t = t.withColumn("activ_dur", rel.gap_since_previous(depart, F.col("lag_arrive_mam")))
     college, other = R.weight_split("segment_type", "trip_weight_v2")
     return t.select(
         *passthrough,
