@@ -54,3 +54,9 @@ def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() > 0 and df.columns == codes.TRIP_LINKED_COLS
+
+
+def test_config_from_env():
+    cfg = BuildConfig.from_env({"TARGET_DATASET": "/x/prd", "TABLE_PREFIX": "b_", "TABLE_SUFFIX": "_v2"})
+    assert cfg.location("hh") == "/x/prd/b_hh_v2"
+    assert BuildConfig.from_env({"TARGET_DATASET": "prd", "TARGET_CATALOG": "1"}).location("day") == "prd.day"

@@ -51,6 +51,14 @@ def _null_first_key(t: tuple) -> tuple:
     return tuple((v is not None, v) for v in t)
 
 
+MAX_BUCKETS = 4096
+
+
+def default_buckets(spark) -> int:
+    """Range count: the shuffle width, capped so the driver-side sample stays small."""
+    return min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 class RangeBuckets:
     """Contiguous ranges of a composite ascending key (NULLS FIRST), from a sample.
 
@@ -159,7 +167,7 @@ def previous_value_balanced(df: DataFrame, value: Column, partition: str, order:
     repeated).  ``order`` is ascending with NULLS FIRST (SQL default).
     """
     keys = [partition] + [c for c in order if c != partition]
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or default_buckets(df.sparkSession)
     if n <= 1:
         return previous_value(df, value, [partition], [F.col(c).asc() for c in order], alias)
     src = key_sample if key_sample is not None else df

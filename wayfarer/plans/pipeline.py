@@ -50,6 +50,20 @@ class BuildConfig:
     key_method: str = "uuid"         # surrogate key of linked trips: uuid | hash
     key_cols: Sequence[str] = ("linked_trip_id",)
 
+    @classmethod
+    def from_env(cls, env=None) -> "BuildConfig":
+        """Build settings from the environment, with defaults.
+
+        TARGET_DATASET (folder, or schema with TARGET_CATALOG=1), TABLE_PREFIX,
+        TABLE_SUFFIX, TABLE_FORMAT.
+        """
+        import os as _os
+        env = _os.environ if env is None else env
+        return cls(target=env.get("TARGET_DATASET", "survey_tables"),
+                   prefix=env.get("TABLE_PREFIX", ""), suffix=env.get("TABLE_SUFFIX", ""),
+                   format=env.get("TABLE_FORMAT", "parquet"),
+                   catalog=env.get("TARGET_CATALOG", "0") in ("1", "true", "yes"))
+
     def table_name(self, base: str) -> str:
         return f"{self.prefix}{base}{self.suffix}"
 
@@ -169,3 +183,27 @@ def run_pipeline(spark: SparkSession, sources: Sources, cfg: BuildConfig,
         result.written[t] = _write(builders[t](), cfg, t)
         log(f"done {t}")
     return result
+
+
+def main(argv=None) -> None:
+    """``python -m wayfarer.plans.pipeline SOURCE_DIR [TABLE ...]`` - rebuild the tables.
+
+    Sources are ``SOURCE_DIR/<name>.parquet``; the target comes from the
+    environment (``BuildConfig.from_env``).  The first missing input or failed
+    table stops the run.
+    """
+    import sys
+
+    from pyspark.sql import SparkSession
+
+    from ..session import apply_cluster_defaults
+    args = list(sys.argv[1:] if argv is None else argv)
+    if not args:
+        raise SystemExit(main.__doc__)
+    spark = SparkSession.builder.appName("wayfarer-build").getOrCreate()
+    apply_cluster_defaults(spark)
+    run_pipeline(spark, Sources.parquet_folder(spark, args[0]), BuildConfig.from_env(), tables=args[1:] or TABLE_ORDER)
+
+
+if __name__ == "__main__":
+    main()

@@ -255,7 +255,7 @@ def person_lookup_in_ranges(core_trip: DataFrame, core_person: DataFrame, bucket
     one partitioning, and a hot person is spread over many tasks.
     Returns (joined DataFrame with ``__bucket``, the ranges).
     """
-    n = buckets or int(core_trip.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or rel.default_buckets(core_trip.sparkSession)
     rb = rel.RangeBuckets.from_sample(core_trip, ["person_id", "hh_id", "trip_id"], n)
     b = "__bucket"
     trips = core_trip.withColumn(b, rb.bucket()).repartition(F.col(b), F.col("person_id"))

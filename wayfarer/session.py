@@ -54,3 +54,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A per-run path under the checkpoint folder for materialised tables."""
     return os.path.join(checkpoint_dir(spark), "wayfarer", f"{name}-{os.getpid()}-{os.urandom(4).hex()}")
+
+
+# Settings for a large cluster (set on the session when the cluster has not
+# set them).  AQE sizes shuffle partitions from runtime statistics (start
+# high, coalesce to ~256 MB), splits skewed join partitions, and picks
+# broadcasts only from measured sizes.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Set ``CLUSTER_DEFAULTS`` (and ``overrides``) for keys the session leaves at Spark's default."""
+    conf = spark.sparkContext.getConf()
+    for k, v in {**CLUSTER_DEFAULTS, **(overrides or {})}.items():
+        if not conf.contains(k):
+            spark.conf.set(k, v)
