@@ -175,8 +175,12 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
 
     entry = F.struct(*[F.col(a) for a in attrs], F.col("inside"), F.col("edges"))
     est_row = 48 + 16 * len(attrs)
+    # ``exact``: every candidate covers the whole cell, so any point of the cell
+    # is in all of them and the pick is known in advance (``first``)
     index = cells.groupBy("cx", "cy").agg(
         F.collect_list(entry).alias("zones"),
+        F.bool_and(F.size("edges") == 0).alias("exact"),
+        F.min(F.struct(*[F.col(a) for a in attrs])).alias("first"),
         F.sum(F.lit(est_row) + 32 * F.size("edges")).alias("_bytes"))
 
     if max_broadcast_bytes is None:
@@ -197,15 +201,18 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
     several lookups against one zone table share one broadcast.
     """
     G = index.cell_size
-    zs = f"__{tag}_zones"
-    for c in ("__cx", "__cy", "__zones"):
+    reserved = ("__cx", "__cy", "__zones", "__exact", "__first")
+    for c in reserved:
         if c in points.columns:
             raise ValueError(f"reserved column {c} present")
-    cells = index.cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zones").alias("__zones"))
+    cells = index.cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zones").alias("__zones"),
+                               F.col("exact").alias("__exact"), F.col("first").alias("__first"))
     if index.broadcast:
         cells = F.broadcast(cells)
     pts = points.withColumns({"__cx": F.floor(F.col(lon) / G), "__cy": F.floor(F.col(lat) / G)})
-    return pts.join(cells, ["__cx", "__cy"], "left").drop("__cx", "__cy").withColumnRenamed("__zones", zs)
+    return (pts.join(cells, ["__cx", "__cy"], "left").drop("__cx", "__cy")
+            .withColumnsRenamed({"__zones": f"__{tag}_zones", "__exact": f"__{tag}_exact",
+                                 "__first": f"__{tag}_first"}))
 
 
 def _matches(zs: Column, px: Column, py: Column, predicate: str) -> Column:
@@ -228,12 +235,14 @@ def assign_zone(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs
     from the same zone.  Rows are never added or removed.
     """
     tag = f"z{next(_ids)}"
-    zs = f"__{tag}_zones"
+    zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
     df = _attach_candidates(points, lon, lat, index, tag)
     picked = f"__{tag}_pick"
     hit = _matches(F.col(zs), F.col(lon), F.col(lat), predicate)
-    pick = F.array_min(F.transform(hit, lambda z: F.struct(*[z[a].alias(a) for a in index.attrs])))
-    df = df.withColumn(picked, pick).drop(zs)
+    tested = F.array_min(F.transform(hit, lambda z: F.struct(*[z[a].alias(a) for a in index.attrs])))
+    # cells wholly inside their candidates skip the per-point test (CASE is lazy)
+    pick = F.when(F.col(exact) & F.col(lon).isNotNull() & F.col(lat).isNotNull(), F.col(first)).otherwise(tested)
+    df = df.withColumn(picked, pick).drop(zs, exact, first)
     return df.withColumns({out: F.col(picked)[a] for a, out in outputs.items()}).drop(picked)
 
 
@@ -241,9 +250,9 @@ def join_zones(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs:
                predicate: str = "within") -> DataFrame:
     """Left join every matching zone: a point in two zones gives two rows, none gives NULLs."""
     tag = f"z{next(_ids)}"
-    zs = f"__{tag}_zones"
+    zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
     df = _attach_candidates(points, lon, lat, index, tag)
     one = f"__{tag}_one"
-    hit = _matches(F.col(zs), F.col(lon), F.col(lat), predicate)
+    hit = F.when(F.col(exact), F.col(zs)).otherwise(_matches(F.col(zs), F.col(lon), F.col(lat), predicate))
     df = df.withColumn(one, F.explode_outer(F.transform(hit, lambda z: F.struct(*[z[a].alias(a) for a in index.attrs]))))
-    return df.drop(zs).withColumns({out: F.col(one)[a] for a, out in outputs.items()}).drop(one)
+    return df.drop(zs, exact, first).withColumns({out: F.col(one)[a] for a, out in outputs.items()}).drop(one)
