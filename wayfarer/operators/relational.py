@@ -80,16 +80,20 @@ class RangeBuckets:
     @classmethod
     def from_sample(cls, df: DataFrame, keys: Sequence[str], buckets: int, per_bucket: int = 32,
                     seed: int = 17) -> "RangeBuckets":
-        """Bounds from a uniform sample of ``buckets * per_bucket`` key rows.
-
-        One job: every task keeps its rows with the smallest random tags
-        (bounded top-k), the driver receives at most ``buckets * per_bucket``
-        rows.  The sample only shapes the ranges; results never depend on it.
+        """Bounds from a uniform sample of about ``buckets * per_bucket`` key rows.
+
+        Two small jobs over the key columns: a count, then a Bernoulli sample
+        at the matching fraction, capped with ``limit`` so the driver never
+        receives more than ``4 * buckets * per_bucket`` rows whatever the
+        table size.  (A random top-k would ship k rows per input partition to
+        the driver.)  The sample only shapes the ranges; results never depend
+        on it.
         """
         src = df.select(*keys)
         want = max(2, buckets * per_bucket)
-        rows = [tuple(r)[:len(keys)] for r in
-                src.withColumn("__tag", F.rand(seed)).orderBy("__tag").limit(want).collect()]
+        total = src.count()
+        frac = 1.0 if total <= want else want / total
+        rows = [tuple(r) for r in src.sample(False, frac, seed).limit(4 * want).collect()]
         rows.sort(key=_null_first_key)
         step = max(1, len(rows) // max(1, buckets))
         bounds = sorted({rows[i] for i in range(step, len(rows), step)}, key=_null_first_key)
