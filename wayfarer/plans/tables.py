@@ -267,15 +267,16 @@ def person_lookup_in_ranges(core_trip: DataFrame, core_person: DataFrame, bucket
 def build_trip_unlinked(core_trip: DataFrame, core_person: DataFrame,
                         taz_v3: ZoneIndex, taz_v4: ZoneIndex) -> DataFrame:
     t, rb = person_lookup_in_ranges(core_trip, core_person)
-    t = trip_zones_unlinked(t, taz_v3, taz_v4)
-    t = t.withColumn("PA_AP", R.direction_unlinked())
-    t = t.withColumn("PURP7", R.purp7())
-    passthrough = star_except(t.drop("__bucket"), codes.TRIP_UNLINKED_DROP)
     arrive = minutes_after_midnight("arrive_hour", "arrive_minute")
     depart = minutes_after_midnight("depart_hour", "depart_minute")
     # F2/F3 on the same (range, person) partitioning as the join: no new shuffle
     t = rel.lag_in_ranges(t, rb, "__bucket", arrive, "lag_arrive_mam", boundary_rows=core_trip)
     t = t.withColumn("activ_dur", rel.gap_since_previous(depart, F.col("lag_arrive_mam")))
+    # zone lookups are row-local; after the window they stay out of its sort
+    t = trip_zones_unlinked(t, taz_v3, taz_v4)
+    t = t.withColumn("PA_AP", R.direction_unlinked())
+    t = t.withColumn("PURP7", R.purp7())
+    passthrough = star_except(t.drop("__bucket", "lag_arrive_mam", "activ_dur"), codes.TRIP_UNLINKED_DROP)
     college, other = R.weight_split("segment_type", "trip_weight_v2")
     return t.select(
         *passthrough,
