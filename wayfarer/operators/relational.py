@@ -185,6 +185,66 @@ def previous_value_balanced(df: DataFrame, value: Column, partition: str, order:
     return out.drop(b)
 
 
+HOT_KEY_ROWS_CONF = "wayfarer.skew.hotKeyRows"
+DEFAULT_HOT_KEY_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
+MAX_HOT_SALTS = 256
+
+
+class SaltedKeys:
+    """Salting of a many-to-one left join on composite keys (probe side skewed).
+
+    * Left rows with a NULL key can never match; they get a salt spread by a
+      row hash, so a mass of NULL keys is split over ``null_salts`` tasks.
+    * Hot keys - at least ``hot_rows`` left rows, found by one aggregate job,
+      at most ``MAX_HOT_KEYS`` of them brought to the driver - get a salt
+      spread over ``hot_salts`` tasks; the right rows of those keys are
+      copied once per salt value, all other right rows once.
+    The join then runs on (keys, salt) and returns exactly the unsalted join.
+    """
+
+    def __init__(self, keys: Sequence[str], hot: list, types: dict, null_salts: int, hot_salts: int):
+        self.keys, self.hot, self.null_salts, self.hot_salts = list(keys), hot, null_salts, hot_salts
+        self._hot_lits = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(self.keys, h)]) for h in hot]
+
+    @classmethod
+    def detect(cls, left: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> "SaltedKeys":
+        spark = left.sparkSession
+        hot_rows = hot_rows or int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
+        width = min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        k = left.select(*keys)
+        complete = None
+        for c in keys:
+            cond = F.col(c).isNotNull()
+            complete = cond if complete is None else complete & cond
+        hot = [tuple(r) for r in k.where(complete).groupBy(*keys).count().where(F.col("count") >= hot_rows)
+               .select(*keys).limit(MAX_HOT_KEYS).collect()]
+        return cls(keys, hot, dict(k.dtypes), width, min(width, MAX_HOT_SALTS))
+
+    def _any_null(self) -> Column:
+        out = None
+        for c in self.keys:
+            cond = F.col(c).isNull()
+            out = cond if out is None else out | cond
+        return out
+
+    def _is_hot(self) -> Column:
+        if not self.hot:
+            return F.lit(False)
+        return F.struct(*[F.col(k) for k in self.keys]).isin(*self._hot_lits)
+
+    def left_salt(self, row_hash: Column) -> Column:
+        return (F.when(self._any_null(), 1 + F.pmod(row_hash, F.lit(self.null_salts)))
+                .when(self._is_hot(), F.pmod(row_hash, F.lit(self.hot_salts)))
+                .otherwise(F.lit(0)).cast("int"))
+
+    def right_salts(self) -> Column:
+        """Array of salts per right row (explode it); NULL-key rows get -1 (they never match)."""
+        return (F.when(self._any_null(), F.array(F.lit(-1)))
+                .when(self._is_hot(), F.sequence(F.lit(0), F.lit(self.hot_salts - 1)))
+                .otherwise(F.array(F.lit(0))))
+
+
 def gap_since_previous(start: Column, prev_end: Column) -> Column:
     """start - previous end; negative -> -1; no previous (or missing time) -> 0."""
     gap = start - prev_end

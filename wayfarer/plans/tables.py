@@ -306,31 +306,44 @@ def build_trip_unlinked(core_trip: DataFrame, core_person: DataFrame,
 
 
 # ---------------------------------------------------------------- T6/T7 trip_linked
-def dedup_unlinked_trips(core_trip: DataFrame) -> DataFrame:
+def dedup_unlinked_trips(core_trip: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
     """One unlinked trip per match key (segment NULLS LAST, then trip_id).
 
     Rows that tie on (segment, trip_id) - repeated trip ids - are ordered by
     the attributes the match carries, so the kept row is deterministic.
+    ``extra_keys`` (a join salt) refine the groups without changing the kept row.
     """
     order = [F.col("segment_type").asc_nulls_last(), F.col("trip_id").asc()]
     order += [F.col(c).asc() for c in codes.GUARDED_TRIP_ATTRS]
-    return rel.dedup_first(core_trip, codes.TRIP_MATCH_KEYS, order)
+    return rel.dedup_first(core_trip, [*codes.TRIP_MATCH_KEYS, *extra_keys], order)
 
 
-def attach_unlinked(trips: DataFrame, core_trip: DataFrame) -> DataFrame:
-    """D3+C37: six-key left join to the de-duplicated unlinked trips, guarded attributes."""
-    u = dedup_unlinked_trips(core_trip)
-    u = u.select(*[F.col(k).alias(f"__u_{k}") for k in codes.TRIP_MATCH_KEYS],
+def attach_unlinked(trips: DataFrame, core_trip: DataFrame, row_id: Sequence[str] | None = None) -> DataFrame:
+    """D3+C37: six-key left join to the de-duplicated unlinked trips, guarded attributes.
+
+    Skew: linked trips with a NULL key (they never match) and linked trips on
+    a hot key are salted (``rel.SaltedKeys``); the unlinked side carries the
+    salt through its dedup window, so the window's partitioning on
+    (keys, salt) is also the join's and nothing is shuffled twice.
+    ``row_id``: columns identifying a linked trip (for the salt hash).
+    """
+    keys = codes.TRIP_MATCH_KEYS
+    salt = rel.SaltedKeys.detect(trips, keys)
+    row_id = list(row_id or (["linked_trip_id"] if "linked_trip_id" in trips.columns else trips.columns))
+    u = core_trip.withColumn("__salt", F.explode(salt.right_salts()))
+    u = dedup_unlinked_trips(u, ["__salt"])
+    u = u.select(*[F.col(k).alias(f"__u_{k}") for k in [*keys, "__salt"]],
                  *[F.col(c).alias(f"__u_{c}") for c in codes.GUARDED_TRIP_ATTRS])
+    t = trips.withColumn("__salt", salt.left_salt(F.xxhash64(*[F.col(c) for c in row_id])))
     cond = None
-    for k in codes.TRIP_MATCH_KEYS:
+    for k in [*keys, "__salt"]:
         c = F.col(k) == F.col(f"__u_{k}")
         cond = c if cond is None else cond & c
-    j = trips.join(u, cond, "left")
+    j = t.join(u, cond, "left")
     bad = "__bad"
     j = j.withColumn(bad, R.occupancy_mismatch("linked_trip_mode_t", "__u_num_travelers"))
     guarded = {c: F.when(F.col(bad), F.lit(None)).otherwise(F.col(f"__u_{c}")) for c in codes.GUARDED_TRIP_ATTRS}
-    return j.withColumns(guarded).drop(bad, *[f"__u_{k}" for k in codes.TRIP_MATCH_KEYS],
+    return j.withColumns(guarded).drop(bad, "__salt", *[f"__u_{k}" for k in [*keys, "__salt"]],
                                        *[f"__u_{c}" for c in codes.GUARDED_TRIP_ATTRS])
 
 
@@ -363,7 +376,7 @@ def build_trip_linked(trip_linked_with_uuid: DataFrame, core_trip: DataFrame,
     t = trip_zones_linked(src, taz_v3, taz_v4)
     t = t.select(*star_except(t, codes.TRIP_LINKED_DROP), F.col("trip_weight_new").alias("trip_weight"))
     t = linked_recodes(t)
-    t = attach_unlinked(t, core_trip)
+    t = attach_unlinked(t, core_trip, row_id=["unique_id"])
     t = t.select(
         "*",
         *pa_swap([("oCO_TAZID_USTMv3", "dCO_TAZID_USTMv3", "pCO_TAZID_USTMv3", "aCO_TAZID_USTMv3"),
