@@ -22,3 +22,20 @@ def duck():
 def test_query_matches_oracle(spark, duck, name):
     r = oracle_check.check(spark, duck, SF, name)
     assert r["ok"], r["problems"]
+
+
+@pytest.mark.parametrize("name", ["hh", "trip_unlinked", "zone_using_join"])
+def test_shuffled_zone_join_matches_oracle(spark, duck, name):
+    """Zone index over its broadcast limit: the lookup is a shuffled join on the cell."""
+    from wayfarer.operators import spatial
+    spatial._STATS.clear()
+    spark.conf.set("wayfarer.spatial.maxBroadcastBytes", "1")
+    try:
+        df = E.queries()[name](spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        r = oracle_check.check(spark, duck, SF, name)
+    finally:
+        spark.conf.unset("wayfarer.spatial.maxBroadcastBytes")
+        spatial._STATS.clear()
+    assert "BroadcastNestedLoopJoin" not in plan
+    assert r["ok"], r["problems"]

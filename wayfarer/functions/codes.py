@@ -99,6 +99,12 @@ GUARDED_TRIP_ATTRS = [
     "num_travelers", "num_hh_travelers", "num_non_hh_travelers", "driver",
 ]
 
+# Order of trips within a person for the previous-arrival lookup; the last
+# columns only break ties between rows that repeat a trip id.
+ACTIVITY_ORDER = ["hh_id", "person_id", "trip_id"]
+ACTIVITY_TIEBREAK = ["depart_hour", "depart_minute", "arrive_hour", "arrive_minute", "distance_miles",
+                     "trip_weight_v2", "speed_mph", "park_cost", "o_lon", "o_lat", "d_lon", "d_lat"]
+
 # Keys that pair a linked trip with an unlinked trip (and de-duplicate the latter).
 TRIP_MATCH_KEYS = ["hh_id", "person_id", "day_id", "depart_hour", "depart_minute", "depart_seconds"]
 

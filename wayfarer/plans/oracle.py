@@ -278,7 +278,9 @@ GUARDED_COLS = ", ".join(f"CASE WHEN {_BAD} THEN NULL ELSE u.{c} END AS {c}" for
 MATCH_ON = " AND ".join(f"l.{k} = u.{k}" for k in _KEYS)
 MODE_T = simple_case("linked_trip_mode", codes.LINKED_MODE_LABELS)
 
-ACTIVITY_WINDOW = "WINDOW w AS (PARTITION BY person_id ORDER BY hh_id NULLS FIRST, person_id NULLS FIRST, trip_id NULLS FIRST)"
+ACTIVITY_WINDOW = ("WINDOW w AS (PARTITION BY person_id ORDER BY "
+                   + ", ".join(f"{c} ASC NULLS FIRST" for c in [*codes.ACTIVITY_ORDER, *codes.ACTIVITY_TIEBREAK])
+                   + ")")
 LAG = "lag(arrive_hour * 60 + arrive_minute) OVER w"
 ACTIV_DUR = (f"CASE WHEN (depart_hour * 60 + depart_minute) - {LAG} < 0 THEN -1 "
              f"ELSE coalesce((depart_hour * 60 + depart_minute) - {LAG}, 0) END")

@@ -224,7 +224,7 @@ def pa_swap(pairs: Sequence[tuple[str, str, str, str]], pa: str = "PA_AP") -> li
 
 
 # ---------------------------------------------------------------- T5 trip_unlinked
-ACTIVITY_ORDER = ("hh_id", "person_id", "trip_id")
+ACTIVITY_ORDER = (*codes.ACTIVITY_ORDER, *codes.ACTIVITY_TIEBREAK)
 
 
 def with_activity_gap(df: DataFrame, key_sample: DataFrame | None = None, balanced: bool = True) -> DataFrame:
@@ -256,7 +256,7 @@ def person_lookup_in_ranges(core_trip: DataFrame, core_person: DataFrame, bucket
     Returns (joined DataFrame with ``__bucket``, the ranges).
     """
     n = buckets or rel.default_buckets(core_trip.sparkSession)
-    rb = rel.RangeBuckets.from_sample(core_trip, ["person_id", "hh_id", "trip_id"], n)
+    rb = rel.RangeBuckets.from_sample(core_trip, ["person_id", *[c for c in ACTIVITY_ORDER if c != "person_id"]], n)
     b = "__bucket"
     trips = core_trip.withColumn(b, rb.bucket()).repartition(F.col(b), F.col("person_id"))
     persons = (core_person.select("person_id", "school_type").where(F.col("person_id").isNotNull())
