@@ -318,7 +318,8 @@ def dedup_unlinked_trips(core_trip: DataFrame, extra_keys: Sequence[str] = ()) -
     return rel.dedup_first(core_trip, [*codes.TRIP_MATCH_KEYS, *extra_keys], order)
 
 
-def attach_unlinked(trips: DataFrame, core_trip: DataFrame, row_id: Sequence[str] | None = None) -> DataFrame:
+def attach_unlinked(trips: DataFrame, core_trip: DataFrame, row_id: Sequence[str] | None = None,
+                    key_source: DataFrame | None = None) -> DataFrame:
     """D3+C37: six-key left join to the de-duplicated unlinked trips, guarded attributes.
 
     Skew: linked trips with a NULL key (they never match) and linked trips on
@@ -326,9 +327,11 @@ def attach_unlinked(trips: DataFrame, core_trip: DataFrame, row_id: Sequence[str
     salt through its dedup window, so the window's partitioning on
     (keys, salt) is also the join's and nothing is shuffled twice.
     ``row_id``: columns identifying a linked trip (for the salt hash).
+    ``key_source``: a cheaper table with the same linked trips and keys to
+    count hot keys on (e.g. the source before zone lookups).
     """
     keys = codes.TRIP_MATCH_KEYS
-    salt = rel.SaltedKeys.detect(trips, keys)
+    salt = rel.SaltedKeys.detect(key_source if key_source is not None else trips, keys)
     row_id = list(row_id or (["linked_trip_id"] if "linked_trip_id" in trips.columns else trips.columns))
     u = core_trip.withColumn("__salt", F.explode(salt.right_salts()))
     u = dedup_unlinked_trips(u, ["__salt"])
@@ -376,7 +379,7 @@ def build_trip_linked(trip_linked_with_uuid: DataFrame, core_trip: DataFrame,
     t = trip_zones_linked(src, taz_v3, taz_v4)
     t = t.select(*star_except(t, codes.TRIP_LINKED_DROP), F.col("trip_weight_new").alias("trip_weight"))
     t = linked_recodes(t)
-    t = attach_unlinked(t, core_trip, row_id=["unique_id"])
+    t = attach_unlinked(t, core_trip, row_id=["unique_id"], key_source=src)
     t = t.select(
         "*",
         *pa_swap([("oCO_TAZID_USTMv3", "dCO_TAZID_USTMv3", "pCO_TAZID_USTMv3", "aCO_TAZID_USTMv3"),
