@@ -125,3 +125,22 @@ def test_index_is_broadcast_only_under_limit(spark, zones_df):
     plan = assign_zone(pts, "lon", "lat", capped, {"zid": "z"})._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert assign_zone(pts, "lon", "lat", capped, {"zid": "z"}).first().z == 1
+
+
+def test_lookups_on_one_index_share_its_broadcast(spark, zones_df):
+    """Two lookups on one index run no more jobs than one: the broadcast is reused."""
+    idx = build_zone_index(zones_df, "zid", ["attr"], cell_size=0.5)
+    pts = spark.createDataFrame([(float(i % 30), float(i % 4), float((i * 7) % 30), 0.5) for i in range(200)],
+                                "x1 double, y1 double, x2 double, y2 double")
+    sc = spark.sparkContext
+
+    def jobs(label, df):
+        sc.setJobGroup(label, label)
+        df.write.format("noop").mode("overwrite").save()
+        n = len(sc.statusTracker().getJobIdsForGroup(label))
+        sc.setJobGroup("", "")
+        return n
+    one = jobs("one-lookup", assign_zone(pts, "x1", "y1", idx, {"zid": "a"}))
+    two = jobs("two-lookups", assign_zone(assign_zone(pts, "x1", "y1", idx, {"zid": "a"}), "x2", "y2", idx,
+                                          {"zid": "b"}))
+    assert two == one

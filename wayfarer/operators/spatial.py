@@ -126,12 +126,16 @@ _STATS: dict = {}   # stats_key -> (cell size, measured index bytes)
 
 def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str = "geometry",
                      cell_size: float | str = DEFAULT_CELL_SIZE,
-                     max_broadcast_bytes: int | None = None, stats_key=None) -> ZoneIndex:
+                     max_broadcast_bytes: int | None = None, stats_key=None,
+                     materialize: bool = False) -> ZoneIndex:
     """Grid index of ``zones``; ``attrs`` are carried to every match.
 
     ``stats_key`` (e.g. the zone table's path) memoises the two measurements
     (cell size, index bytes) for a zone table that does not change, so
     repeated builds skip the two small measuring jobs.
+    ``materialize``: store the index with a reliable checkpoint in the
+    session's ``spark.checkpoint.dir`` (shared storage on a cluster), for an
+    index used by several queries.
     """
     attrs = [id_col, *[a for a in attrs if a != id_col]]
     spark = zones.sparkSession
@@ -183,6 +187,13 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
         F.min(F.struct(*[F.col(a) for a in attrs])).alias("first"),
         F.sum(F.lit(est_row) + 32 * F.size("edges")).alias("_bytes"))
 
+    if materialize:
+        # one small job: the index is computed once for all later queries
+        # (within one query, lookups on one index already share one
+        # broadcast: their exchanges are identical and Spark reuses them)
+        from ..session import checkpoint_dir
+        checkpoint_dir(spark)
+        index = index.checkpoint(eager=True)
     if max_broadcast_bytes is None:
         max_broadcast_bytes = int(spark.conf.get(_CONF_MAX_BROADCAST, str(DEFAULT_MAX_BROADCAST_BYTES)))
     if est is None:

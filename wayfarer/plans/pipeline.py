@@ -164,7 +164,7 @@ def run_pipeline(spark: SparkSession, sources: Sources, cfg: BuildConfig,
 
     def zone(v):
         if v not in idx:
-            idx[v] = zones.zone_index(sources(v))
+            idx[v] = zones.zone_index(sources(v), materialize=True)   # shared by three tables
         return idx[v]
 
     builders: dict[str, Callable[[], DataFrame]] = {

@@ -24,6 +24,8 @@ def load_zones(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return zones_from_quads(fixtures.load(spark, sf_dir, name))
 
 
-def zone_index(zones: DataFrame, cell_size: float | str = DEFAULT_CELL_SIZE, stats_key=None) -> ZoneIndex:
+def zone_index(zones: DataFrame, cell_size: float | str = DEFAULT_CELL_SIZE, stats_key=None,
+               materialize: bool = False) -> ZoneIndex:
     return build_zone_index(zones, "CO_TAZID", ZONE_ATTRS, "geometry", cell_size=cell_size,
-                            stats_key=None if stats_key is None else (stats_key, str(cell_size)))
+                            stats_key=None if stats_key is None else (stats_key, str(cell_size)),
+                            materialize=materialize)
