@@ -80,12 +80,17 @@ def test_salted_six_key_join_equals_plain(spark):
     spark.conf.set("wayfarer.skew.hotKeyRows", "1000000000")
     base = sorted(tuple(r) for r in _linked_join(spark, sf).select(*cols).collect())
     spark.conf.set("wayfarer.skew.hotKeyRows", "2")      # every repeated key counts as hot
+    spark.conf.set("wayfarer.skew.sampleFraction", "1.0")
     try:
+        from wayfarer.operators.relational import SaltedKeys
+        assert len(SaltedKeys.detect(spark.createDataFrame([(1, 2)] * 3 + [(3, 4)], "a long, b long"),
+                                     ["a", "b"]).hot) == 1
         df = _linked_join(spark, sf)
         salted = sorted(tuple(r) for r in df.select(*cols).collect())
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("wayfarer.skew.hotKeyRows")
+        spark.conf.unset("wayfarer.skew.sampleFraction")
     assert salted == base
     assert "__salt" in plan
     import re

@@ -187,6 +187,8 @@ def previous_value_balanced(df: DataFrame, value: Column, partition: str, order:
 
 HOT_KEY_ROWS_CONF = "wayfarer.skew.hotKeyRows"
 DEFAULT_HOT_KEY_ROWS = 1_000_000
+HOT_SAMPLE_CONF = "wayfarer.skew.sampleFraction"
+DEFAULT_HOT_SAMPLE = 0.01
 MAX_HOT_KEYS = 10_000
 MAX_HOT_SALTS = 256
 
@@ -196,10 +198,13 @@ class SaltedKeys:
 
     * Left rows with a NULL key can never match; they get a salt spread by a
       row hash, so a mass of NULL keys is split over ``null_salts`` tasks.
-    * Hot keys - at least ``hot_rows`` left rows, found by one aggregate job,
-      at most ``MAX_HOT_KEYS`` of them brought to the driver - get a salt
+    * Hot keys - about ``hot_rows`` left rows or more, counted on a Bernoulli
+      sample of the left keys (a key with a million rows appears ~10,000
+      times in a 1% sample; a full count of nearly unique keys would shuffle
+      them all), at most ``MAX_HOT_KEYS`` brought to the driver - get a salt
       spread over ``hot_salts`` tasks; the right rows of those keys are
-      copied once per salt value, all other right rows once.
+      copied once per salt value, all other right rows once.  Which keys are
+      salted only affects balance, never the result.
     The join then runs on (keys, salt) and returns exactly the unsalted join.
     """
 
@@ -211,13 +216,18 @@ class SaltedKeys:
     def detect(cls, left: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> "SaltedKeys":
         spark = left.sparkSession
         hot_rows = hot_rows or int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
+        frac = float(spark.conf.get(HOT_SAMPLE_CONF, str(DEFAULT_HOT_SAMPLE)))
         width = min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         k = left.select(*keys)
         complete = None
         for c in keys:
             cond = F.col(c).isNotNull()
             complete = cond if complete is None else complete & cond
-        hot = [tuple(r) for r in k.where(complete).groupBy(*keys).count().where(F.col("count") >= hot_rows)
+        sampled = k.where(complete)
+        if frac < 1.0:
+            sampled = sampled.sample(False, frac, 23)
+        need = max(2, int(hot_rows * frac / 2)) if frac < 1.0 else hot_rows
+        hot = [tuple(r) for r in sampled.groupBy(*keys).count().where(F.col("count") >= need)
                .select(*keys).limit(MAX_HOT_KEYS).collect()]
         return cls(keys, hot, dict(k.dtypes), width, min(width, MAX_HOT_SALTS))
 
