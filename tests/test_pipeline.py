@@ -60,3 +60,21 @@ def test_config_from_env():
     cfg = BuildConfig.from_env({"TARGET_DATASET": "/x/prd", "TABLE_PREFIX": "b_", "TABLE_SUFFIX": "_v2"})
     assert cfg.location("hh") == "/x/prd/b_hh_v2"
     assert BuildConfig.from_env({"TARGET_DATASET": "prd", "TARGET_CATALOG": "1"}).location("day") == "prd.day"
+
+
+def test_command_line_entry(spark, tmp_dir, monkeypatch):
+    from wayfarer.plans.pipeline import main
+    from wayfarer.sources import fixtures
+    src_dir = os.path.join(tmp_dir, "src")
+    fixtures.load(spark, SF, "core_vehicle").write.parquet(os.path.join(src_dir, "core_vehicle.parquet"))
+    out = os.path.join(tmp_dir, "prd")
+    monkeypatch.setenv("TARGET_DATASET", out)
+    monkeypatch.setenv("TABLE_SUFFIX", "_x")
+    main([src_dir, "vehicle"])
+    assert spark.read.parquet(os.path.join(out, "vehicle_x")).count() == 200
+
+
+def test_assert_unique_reports_repeated_keys(spark):
+    from wayfarer.operators.relational import assert_unique
+    df = spark.createDataFrame([(1,), (1,), (2,)], "person_id long")
+    assert [r.person_id for r in assert_unique(df, ["person_id"]).collect()] == [1]

@@ -261,16 +261,6 @@ def gap_since_previous(start: Column, prev_end: Column) -> Column:
     return F.when(gap < 0, -1).otherwise(F.coalesce(gap, F.lit(0)))
 
 
-def lookup_left(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left equi-join on ``keys``; key columns appear once.
-
-    NULL keys never match.  The planner chooses broadcast or sort-merge from
-    the measured sizes (AQE); a hot key on the left side is split by AQE's
-    skew-join handling, which supports left outer joins.
-    """
-    return df.join(other, list(keys), "left")
-
-
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose ``keys`` repeat (opt-in check; joins assume unique lookup keys)."""
     return df.groupBy(*keys).count().where(F.col("count") > 1)
