@@ -144,3 +144,12 @@ def test_lookups_on_one_index_share_its_broadcast(spark, zones_df):
     two = jobs("two-lookups", assign_zone(assign_zone(pts, "x1", "y1", idx, {"zid": "a"}), "x2", "y2", idx,
                                           {"zid": "b"}))
     assert two == one
+
+
+def test_out_of_range_coordinates(spark, zones_df):
+    idx = build_zone_index(zones_df, "zid", ["attr"], cell_size=0.5)
+    pts = spark.createDataFrame([(0.5, 0.5), (0.5, 95.0)], "lon double, lat double")
+    got = [r.z for r in assign_zone(pts, "lon", "lat", idx, {"zid": "z"}).collect()]
+    assert got == [1, None]
+    with pytest.raises(Exception, match="out of range"):
+        assign_zone(pts, "lon", "lat", idx, {"zid": "z"}, on_bad="raise").collect()

@@ -238,13 +238,27 @@ def _matches(zs: Column, px: Column, py: Column, predicate: str) -> Column:
     return F.filter(zs, lambda z: px.isNotNull() & py.isNotNull() & test(z))
 
 
+def _check_coordinates(points: DataFrame, lon: str, lat: str, on_bad: str) -> DataFrame:
+    """``on_bad="null"``: out-of-range points simply match nothing; ``"raise"``: fail the job."""
+    if on_bad == "null":
+        return points
+    if on_bad != "raise":
+        raise ValueError(f"on_bad must be 'null' or 'raise', not {on_bad!r}")
+    bad = (F.abs(F.col(lat)) > 90) | (F.abs(F.col(lon)) > 180)
+    return points.withColumn(lat, F.when(bad, F.raise_error(
+        F.concat(F.lit("coordinate out of range: "), F.col(lon).cast("string"), F.lit(", "),
+                 F.col(lat).cast("string")))).otherwise(F.col(lat)))
+
+
 def assign_zone(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs: dict,
-                predicate: str = "intersects") -> DataFrame:
+                predicate: str = "intersects", on_bad: str = "null") -> DataFrame:
     """Add one zone per point: the matching zone with the lowest id.
 
     ``outputs`` maps index attribute -> output column name.  All outputs come
-    from the same zone.  Rows are never added or removed.
+    from the same zone.  Rows are never added or removed.  ``on_bad``: what a
+    point outside |lat| <= 90, |lon| <= 180 does ("null": no zone; "raise").
     """
+    points = _check_coordinates(points, lon, lat, on_bad)
     tag = f"z{next(_ids)}"
     zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
     df = _attach_candidates(points, lon, lat, index, tag)
@@ -258,8 +272,9 @@ def assign_zone(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs
 
 
 def join_zones(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs: dict,
-               predicate: str = "within") -> DataFrame:
+               predicate: str = "within", on_bad: str = "null") -> DataFrame:
     """Left join every matching zone: a point in two zones gives two rows, none gives NULLs."""
+    points = _check_coordinates(points, lon, lat, on_bad)
     tag = f"z{next(_ids)}"
     zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
     df = _attach_candidates(points, lon, lat, index, tag)
