@@ -127,23 +127,28 @@ def _max_of(typ: str) -> Column:
 
 
 def lag_in_ranges(df: DataFrame, rb: RangeBuckets, bucket_col: str, value: Column, alias: str,
-                  boundary_rows: DataFrame) -> DataFrame:
-    """LAG(value) by ``rb.keys[0]`` ordered by the remaining keys, per range + repair.
-
-    ``df`` must carry ``bucket_col`` (= ``rb.bucket()``).  The window runs per
-    (range, leading key); the first row of each piece takes its predecessor
-    from the last row of the nearest earlier non-empty range, computed over
-    ``boundary_rows`` (rows with the same keys and value as ``df``; one row
-    per range is broadcast).
+                  boundary_rows: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """LAG(value) by ``rb.keys[0]`` ordered by ``order``, per range + repair.
+
+    ``df`` must carry ``bucket_col`` (= ``rb.bucket()``).  ``order`` (default
+    ``rb.keys[1:]``) must start with ``rb.keys[1:]``: the ranges are cut on
+    that prefix, so rows tying on it share a range and later columns only
+    order rows inside one range.  The window runs per (range, leading key);
+    the first row of each piece takes its predecessor from the last row of
+    the nearest earlier non-empty range, computed over ``boundary_rows`` (rows
+    with the same keys and value as ``df``; one row per range is broadcast).
     """
-    partition, order = rb.keys[0], rb.keys[1:]
+    partition = rb.keys[0]
+    order = list(order or rb.keys[1:])
+    if order[:len(rb.keys) - 1] != rb.keys[1:]:
+        raise ValueError("order must extend the range keys")
     first, val = "__first", "__val"
     w = Window.partitionBy(bucket_col, partition).orderBy(*[F.col(c).asc() for c in order])
     x = df.withColumn(val, value)
     x = x.withColumns({alias: F.lag(F.col(val), 1).over(w), first: F.lag(F.lit(1), 1).over(w).isNull()})
     base = boundary_rows.withColumns({bucket_col: rb.bucket(), val: value})
     last = base.groupBy(bucket_col).agg(
-        F.max(F.struct(*[F.col(k) for k in rb.keys], F.col(val).alias("v"))).alias("__last"))
+        F.max(F.struct(*[F.col(k) for k in [partition, *order]], F.col(val).alias("v"))).alias("__last"))
     prev = (last.withColumn("__prev", F.lag("__last").over(Window.orderBy(bucket_col)))
             .select(F.col(bucket_col), F.col("__prev")[partition].alias("__pp"), F.col("__prev")["v"].alias("__pv")))
     x = x.join(F.broadcast(prev), bucket_col, "left")
@@ -154,7 +159,7 @@ def lag_in_ranges(df: DataFrame, rb: RangeBuckets, bucket_col: str, value: Colum
 def previous_value_balanced(df: DataFrame, value: Column, partition: str, order: Sequence[str], alias: str,
                             key_sample: DataFrame | None = None, buckets: int | None = None,
                             sample_per_bucket: int = 32, seed: int = 17,
-                            boundaries_from_sample: bool = False) -> DataFrame:
+                            boundaries_from_sample: bool = False, range_keys: int | None = None) -> DataFrame:
     """LAG(value) over (PARTITION BY partition ORDER BY order ASC) that splits hot partitions.
 
     A plain window sends every row of one ``partition`` value to one task; a
@@ -169,19 +174,22 @@ def previous_value_balanced(df: DataFrame, value: Column, partition: str, order:
     ``boundaries_from_sample``: take each range's last row from ``key_sample``
     (exact when ``df`` is ``key_sample`` after left lookups: same rows, maybe
     repeated).  ``order`` is ascending with NULLS FIRST (SQL default).
+    ``range_keys``: cut the ranges on only the first this-many keys of
+    (partition, *order) - enough to split a hot value; later keys (tie
+    breakers) then only order rows inside a range.
     """
     keys = [partition] + [c for c in order if c != partition]
     n = buckets or default_buckets(df.sparkSession)
     if n <= 1:
         return previous_value(df, value, [partition], [F.col(c).asc() for c in order], alias)
     src = key_sample if key_sample is not None else df
-    rb = RangeBuckets.from_sample(src, keys, n, sample_per_bucket, seed)
+    rb = RangeBuckets.from_sample(src, keys[:range_keys or len(keys)], n, sample_per_bucket, seed)
     b = "__bucket"
     # explicit exchange on (range, partition): an upstream hash partitioning on
     # ``partition`` alone would otherwise satisfy the window and keep a hot
     # value in one task
     x = df.withColumn(b, rb.bucket()).repartition(F.col(b), F.col(partition))
-    out = lag_in_ranges(x, rb, b, value, alias, src if boundaries_from_sample else df)
+    out = lag_in_ranges(x, rb, b, value, alias, src if boundaries_from_sample else df, order=keys[1:])
     return out.drop(b)
 
 

@@ -225,6 +225,8 @@ def pa_swap(pairs: Sequence[tuple[str, str, str, str]], pa: str = "PA_AP") -> li
 
 # ---------------------------------------------------------------- T5 trip_unlinked
 ACTIVITY_ORDER = (*codes.ACTIVITY_ORDER, *codes.ACTIVITY_TIEBREAK)
+# person ranges are cut on (person, hh, trip); tie-breakers only order rows inside a range
+RANGE_KEYS = ("person_id", "hh_id", "trip_id")
 
 
 def with_activity_gap(df: DataFrame, key_sample: DataFrame | None = None, balanced: bool = True) -> DataFrame:
@@ -238,7 +240,8 @@ def with_activity_gap(df: DataFrame, key_sample: DataFrame | None = None, balanc
     depart = minutes_after_midnight("depart_hour", "depart_minute")
     if balanced:
         df = rel.previous_value_balanced(df, arrive, "person_id", list(ACTIVITY_ORDER), "lag_arrive_mam",
-                                         key_sample=key_sample, boundaries_from_sample=key_sample is not None)
+                                         key_sample=key_sample, boundaries_from_sample=key_sample is not None,
+                                         range_keys=len(RANGE_KEYS))
     else:
         df = rel.previous_value(df, arrive, ["person_id"], [F.col(c).asc() for c in ACTIVITY_ORDER],
                                 "lag_arrive_mam")
@@ -256,7 +259,7 @@ def person_lookup_in_ranges(core_trip: DataFrame, core_person: DataFrame, bucket
     Returns (joined DataFrame with ``__bucket``, the ranges).
     """
     n = buckets or rel.default_buckets(core_trip.sparkSession)
-    rb = rel.RangeBuckets.from_sample(core_trip, ["person_id", *[c for c in ACTIVITY_ORDER if c != "person_id"]], n)
+    rb = rel.RangeBuckets.from_sample(core_trip, list(RANGE_KEYS), n)
     b = "__bucket"
     trips = core_trip.withColumn(b, rb.bucket()).repartition(F.col(b), F.col("person_id"))
     persons = (core_person.select("person_id", "school_type").where(F.col("person_id").isNotNull())
@@ -267,16 +270,16 @@ def person_lookup_in_ranges(core_trip: DataFrame, core_person: DataFrame, bucket
 def build_trip_unlinked(core_trip: DataFrame, core_person: DataFrame,
                         taz_v3: ZoneIndex, taz_v4: ZoneIndex) -> DataFrame:
     t, rb = person_lookup_in_ranges(core_trip, core_person)
+    t = trip_zones_unlinked(t, taz_v3, taz_v4)
+    t = t.withColumn("PA_AP", R.direction_unlinked())
+    t = t.withColumn("PURP7", R.purp7())
+    passthrough = star_except(t.drop("__bucket"), codes.TRIP_UNLINKED_DROP)
     arrive = minutes_after_midnight("arrive_hour", "arrive_minute")
     depart = minutes_after_midnight("depart_hour", "depart_minute")
     # F2/F3 on the same (range, person) partitioning as the join: no new shuffle
-    t = rel.lag_in_ranges(t, rb, "__bucket", arrive, "lag_arrive_mam", boundary_rows=core_trip)
+    t = rel.lag_in_ranges(t, rb, "__bucket", arrive, "lag_arrive_mam", boundary_rows=core_trip,
+                          order=[c for c in ACTIVITY_ORDER if c != "person_id"])
     t = t.withColumn("activ_dur", rel.gap_since_previous(depart, F.col("lag_arrive_mam")))
-    # zone lookups are row-local; after the window they stay out of its sort
-    t = trip_zones_unlinked(t, taz_v3, taz_v4)
-    t = t.withColumn("PA_AP", R.direction_unlinked())
-    t = t.withColumn("PURP7", R.purp7())
-    passthrough = star_except(t.drop("__bucket", "lag_arrive_mam", "activ_dur"), codes.TRIP_UNLINKED_DROP)
     college, other = R.weight_split("segment_type", "trip_weight_v2")
     return t.select(
         *passthrough,
