@@ -93,7 +93,8 @@ class RangeBuckets:
         want = max(2, buckets * per_bucket)
         total = src.count()
         frac = 1.0 if total <= want else want / total
-        rows = [tuple(r) for r in src.sample(False, frac, seed).limit(4 * want).collect()]
+        # ~want rows: one partition, so the capped collect is one job
+        rows = [tuple(r) for r in src.sample(False, frac, seed).repartition(1).limit(4 * want).collect()]
         rows.sort(key=_null_first_key)
         step = max(1, len(rows) // max(1, buckets))
         bounds = sorted({rows[i] for i in range(step, len(rows), step)}, key=_null_first_key)
@@ -235,8 +236,9 @@ class SaltedKeys:
         if frac < 1.0:
             sampled = sampled.sample(False, frac, 23)
         need = max(2, int(hot_rows * frac / 2)) if frac < 1.0 else hot_rows
+        # the hot keys are few: one partition, so the capped collect is one job
         hot = [tuple(r) for r in sampled.groupBy(*keys).count().where(F.col("count") >= need)
-               .select(*keys).limit(MAX_HOT_KEYS).collect()]
+               .select(*keys).repartition(1).limit(MAX_HOT_KEYS).collect()]
         return cls(keys, hot, dict(k.dtypes), width, min(width, MAX_HOT_SALTS))
 
     def _any_null(self) -> Column:
