@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import codes
-from .columns import code_label, col, least_strict
+from .columns import code_label, col, greatest_strict, least_strict
 
 COLLEGE = codes.SEGMENT_COLLEGE
 
@@ -78,7 +78,6 @@ def made_trips(num_trips="num_trips") -> Column:
 # ---------------------------------------------------------------- households
 def has_any_complete(*day_cols) -> Column:
     """1 if any listed day is complete; NULL if any of them is NULL."""
-    from .columns import greatest_strict
     return greatest_strict(*day_cols)
 
 

@@ -2,8 +2,8 @@
 
 ``uuid`` keys are random: a plan that is evaluated twice produces different
 ids, so the keyed table is written once and read back before anything joins
-on the key (``materialize``).  ``hash`` keys are deterministic (SHA-256 of the
-chosen key columns) and need no materialisation.
+on the key (``plans.pipeline.add_linked_key``).  ``hash`` keys are
+deterministic (SHA-256 of the chosen key columns) and need no storing.
 """
 
 from __future__ import annotations
@@ -26,9 +26,3 @@ def with_surrogate_key(df: DataFrame, name: str = "unique_id", method: str = "uu
     else:
         raise ValueError(f"unknown key method {method!r}")
     return df.select(key.alias(name), "*")
-
-
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as parquet at ``path`` (replacing it) and return the stored table."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)

@@ -8,7 +8,6 @@ private folder when none is configured.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,11 +50,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A per-run path under the checkpoint folder for materialised tables."""
-    return os.path.join(checkpoint_dir(spark), "wayfarer", f"{name}-{os.getpid()}-{os.urandom(4).hex()}")
-
-
 # Settings for a large cluster (set on the session when the cluster has not
 # set them).  AQE sizes shuffle partitions from runtime statistics (start
 # high, coalesce to ~256 MB), splits skewed join partitions, and picks
