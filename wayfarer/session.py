@@ -23,6 +23,10 @@ LOCAL_DEFAULTS = {
     # the wide survey projections hit it.  Fall back to the (JIT-compiled)
     # iterator code for such stages, and let the JIT compile huge methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A window/aggregate must be partitioned on all of its keys: an upstream
+    # partitioning on a subset (say person_id alone) would otherwise be reused
+    # and put every row of a hot subset value in one task.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
@@ -64,6 +68,7 @@ CLUSTER_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
 }
 
 
