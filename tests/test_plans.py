@@ -48,3 +48,12 @@ def test_parquet_scans_are_pruned(spark):
 
 def test_contract_keys_match():
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_dedup_window_has_its_own_exchange_before_the_join(spark):
+    """The six-key match: partial limit, one exchange on all keys + salt, final limit, window, join."""
+    import re
+    p = plan(E.queries()["composite_trip_join"](spark, SF))
+    assert p.count("WindowGroupLimit") == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(hh_id#\d+L, person_id#\d+L, day_id#\d+L, depart_hour#\d+, "
+                          r"depart_minute#\d+, (depart_seconds#\d+, )?__salt", p)) == 2
