@@ -264,6 +264,12 @@ class SaltedKeys:
                 .when(self._is_hot(), F.sequence(F.lit(0), F.lit(self.hot_salts - 1)))
                 .otherwise(F.array(F.lit(0))))
 
+    def salt_right(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with salt column ``name``: rows of hot keys repeated once per salt value."""
+        if not self.hot:      # nothing to copy: one salt per row, no row generation
+            return df.withColumn(name, F.when(self._any_null(), F.lit(-1)).otherwise(F.lit(0)))
+        return df.withColumn(name, F.explode(self.right_salts()))
+
 
 def gap_since_previous(start: Column, prev_end: Column) -> Column:
     """start - previous end; negative -> -1; no previous (or missing time) -> 0."""

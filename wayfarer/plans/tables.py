@@ -336,7 +336,7 @@ def attach_unlinked(trips: DataFrame, core_trip: DataFrame, row_id: Sequence[str
     keys = codes.TRIP_MATCH_KEYS
     salt = rel.SaltedKeys.detect(key_source if key_source is not None else trips, keys)
     row_id = list(row_id or (["linked_trip_id"] if "linked_trip_id" in trips.columns else trips.columns))
-    u = core_trip.withColumn("__salt", F.explode(salt.right_salts()))
+    u = salt.salt_right(core_trip, "__salt")
     u = dedup_unlinked_trips(u, ["__salt"])
     u = u.select(*[F.col(k).alias(f"__u_{k}") for k in [*keys, "__salt"]],
                  *[F.col(c).alias(f"__u_{c}") for c in codes.GUARDED_TRIP_ATTRS])
