@@ -16,6 +16,7 @@ def spark():
     b = SparkSession.builder.master("local[*]").appName("wayfarer-tests")
     for k, v in LOCAL_DEFAULTS.items():
         b = b.config(k, v)
+    b = b.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="wayfarer-warehouse-"))
     s = b.config("spark.sql.shuffle.partitions", "8").getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)

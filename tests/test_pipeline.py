@@ -78,3 +78,19 @@ def test_assert_unique_reports_repeated_keys(spark):
     from wayfarer.operators.relational import assert_unique
     df = spark.createDataFrame([(1,), (1,), (2,)], "person_id long")
     assert [r.person_id for r in assert_unique(df, ["person_id"]).collect()] == [1]
+
+
+def test_catalog_sources_and_targets(spark):
+    """Catalog mode: read source tables from a schema, replace target tables in another."""
+    from wayfarer.sources import fixtures
+    spark.sql("CREATE DATABASE IF NOT EXISTS wf_src")
+    spark.sql("CREATE DATABASE IF NOT EXISTS wf_prd")
+    fixtures.load(spark, SF, "core_day").write.mode("overwrite").saveAsTable("wf_src.core_day")
+    cfg = BuildConfig(target="wf_prd", catalog=True, suffix="_c")
+    res = run_pipeline(spark, Sources.catalog_schema(spark, "wf_src"), cfg, tables=["day"], log=lambda m: None)
+    assert res.written["day"] == "wf_prd.day_c"
+    assert spark.table("wf_prd.day_c").count() == 1000
+    run_pipeline(spark, Sources.catalog_schema(spark, "wf_src"), cfg, tables=["day"], log=lambda m: None)
+    assert spark.table("wf_prd.day_c").count() == 1000          # replaced, not appended
+    with pytest.raises(FileNotFoundError):
+        check_inputs(Sources.catalog_schema(spark, "wf_src"), ["vehicle"])
