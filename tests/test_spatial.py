@@ -153,3 +153,24 @@ def test_out_of_range_coordinates(spark, zones_df):
     assert got == [1, None]
     with pytest.raises(Exception, match="out of range"):
         assign_zone(pts, "lon", "lat", idx, {"zid": "z"}, on_bad="raise").collect()
+
+
+def test_shuffled_lookup_salts_dense_cells(spark, zones_df):
+    """Index over its broadcast limit: dense cells are salted and results stay the same."""
+    idx_b = build_zone_index(zones_df, "zid", ["attr"], cell_size=0.5)
+    idx_s = build_zone_index(zones_df, "zid", ["attr"], cell_size=0.5, max_broadcast_bytes=1)
+    pts = spark.createDataFrame([(0.25 + (i % 7) * 0.01, 0.3, i) for i in range(300)]
+                                + [(None, 0.5, 1000 + i) for i in range(20)] + [(21.5, 1.0, 2000)],
+                                "lon double, lat double, pid long")
+    spark.conf.set("wayfarer.skew.hotKeyRows", "50")
+    spark.conf.set("wayfarer.skew.sampleFraction", "1.0")
+    try:
+        shuffled = assign_zone(pts, "lon", "lat", idx_s, {"zid": "z"})
+        got = sorted((r.pid, r.z) for r in shuffled.collect())
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("wayfarer.skew.hotKeyRows")
+        spark.conf.unset("wayfarer.skew.sampleFraction")
+    want = sorted((r.pid, r.z) for r in assign_zone(pts, "lon", "lat", idx_b, {"zid": "z"}).collect())
+    assert got == want
+    assert "__salt" in plan and "BroadcastNestedLoopJoin" not in plan

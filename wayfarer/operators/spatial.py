@@ -218,10 +218,20 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
             raise ValueError(f"reserved column {c} present")
     cells = index.cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zones").alias("__zones"),
                                F.col("exact").alias("__exact"), F.col("first").alias("__first"))
-    if index.broadcast:
-        cells = F.broadcast(cells)
     pts = points.withColumns({"__cx": F.floor(F.col(lon) / G), "__cy": F.floor(F.col(lat) / G)})
-    return (pts.join(cells, ["__cx", "__cy"], "left").drop("__cx", "__cy")
+    if index.broadcast:
+        joined = pts.join(F.broadcast(cells), ["__cx", "__cy"], "left")
+    else:
+        # shuffled on the cell: a dense cell (or a mass of NULL coordinates)
+        # would be one task, so such cells are salted (their index rows copied
+        # once per salt value) - the same exact salting as the trip match
+        from .relational import SaltedKeys
+        salt = SaltedKeys.detect(pts, ["__cx", "__cy"])
+        cells = salt.salt_right(cells, "__salt")
+        # deterministic per row; all columns, so many trips from one exact spot still spread
+        pts = pts.withColumn("__salt", salt.left_salt(F.xxhash64(*[F.col(f"`{c}`") for c in points.columns])))
+        joined = pts.join(cells, ["__cx", "__cy", "__salt"], "left").drop("__salt")
+    return (joined.drop("__cx", "__cy")
             .withColumnsRenamed({"__zones": f"__{tag}_zones", "__exact": f"__{tag}_exact",
                                  "__first": f"__{tag}_first"}))
 
