@@ -57,3 +57,14 @@ def test_dedup_window_has_its_own_exchange_before_the_join(spark):
     assert p.count("WindowGroupLimit") == 2
     assert len(re.findall(r"Exchange hashpartitioning\(hh_id#\d+L, person_id#\d+L, day_id#\d+L, depart_hour#\d+, "
                           r"depart_minute#\d+, (depart_seconds#\d+, )?__salt", p)) == 2
+
+
+def test_drive_work_reads_only_needed_trip_columns(spark):
+    """The per-person work-trip count/sum reads five of lineitem's columns, not all of them."""
+    import re
+    p = plan(E.queries()["drive_work_by_person"](spark, SF))
+    schemas = re.findall(r"ReadSchema: struct<(l_[^>]*)>", p)
+    assert schemas, p
+    for s in schemas:
+        cols = {c.split(":")[0] for c in s.split(",")}
+        assert cols <= {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"}, s
