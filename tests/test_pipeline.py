@@ -94,3 +94,22 @@ def test_catalog_sources_and_targets(spark):
     assert spark.table("wf_prd.day_c").count() == 1000          # replaced, not appended
     with pytest.raises(FileNotFoundError):
         check_inputs(Sources.catalog_schema(spark, "wf_src"), ["vehicle"])
+
+
+def test_checkpoint_dir_needs_a_shared_folder_on_a_cluster():
+    """Only local mode may fall back to a temp folder; a set folder is used as is."""
+    import pytest
+    from types import SimpleNamespace
+    from wayfarer.session import checkpoint_dir
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    def fake(master, conf):
+        return SimpleNamespace(conf=Conf(conf), sparkContext=SimpleNamespace(
+            master=master, getCheckpointDir=lambda: "set", setCheckpointDir=lambda d: None))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(fake("spark://cluster:7077", {}))
+    assert checkpoint_dir(fake("yarn", {"spark.checkpoint.dir": "hdfs:///ckpt"})) == "hdfs:///ckpt"

@@ -44,9 +44,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a private temp folder only if none is set."""
+    """The session's checkpoint folder; a private temp folder only if none is set.
+
+    The temp-folder fallback is for local mode (tests, bench) only: on a
+    cluster a machine-local folder would be lost with its executor, so an
+    unset ``spark.checkpoint.dir`` is an error there.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a shared folder "
+                             "(HDFS/object store) for checkpoints on a cluster")
         d = tempfile.mkdtemp(prefix="wayfarer-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
