@@ -6,17 +6,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from wayfarer.llm import quality_lines
+from wayfarer.llm import quality_lines, simhash_vptree
 from wayfarer.llm.common import read
 
 
+def op1_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_vptree.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lines.quality_report(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_vptree": op1_simhash_vptree,
     "op4_quality_rules": op4_quality_rules,
 }
 
