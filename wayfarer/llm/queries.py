@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfarer.llm import line_dedup, quality_lines, simhash_vptree, url_filter
+from wayfarer.llm import line_dedup, quality_lines, simhash_vptree, toxicity, url_filter
 from wayfarer.llm.common import read
 
 
@@ -29,11 +29,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc.doc_id", "line_dedup.*")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_vptree": op1_simhash_vptree,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op8_line_dedup": op8_line_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
