@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfarer.llm import line_dedup, quality_lines, simhash_vptree, toxicity, url_filter
+from wayfarer.llm import decontam, line_dedup, quality_lines, simhash_vptree, toxicity, url_filter
 from wayfarer.llm.common import read
 
 
@@ -24,6 +24,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lines.quality_report(read(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.dedup_lines(docs).select("doc.doc_id", "line_dedup.*")
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_vptree": op1_simhash_vptree,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
+    "op5_decontamination": op5_decontamination,
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
 }
