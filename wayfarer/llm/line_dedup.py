@@ -71,14 +71,17 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source
             .join(common, "line", "left_semi").groupBy("key").agg(F.collect_set("at").alias("cut")))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     body = F.col(f"doc.`{text_col}`")
-    joined = packed.withColumn("key", text_key(body)).join(hits, "key", "left")
-    lines = _lines(body)
-    lost = F.aggregate("cut", F.lit(0), lambda n, i: n + F.length(_normal(lines[i])))
-    total = F.length(F.translate(body, "\n", ""))
-    cut = F.when(lost <= max_share * total, F.col("cut"))
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("cut", i)), "\n")
-    return (joined.withColumn("cut", F.when(F.col("cut").isNotNull(), cut))
-            .select("doc", F.struct(
-                F.size(F.filter(lines, lambda x: _normal(x) != "")).cast("long").alias("n_lines"),
-                F.coalesce(F.size("cut"), F.lit(0)).cast("long").alias("n_removed"),
-                F.when(F.col("cut").isNotNull(), kept).otherwise(body).alias("text")).alias("line_dedup")))
+    joined = (packed.withColumn("key", text_key(body)).join(hits, "key", "left")
+              .withColumn("lines", _lines(body)))
+
+    def length(lines):
+        return F.aggregate(lines, F.lit(0), lambda n, x: n + F.length(_normal(x)))
+
+    # each array is a column of its own: an array built inside a lambda would be rebuilt per element
+    kept = joined.withColumn("left", F.when(F.col("cut").isNotNull(), F.filter(
+        "lines", lambda x, i: ~F.array_contains("cut", i))))
+    good = length(F.col("lines")) - length(F.col("left")) <= max_share * F.length(F.translate(body, "\n", ""))
+    return kept.withColumn("good", F.coalesce(good, F.lit(False))).select("doc", F.struct(
+        F.size(F.filter("lines", lambda x: _normal(x) != "")).cast("long").alias("n_lines"),
+        F.when(F.col("good"), F.size("cut")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col("good"), F.array_join("left", "\n")).otherwise(body).alias("text")).alias("line_dedup"))
