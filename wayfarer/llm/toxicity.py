@@ -1,8 +1,8 @@
 """Toxicity by compression distance: two zstandard dictionaries, compared window by window.
 
 Fit, on a bounded sample of labelled rows (``max_toxic`` toxic and
-``max_ordinary`` ordinary documents of at most ``max_train_chars`` characters,
-picked by a hash of the id):
+``max_ordinary`` ordinary documents on average, of at most ``max_train_chars``
+characters, picked by a hash of the id):
 
 * half of the sample builds the dictionaries.  Both hold the most common
   ordinary words; one ends in the telling words of toxic text, the other in as
@@ -70,15 +70,20 @@ class Model:
     prior: float
 
 
-def _sample(labelled: DataFrame, fit: Fit) -> DataFrame:
-    """(text, toxic, part) of the bounded sample; part 0 builds, part 1 calibrates."""
-    usable = labelled.where(F.length("text").between(1, fit.max_train_chars)).withColumn(
-        "h", F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxicity")))
-    picked = None
-    for toxic, most in ((1, fit.max_toxic), (0, fit.max_ordinary)):
-        part = usable.where(F.col("toxic") == toxic).orderBy("h", "text").limit(most)
-        picked = part if picked is None else picked.unionByName(part)
-    return picked.select("text", "toxic", (F.pmod(F.col("h"), F.lit(3)) == 0).cast("int").alias("part"))
+def _sample(docs: DataFrame, truth: DataFrame, fit: Fit) -> DataFrame:
+    """(text, toxic, part) of the bounded sample; part 0 builds, part 1 calibrates.
+
+    Ids are picked by hash at the rate that yields the bound (on average), so neither a sort nor
+    a text of an unpicked row moves; the picked ids are few enough to broadcast.
+    """
+    seen = {r["toxic"]: r["n"] for r in truth.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    ids = truth.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxicity")))
+    rate = F.when(F.col("toxic") == 1, min(1.0, fit.max_toxic / max(1, seen.get(1, 0)))).otherwise(
+        min(1.0, fit.max_ordinary / max(1, seen.get(0, 0))))
+    picked = ids.where(F.pmod("h", F.lit(1 << 20)) < rate * (1 << 20))
+    part = (F.pmod(F.shiftrightunsigned("h", 20), F.lit(3)) == 0).cast("int")
+    return (docs.select("doc_id", "text").where(F.length("text").between(1, fit.max_train_chars))
+            .join(F.broadcast(picked), "doc_id").select("text", "toxic", part.alias("part")))
 
 
 def _telling_words(sample: DataFrame, fit: Fit) -> tuple[list[bytes], list[bytes]]:
@@ -163,12 +168,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) ->
     return np.concatenate([[b[0] - w @ mean], w])
 
 
-def fit_model(labelled: DataFrame, fit: Fit = Fit()) -> Model:
-    """Learn from ``labelled`` (doc_id, text, toxic), all of whose rows may be learned from."""
-    n, n_toxic = labelled.where("toxic is not null").agg(
-        F.count("*"), F.coalesce(F.sum((F.col("toxic") == 1).cast("long")), F.lit(0))).first()
+def fit_model(docs: DataFrame, truth: DataFrame, fit: Fit = Fit()) -> Model:
+    """Learn from ``docs`` (doc_id, text) by ``truth`` (distinct doc_id, toxic 0 or 1)."""
+    n, n_toxic = truth.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     prior = n_toxic / n if n else 0.0
-    sample = stored(_sample(labelled, fit), "toxicity-sample")
+    sample = stored(_sample(docs, truth, fit), "toxicity-sample")
     strong, usual = _telling_words(sample, fit)
     base = _tail(usual, fit.common_bytes)
     toxic = _tail(strong, fit.toxic_bytes)
@@ -204,6 +208,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Dat
     """(doc_id, held_out, score, predicted) for every row of ``docs``; learns outside the held-out fold."""
     truth = (labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))))
-    model = fit_model(docs.select("doc_id", "text").join(truth, "doc_id"), fit)
+    model = fit_model(docs, stored(truth, "toxicity-labels"), fit)
     return (docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text"), model, fit).alias("score"))
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
