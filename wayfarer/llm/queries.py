@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfarer.llm import decontam, line_dedup, quality_lines, simhash_vptree, toxicity, url_filter
+from wayfarer.llm import decontam, line_dedup, lm_scoring, quality_lines, simhash_vptree, toxicity, url_filter
 from wayfarer.llm.common import read
 
 
@@ -15,6 +15,10 @@ def op1_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_vptree.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url"), url_filter.RULES)
     return judged.select("page.page_id", "url_rule.*")
@@ -39,6 +43,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_vptree": op1_simhash_vptree,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
