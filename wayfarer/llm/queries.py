@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfarer.llm import decontam, line_dedup, lm_scoring, mixing, quality_lines, simhash_vptree, toxicity, url_filter
+from wayfarer.llm import decontam, line_dedup, lm_scoring, mixing, quality_lines, simhash_vptree, substring_dedup, toxicity, url_filter, warc
 from wayfarer.llm.common import read
 
 
@@ -32,6 +32,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(read(spark, sf_dir, "pages")))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.duplicate_passages(read(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.dedup_lines(docs).select("doc.doc_id", "line_dedup.*")
@@ -51,6 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
+    "op6_warc_derivatives": op6_warc_derivatives,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
