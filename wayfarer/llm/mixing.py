@@ -71,6 +71,11 @@ def _doc_order(seed: int, epoch: Column, h: Column) -> Column:
     return F.xxhash64(F.lit(seed), epoch.cast("long"), h)
 
 
+def _sum(x: Column) -> Column:
+    """Sum in decimals, so that it does not depend on the order of the rows."""
+    return F.sum(x.cast("decimal(38,18)"))
+
+
 def exponent(shares: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None,
              budget_share: float | None = None) -> float:
     """The exponent for ``shares(p)``; ``budget_share`` is the budget over all tokens, or None for the default budget."""
@@ -88,8 +93,8 @@ def exponent(shares: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy
 
     for _ in range(_ROUNDS):
         grid = [low + (high - low) * i / (_STEPS + 1) for i in range(_STEPS + 2)]
-        sums = shares.agg(*[F.sum(F.pow("p", F.lit(a))) for a in grid],
-                          *[F.sum(F.pow("p", F.lit(a)) * F.log("p") * a) for a in grid]).first()
+        sums = [float(x) for x in shares.agg(*[_sum(F.pow("p", F.lit(a))) for a in grid],
+                                             *[_sum(F.pow("p", F.lit(a)) * F.log("p") * a) for a in grid]).first()]
         ok = [admissible(a, sums[i], sums[len(grid) + i]) for i, a in enumerate(grid)]
         if entropy is not None:  # true up to some exponent
             last = max((i for i, x in enumerate(ok) if x), default=0)
@@ -97,7 +102,7 @@ def exponent(shares: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy
         else:  # true from some exponent on
             first = min((i for i, x in enumerate(ok) if x), default=len(grid) - 1)
             low, high = grid[max(first - 1, 0)], grid[first]
-    return low if entropy is not None else high
+    return round(low if entropy is not None else high, 9)
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -115,7 +120,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
                               F.lit(None).cast("long").alias("cut_block"), F.lit(None).cast("long").alias("cut_doc"))
     shares = sources.where("tokens > 0").withColumn("p", F.col("tokens") / F.lit(total))
     a = exponent(shares, max_repeats, entropy, None if budget_tokens is None else budget_tokens / total)
-    z, most = shares.agg(F.sum(F.pow("p", F.lit(a))), F.max("p")).first()
+    z, most = map(float, shares.agg(_sum(F.pow("p", F.lit(a))), F.max("p")).first())
     budget = budget_tokens if budget_tokens is not None else total * z * most ** (1 - a)
     p = F.col("tokens") / F.lit(total)
     weighted = (sources.withColumn("weight", F.when(F.col("tokens") > 0, F.pow(p, F.lit(a)) / z).otherwise(0.0))
@@ -149,19 +154,13 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
               .groupBy("s", "full", "rest", _doc_order(seed, F.col("full"), F.col("h")).alias("doc")).agg(F.sum("n").alias("n")))
     w = Window.partitionBy("s").orderBy("doc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = inside.withColumn("upto", F.sum("n").over(w)).where("upto <= rest").groupBy("s").agg(F.max("doc").alias("cut_doc"))
-    return (weighted.drop("rest").join(at_block.select("s", F.col("order").alias("cut_block")), "s", "left")
-            .join(cut, "s", "left"))
+    return stored(weighted.drop("rest").join(at_block.select("s", F.col("order").alias("cut_block")), "s", "left")
+                  .join(cut, "s", "left"), "mix-plan")
 
 
-def draw(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         source_col: str = "source", seed: int = SEED) -> DataFrame:
-    """One row per document: the struct ``doc`` (its columns) and ``mix`` (source, n_tokens, weight, block,
-    and ``draws``: an array of (epoch, block_order, doc_order), empty if it is not drawn)."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    body, doc_id, source = F.col(f"doc.`{text_col}`"), F.col(f"doc.`{id_col}`"), F.col(f"doc.`{source_col}`")
-    rows = (packed.withColumn("s", _source(source)).withColumn("n", _tokens(body))
-            .withColumn("h", _doc_hash(doc_id, body, seed)).join(planned, "s")
-            .withColumn("block", _block(F.col("h"), F.col("n_blocks")))
+def _drawn(rows: DataFrame, planned: DataFrame, seed: int, *keep: str) -> DataFrame:
+    """``keep`` columns of ``rows`` (with source s, tokens n and hash h) plus the struct ``mix``."""
+    rows = (rows.join(planned, "s").withColumn("block", _block(F.col("h"), F.col("n_blocks")))
             .withColumn("last_block", _block_order(seed, F.col("full"), F.col("s"), F.col("block"))))
     more = (F.col("last_block") < F.col("cut_block")) | (
         (F.col("last_block") == F.col("cut_block")) & (_doc_order(seed, F.col("full"), F.col("h")) <= F.col("cut_doc")))
@@ -170,15 +169,25 @@ def draw(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", text_col:
         e.alias("epoch"), _block_order(seed, e, F.col("s"), F.col("block")).alias("block_order"),
         _doc_order(seed, e, F.col("h")).alias("doc_order")))).otherwise(F.array().cast(
             "array<struct<epoch:bigint,block_order:bigint,doc_order:bigint>>"))
-    return rows.select("doc", F.struct(F.when(~F.col("s.none"), F.col("s.name")).alias("source"), F.col("n").alias("n_tokens"),
+    return rows.select(*keep, F.struct(F.when(~F.col("s.none"), F.col("s.name")).alias("source"), F.col("n").alias("n_tokens"),
                                        "weight", "block", draws.alias("draws")).alias("mix"))
 
 
+def draw(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         source_col: str = "source", seed: int = SEED) -> DataFrame:
+    """One row per document: the struct ``doc`` (its columns) and ``mix`` (source, n_tokens, weight, block,
+    and ``draws``: an array of (epoch, block_order, doc_order), empty if it is not drawn)."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    body, doc_id, source = F.col(f"doc.`{text_col}`"), F.col(f"doc.`{id_col}`"), F.col(f"doc.`{source_col}`")
+    return _drawn(packed.select("doc", _source(source).alias("s"), _tokens(body).alias("n"),
+                                _doc_hash(doc_id, body, seed).alias("h")), planned, seed, "doc")
+
+
 def manifest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED,
              **kw) -> DataFrame:
-    """One row per draw: doc_id, source, n_tokens, weight, block, epoch, block_order, doc_order."""
-    needed = docs.select(id_col, text_col, source_col)
-    planned = plan(needed, id_col, text_col, source_col, seed=seed, **kw)
-    drawn = draw(needed, planned, id_col, text_col, source_col, seed)
-    return (drawn.select(F.col(f"doc.`{id_col}`").alias("doc_id"), "mix.source", "mix.n_tokens", "mix.weight", "mix.block",
-                         F.explode("mix.draws").alias("d")).select("doc_id", "source", "n_tokens", "weight", "block", "d.*"))
+    """One row per draw: doc_id, source, n_tokens, weight, block, epoch, block_order, doc_order (texts do not move)."""
+    planned = plan(docs, id_col, text_col, source_col, seed=seed, **kw)
+    rows = docs.select(F.col(id_col).alias("doc_id"), _source(F.col(source_col)).alias("s"), _tokens(F.col(text_col)).alias("n"),
+                       _doc_hash(F.col(id_col), F.col(text_col), seed).alias("h"))
+    return (_drawn(rows, planned, seed, "doc_id").select("doc_id", "mix.*").withColumn("d", F.explode("draws"))
+            .select("doc_id", "source", "n_tokens", "weight", "block", "d.*"))
