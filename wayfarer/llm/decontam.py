@@ -7,8 +7,9 @@ hash-joined with those of benchmark items.  A document that holds at least
 ``min_share`` (0.8) of an item's windows is a candidate; then the slots are
 checked: inside one alignment of document and item, equal slot values of the
 item must meet equal values of the document, and different ones different
-values.  Candidates whose slots are consistent for at least ``min_share`` of
-the distinct slot values are contaminated, as ``verbatim`` if all values are the item's own,
+values.  Candidates in which at least ``min_share`` of the recurring slot
+values are consistent (a value that occurs once cannot be otherwise) are
+contaminated, as ``verbatim`` if all values are the item's own,
 else as ``reparameterised``.
 
 Scale: each document window is a hash and a position; the benchmark's windows
@@ -125,15 +126,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                  .where(F.exists("tokens", lambda w: F.startswith(w, F.lit("§"))))
                  .withColumnsRenamed({"at": "item_at", "raw": "item_raw"}))
     pairs = (candidates.select("key", "item_key").join(doc_side, "key").join(item_side, ["item_key", "window"])
-             .select("key", "item_key", (F.col("at") - F.col("item_at")).alias("shift"), F.explode(F.filter(
-                 F.arrays_zip("tokens", "item_raw", "raw"), lambda x: F.startswith(x.tokens, F.lit("§")))).alias("s"))
-             .select("key", "item_key", "shift", F.col("s.tokens").alias("kind"), F.col("s.item_raw").alias("a"),
-                     F.col("s.raw").alias("b")).distinct())
+             .select("key", "item_key", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
+                     F.posexplode(F.arrays_zip("tokens", "item_raw", "raw")).alias("k", "s"))
+             .where(F.startswith("s.tokens", F.lit("§")))
+             .select("key", "item_key", "shift", (F.col("item_at") + F.col("k")).alias("pos"), F.col("s.tokens").alias("kind"),
+                     F.col("s.item_raw").alias("a"), F.col("s.raw").alias("b")).distinct())
     by = ["key", "item_key", "shift", "kind"]
-    forward = pairs.groupBy(*by, "a").agg(F.count("*").alias("n"), F.max(F.col("a") == F.col("b")).alias("same"))
-    backward = pairs.groupBy(*by, "b").agg(F.count("*").alias("n"), F.lit(None).cast("boolean").alias("same"))
-    slots = (forward.drop("a").unionByName(backward.drop("b")).groupBy("key", "item_key").agg(
-        F.avg((F.col("n") == 1).cast("double")).alias("consistent"), F.min("same").alias("same")))
+
+    def tests(one: str, other: str) -> DataFrame:
+        """Per slot value: does it recur (only then can it be inconsistent), and does it always meet the same value?"""
+        return pairs.groupBy(*by, one).agg(
+            (F.count("*") > 1).alias("recurs"), (F.min(other) == F.max(other)).alias("agrees"),
+            F.min(F.col("a") == F.col("b")).alias("same")).drop(one)
+
+    slots = tests("a", "b").unionByName(tests("b", "a")).groupBy("key", "item_key").agg(
+        F.avg(F.when(F.col("recurs"), F.col("agrees").cast("double"))).alias("consistent"), F.min("same").alias("same"))
     return (candidates.join(slots, ["key", "item_key"], "left")
             .where(F.coalesce("consistent", F.lit(1.0)) >= min_share)
             .withColumn("kind", F.when(F.coalesce("same", F.lit(True)), "verbatim").otherwise("reparameterised"))
