@@ -12,18 +12,18 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_pipeline_builds_and_rebuilds(spark, tmp_dir):
-    cfg = BuildConfig(target=tmp_dir, prefix="b_", suffix="_v1")
+    cfg = BuildConfig(target=tmp_dir, prefix="b_", suffix="_v1", check_ids=False)   # a few ids repeat at this scale
     src = Sources.fixtures(spark, SF)
     res = run_pipeline(spark, src, cfg, log=lambda m: None)
     assert list(res.written) == TABLE_ORDER
     counts = {t: spark.read.parquet(loc).count() for t, loc in res.written.items()}
     assert counts["day"] == 1000 and counts["vehicle"] == 200 and counts["person"] == 1500
-    assert counts["trip_unlinked"] == 6000 and counts["trip_linked"] == 3333 and counts["hh"] >= 150
+    assert counts["trip_unlinked"] == 6000 and counts["trip_linked"] == 6000 and counts["hh"] >= 150
     linked = spark.read.parquet(res.written["trip_linked"])
     assert linked.columns == codes.TRIP_LINKED_COLS
     # random keys: one per row, all distinct, and the keyed table is what trip_linked used
     keyed = spark.read.parquet(cfg.location("trip_linked_with_uuid"))
-    assert keyed.select(F.countDistinct("unique_id")).first()[0] == keyed.count() == 3333
+    assert keyed.select(F.countDistinct("unique_id")).first()[0] == keyed.count() == 6000
     assert linked.join(keyed.select("unique_id"), "unique_id", "left_anti").count() == 0
     # rerun replaces, does not append
     run_pipeline(spark, src, cfg, tables=["day"], log=lambda m: None)
@@ -106,10 +106,87 @@ def test_checkpoint_dir_needs_a_shared_folder_on_a_cluster():
         def set(self, k, v):
             self[k] = v
 
-    def fake(master, conf):
+    def fake(master, conf, already=None):
         return SimpleNamespace(conf=Conf(conf), sparkContext=SimpleNamespace(
-            master=master, getCheckpointDir=lambda: "set", setCheckpointDir=lambda d: None))
+            master=master, getCheckpointDir=lambda: already, setCheckpointDir=lambda d: None))
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        checkpoint_dir(fake("spark://cluster:7077", {}))
+    for master in ("spark://cluster:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(fake(master, {}))
+    assert checkpoint_dir(fake("yarn", {}, "hdfs:///given")) == "hdfs:///given"
     assert checkpoint_dir(fake("yarn", {"spark.checkpoint.dir": "hdfs:///ckpt"})) == "hdfs:///ckpt"
+
+
+def _linked_sources(spark, folder):
+    from wayfarer.sources import fixtures
+    for name, relation in (("trip_linked", "trip_linked_src"), ("core_trip", "core_trip"), ("taz_v3", "taz_v3"), ("taz_v4", "taz_v4")):
+        fixtures.load(spark, SF, relation).write.parquet(os.path.join(folder, f"{name}.parquet"))
+    return Sources.parquet_folder(spark, folder)
+
+
+def test_rebuilds_keep_the_surrogate_ids(spark, tmp_dir):
+    src = _linked_sources(spark, os.path.join(tmp_dir, "src"))
+    cfg = BuildConfig(target=os.path.join(tmp_dir, "out"), check_ids=False)
+
+    def ids(cfg):
+        res = run_pipeline(spark, src, cfg, tables=["trip_linked"], log=lambda m: None)
+        return {r.unique_id for r in spark.read.parquet(res.written["trip_linked"]).select("unique_id").collect()}
+
+    first = ids(cfg)
+    assert len(first) == 6000 and ids(cfg) == first
+    assert not ids(BuildConfig(target=cfg.target, rekey=True, check_ids=False)) & first
+
+
+def test_no_output_replaces_an_input(spark, tmp_dir):
+    src = _linked_sources(spark, tmp_dir)
+    before = sorted(os.listdir(tmp_dir))
+    for target, prefix, suffix in ((tmp_dir, "", ".parquet"), (tmp_dir + "/../" + os.path.basename(tmp_dir), "", ".parquet"),
+                                   ("file:" + tmp_dir, "", ".parquet"), (os.path.dirname(tmp_dir), os.path.basename(tmp_dir) + "/", ".parquet")):
+        with pytest.raises(ValueError, match="must differ"):
+            run_pipeline(spark, src, BuildConfig(target=target, prefix=prefix, suffix=suffix), tables=["trip_linked"], log=lambda m: None)
+    assert sorted(os.listdir(tmp_dir)) == before
+    spark.sql("CREATE DATABASE IF NOT EXISTS wf_same")
+    for n in ("trip_linked", "core_trip", "taz_v3", "taz_v4"):
+        src(n).write.mode("overwrite").saveAsTable(f"wf_same.{n}")
+    with pytest.raises(ValueError, match="must differ"):
+        run_pipeline(spark, Sources.catalog_schema(spark, "wf_same"), BuildConfig(target="WF_SAME", catalog=True),
+                     tables=["trip_linked"], log=lambda m: None)
+    assert "Model_Purpose" in spark.table("wf_same.trip_linked").columns
+
+
+def test_failed_build_leaves_the_old_table(spark, tmp_dir):
+    from wayfarer.plans.pipeline import _write
+    spark.sql("CREATE DATABASE IF NOT EXISTS wf_prd")
+    bad = spark.range(100).select(F.when(F.col("id") > 90, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id"))
+    for cfg in (BuildConfig(target=tmp_dir), BuildConfig(target="wf_prd", catalog=True, suffix="_f")):
+        loc = _write(spark.range(7), cfg, "day")
+        with pytest.raises(Exception, match="broken"):
+            _write(bad, cfg, "day")
+        assert (spark.table(loc) if cfg.catalog else spark.read.parquet(loc)).count() == 7
+        _write(spark.range(9), cfg, "day")
+        assert (spark.table(loc) if cfg.catalog else spark.read.parquet(loc)).count() == 9
+    assert os.listdir(tmp_dir) == ["day"]
+    assert not [t.name for t in spark.catalog.listTables("wf_prd") if "__new_" in t.name]
+
+
+def test_repeated_trip_ids_are_refused(spark, tmp_dir):
+    from wayfarer.plans.pipeline import check_ids
+    once = spark.createDataFrame([(1, 1), (2, 2), (None, None), (None, None)], "trip_id long, linked_trip_id long")
+    check_ids(Sources(lambda n: once, lambda n: True, "x"), ["trip_unlinked", "trip_linked"])
+    for table in ("trip_unlinked", "trip_linked"):
+        with pytest.raises(ValueError, match="repeats"):
+            check_ids(Sources(lambda n: once.unionByName(once), lambda n: True, "x"), [table])
+
+
+def test_cluster_defaults_respect_the_session(spark):
+    from wayfarer.session import CLUSTER_DEFAULTS, apply_cluster_defaults
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_DEFAULTS}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "7m")
+    try:
+        apply_cluster_defaults(spark)
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "7m"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "256m"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

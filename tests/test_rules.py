@@ -33,8 +33,13 @@ def test_round_then_cast(spark):
 
 
 def test_safe_cast_of_traveller_strings(spark):
-    df = spark.createDataFrame([("2",), ("2.0",), ("x",), (None,)], "n string")
-    assert [r.n for r in df.select(F.col("n").try_cast("bigint").alias("n")).collect()] == [2, None, None, None]
+    from wayfarer.functions.columns import try_to_long_rounded
+    df = spark.createDataFrame([("2",), ("2.5",), ("x",), ("",), (None,)], "n string")
+    assert [r.n for r in df.select(try_to_long_rounded("n").alias("n")).collect()] == [2, 3, None, None, None]
+    df = spark.createDataFrame([(2.5,), (-2.5,), (float("nan"),), (1e30,), (0.49999999999999994,)], "n double")
+    assert [r.n for r in df.select(try_to_long_rounded("n").alias("n")).collect()] == [3, -3, None, None, 0]
+    df = spark.createDataFrame([(2**63 - 1,), (-(2**63),)], "n bigint")
+    assert [r.n for r in df.select(try_to_long_rounded("n").alias("n")).collect()] == [2**63 - 1, -(2**63)]
 
 
 def test_segment_and_weights(spark):

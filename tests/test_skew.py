@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from wayfarer.operators import relational as rel
@@ -21,29 +22,71 @@ def _trips(spark, seed=5):
     return spark.createDataFrame(rows, "person_id bigint, hh_id bigint, trip_id bigint, v int")
 
 
-def test_balanced_lag_equals_window(spark):
-    df = _trips(spark)
-    order = ["hh_id", "person_id", "trip_id"]
-    plain = rel.previous_value(df, F.col("v"), ["person_id"], [F.col(c).asc() for c in order], "lag")
-    a = sorted(tuple(r) for r in plain.select("trip_id", "lag").collect())
-    for buckets in (2, 7, 32):
-        bal = rel.previous_value_balanced(df, F.col("v"), "person_id", order, "lag", buckets=buckets)
-        assert sorted(tuple(r) for r in bal.select("trip_id", "lag").collect()) == a
-    # boundaries from the source table: same answer
-    bal = rel.previous_value_balanced(df, F.col("v"), "person_id", order, "lag", buckets=9, key_sample=df,
-                                      boundaries_from_sample=True)
-    assert sorted(tuple(r) for r in bal.select("trip_id", "lag").collect()) == a
-
-
-def test_hot_person_is_spread_over_tasks(spark):
+@pytest.fixture()
+def small_pieces(spark):
+    spark.conf.set("wayfarer.skew.hotKeyRows", "40")
+    yield
+    spark.conf.unset("wayfarer.skew.hotKeyRows")
+
+
+def _text_ids(df):
+    return df.withColumns({c: F.concat(F.lit("k"), F.lpad(F.col(c).cast("string"), 6, "0")) for c in ("person_id", "hh_id", "trip_id")})
+
+
+ORDER = ["hh_id", "person_id", "trip_id"]
+
+
+@pytest.mark.parametrize("text_ids", [False, True])
+def test_balanced_lag_equals_window(spark, small_pieces, text_ids):
+    df = _text_ids(_trips(spark)) if text_ids else _trips(spark)
+    plain = rel.previous_value(df, F.col("v"), ["person_id"], [F.col(c).asc() for c in ORDER], "lag")
+    a = sorted((tuple(r) for r in plain.select("trip_id", "lag").collect()), key=repr)
+    for range_keys in (None, 1):
+        bal = rel.previous_value_balanced(df, F.col("v"), "person_id", ORDER, "lag", range_keys=range_keys)
+        assert sorted((tuple(r) for r in bal.select("trip_id", "lag").collect()), key=repr) == a
+    bal = rel.previous_value_balanced(df, F.col("v"), "person_id", ORDER, "lag", key_source=df)
+    assert sorted((tuple(r) for r in bal.select("trip_id", "lag").collect()), key=repr) == a
+
+
+def test_hot_null_person(spark, small_pieces):
+    df = _trips(spark).withColumn("person_id", F.when(F.col("person_id") != 7, F.col("person_id")))
+    plain = rel.previous_value(df, F.col("v"), ["person_id"], [F.col(c).asc() for c in ORDER], "lag")
+    bal = rel.previous_value_balanced(df, F.col("v"), "person_id", ORDER, "lag")
+    assert rel.HotRanges.find(df, "person_id", ["hh_id", "trip_id"]).table.where("__lead is null").count() == 1
+    assert sorted(map(repr, plain.select("trip_id", "lag").collect())) == sorted(map(repr, bal.select("trip_id", "lag").collect()))
+
+
+def test_thousands_of_pieces(spark):
+    """Many pieces of one person: built fast (no per-piece literals) and exact."""
+    import time
+    df = spark.range(6000).select(F.lit(1).cast("long").alias("person_id"), (F.col("id") * 7919 % 6007).alias("hh_id"),
+                                  F.col("id").alias("trip_id"), F.col("id").cast("int").alias("v"))
+    spark.conf.set("wayfarer.skew.hotKeyRows", "8")
+    t = time.time()
+    try:
+        ranges = rel.HotRanges.find(df, "person_id", ["hh_id", "trip_id"])
+        assert ranges.table.first()["__pieces"] >= 4096
+        bal = rel.previous_value_balanced(df, F.col("v"), "person_id", ORDER, "lag")
+        got = sorted(tuple(r) for r in bal.select("trip_id", "lag").collect())
+    finally:
+        spark.conf.unset("wayfarer.skew.hotKeyRows")
+    assert time.time() - t < 120
+    want = sorted(((a[1], b[1] if b else None) for a, b in _pairs(sorted((i * 7919 % 6007, i) for i in range(6000)))))
+    assert got == want
+
+
+def _pairs(x):
+    return [(a, x[i - 1] if i else None) for i, a in enumerate(x)]
+
+
+def test_hot_person_is_spread_over_tasks(spark, small_pieces):
     df = _trips(spark)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        bal = rel.previous_value_balanced(df, F.col("v"), "person_id", ["hh_id", "person_id", "trip_id"], "lag",
-                                          buckets=16)
-        per_task = (bal.where(F.col("person_id") == 7).groupBy(F.spark_partition_id().alias("p")).count()
-                    .collect())
+        ranges = rel.HotRanges.find(df, "person_id", ["hh_id", "trip_id"])
+        per_task = (ranges.with_piece(df, "__piece").repartition("person_id", "__piece").where(F.col("person_id") == 7)
+                    .groupBy(F.spark_partition_id().alias("p")).count().collect())
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
@@ -51,17 +94,30 @@ def test_hot_person_is_spread_over_tasks(spark):
     assert max(r["count"] for r in per_task) <= 3000 / 3
 
 
-def test_balanced_lag_is_used_on_joined_fixture_input(spark):
-    """Range buckets must be built even when the planner's row estimate is far off."""
+def test_unlinked_trips_shuffle_once_for_join_and_window(spark):
+    """The person join and the window share one partitioning; nothing is planned per range."""
+    import re
+
     import __spark_entry__ as E
     df = E.queries()["trip_unlinked"](spark, "/root/testdata/sf0.001")
     p = df._jdf.queryExecution().executedPlan().toString()
-    assert "__bucket" in p and p.count("Window [") == 2
-    assert "hashpartitioning(__bucket" in p
-    # the person join and the window share the (range, person) partitioning:
-    # one exchange for the trips, one for the persons, none added for the window
-    import re
-    assert len(re.findall(r"hashpartitioning\(__bucket#\d+L?, person_id#\d+L?", p)) == 2
+    assert p.count("Window [") == 1
+    above = p[p.index("Window ["):p.index("l_orderkey", p.index("Window ["))]
+    assert len(re.findall(r"Exchange hashpartitioning\(person_id", above)) <= 1
+
+
+def test_builds_fast_at_cluster_shuffle_width(spark):
+    import time
+
+    import __spark_entry__ as E
+    spark.conf.set("spark.sql.shuffle.partitions", "8000")
+    t = time.time()
+    try:
+        E.queries()["trip_unlinked"](spark, "/root/testdata/sf0.001")
+        E.queries()["activity_gap"](spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert time.time() - t < 60
 
 
 def _linked_join(spark, sf):
@@ -82,9 +138,8 @@ def test_salted_six_key_join_equals_plain(spark):
     spark.conf.set("wayfarer.skew.hotKeyRows", "2")      # every repeated key counts as hot
     spark.conf.set("wayfarer.skew.sampleFraction", "1.0")
     try:
-        from wayfarer.operators.relational import SaltedKeys
-        assert len(SaltedKeys.detect(spark.createDataFrame([(1, 2)] * 3 + [(3, 4)], "a long, b long"),
-                                     ["a", "b"]).hot) == 1
+        hot = rel.SaltedKeys.detect(spark.createDataFrame([(1, 2)] * 3 + [(3, 4), (5, None), (5, None)], "a long, b long"), ["a", "b"]).hot
+        assert [(r["__h0"], r["__h1"]) for r in hot.collect()] == [(1, 2)]
         df = _linked_join(spark, sf)
         salted = sorted(tuple(r) for r in df.select(*cols).collect())
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -93,6 +148,3 @@ def test_salted_six_key_join_equals_plain(spark):
         spark.conf.unset("wayfarer.skew.sampleFraction")
     assert salted == base
     assert "__salt" in plan
-    import re
-    # the linked side is shuffled on (keys, salt); the unlinked side only once (its window)
-    assert len(re.findall(r"Exchange hashpartitioning\([^)]*__salt", plan)) == 2

@@ -146,6 +146,61 @@ def test_lookups_on_one_index_share_its_broadcast(spark, zones_df):
     assert two == one
 
 
+def test_nan_and_null_ids_get_no_zone(spark, zones_df):
+    nan = float("nan")
+    for limit in (None, 1):
+        idx = build_zone_index(zones_df, "zid", ["attr"], cell_size=0.25, max_broadcast_bytes=limit)
+        pts = spark.createDataFrame([(1, nan, nan), (2, nan, 0.5), (3, 0.5, nan), (None, 0.5, 0.5), (4, 0.5, 0.5), (4, 3.5, 3.5)],
+                                    "pid long, lon double, lat double")
+        got = sorted((tuple(r) for r in assign_zone(pts, "lon", "lat", idx, {"zid": "z"}, id_col="pid").select("pid", "z").collect()),
+                     key=repr)
+        assert got == [(1, None), (2, None), (3, None), (4, 1), (4, 2), (None, None)]
+
+
+def test_many_zones_and_many_vertices(spark):
+    """100,000 small zones need no more than the cover's bound; one zone of 50,000 vertices is cut by rows."""
+    import math
+    import time
+    t = time.time()
+    many = spark.range(100_000).selectExpr(
+        "id AS zid", "id AS attr", "array(array(" + ", ".join(
+            f"named_struct('lon', id % 400 / 10.0D + {x}, 'lat', CAST(floor(id / 400) AS double) / 10 + {y})"
+            for x, y in ((0, 0), (0.1, 0), (0.1, 0.1), (0, 0.1))) + ")) AS geometry")
+    idx = build_zone_index(many, "zid", ["attr"])
+    pts = spark.createDataFrame([(i, 0.05 + (i * 37 % 400) / 10, 0.05 + (i * 11 % 250) / 10) for i in range(500)],
+                                "pid long, lon double, lat double")
+    got = {r.pid: r.z for r in assign_zone(pts, "lon", "lat", idx, {"zid": "z"}).collect()}
+    assert got == {i: (i * 11 % 250) * 400 + i * 37 % 400 for i in range(500)}
+    n = 50_000
+    star = [(1 + 0.1 * (k % 2)) for k in range(n)]
+    big = ring(*[(r * math.cos(2 * math.pi * k / n), r * math.sin(2 * math.pi * k / n)) for k, r in enumerate(star)])
+    idx = build_zone_index(spark.createDataFrame([(1, 1, [big])], f"zid bigint, attr bigint, geometry {GEOM}"), "zid", ["attr"],
+                           cell_size=0.01)
+    pts = spark.createDataFrame([(0.0, 0.0), (0.99, 0.0), (0.0, -0.98), (1.2, 0.0), (0.8, 0.8)], "lon double, lat double")
+    assert [r.z for r in assign_zone(pts, "lon", "lat", idx, {"zid": "z"}).collect()] == [1, 1, 1, None, None]
+    assert time.time() - t < 120
+
+
+def test_geojson_zones_equal_rings(spark, points_df):
+    import json
+
+    from wayfarer.sources.zones import with_rings
+    rows = []
+    for zid, attr, rings in ZONES:
+        closed = [[[p["lon"], p["lat"]] for p in r] for r in rings]
+        closed = [r if r[0] == r[-1] else r + [r[0]] for r in closed]
+        shape = ({"type": "MultiPolygon", "coordinates": [[r] for r in closed]} if zid == 3 else
+                 {"type": "Polygon", "coordinates": closed})
+        rows.append((zid, attr, json.dumps({"type": "Feature", "properties": {}, "geometry": shape} if zid == 4 else shape)))
+    rows += [(7, 70, "not json"), (8, 80, None), (9, 90, json.dumps({"type": "Point", "coordinates": [0, 0]}))]
+    zones = with_rings(spark.createDataFrame(rows, "zid bigint, attr bigint, geometry string"))
+    plain = spark.createDataFrame(ZONES, f"zid bigint, attr bigint, geometry {GEOM}")
+    for predicate in ("intersects", "within"):
+        a, b = (sorted((r.name, r.z) for r in join_zones(points_df, "lon", "lat", build_zone_index(x, "zid", ["attr"]),
+                                                         {"zid": "z"}, predicate).fillna(-1, "z").collect()) for x in (zones, plain))
+        assert a == b
+
+
 def test_out_of_range_coordinates(spark, zones_df):
     idx = build_zone_index(zones_df, "zid", ["attr"], cell_size=0.5)
     pts = spark.createDataFrame([(0.5, 0.5), (0.5, 95.0)], "lon double, lat double")

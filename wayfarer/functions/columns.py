@@ -42,8 +42,8 @@ def to_long_rounded(c: str | Column) -> Column:
 
 
 def try_to_long_rounded(c: str | Column) -> Column:
-    """Like ``to_long_rounded`` but NULL instead of an error on overflow."""
-    return F.round(col(c)).try_cast("bigint")
+    """Like ``to_long_rounded`` but NULL instead of an error, for overflow and for text that is no number."""
+    return F.round(col(c).try_cast("decimal(38,18)")).try_cast("bigint")
 
 
 def code_label(c: str | Column, mapping: Mapping, default=None) -> Column:

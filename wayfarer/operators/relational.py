@@ -1,15 +1,20 @@
 """Relational building blocks of the survey tables.
 
-All of them are DataFrame plans; none collects data to the driver.
+All of them are DataFrame plans.  Two helpers look at the data while the plan
+is built (``HotRanges.find`` and ``SaltedKeys.detect``: one small sampling job
+each, whose result stays a DataFrame); neither collects rows to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Keep the first row per ``keys`` under ``order`` (F1: ROW_NUMBER() = 1).
@@ -47,228 +52,207 @@ def previous_value(df: DataFrame, value: Column, partition: Sequence[str], order
     return df.withColumn(alias, F.lag(value, 1).over(w))
 
 
-def _null_first_key(t: tuple) -> tuple:
-    return tuple((v is not None, v) for v in t)
+HOT_KEY_ROWS_CONF = "wayfarer.skew.hotKeyRows"
+DEFAULT_HOT_KEY_ROWS = 1_000_000
+HOT_BROADCAST_BYTES = 64 << 20
 
 
-MAX_BUCKETS = 4096
+def _hot_rows(spark) -> int:
+    return int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
 
 
-def default_buckets(spark) -> int:
-    """Range count: the shuffle width, capped so the driver-side sample stays small."""
-    return min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` written to the session's checkpoint folder (small tables of hot keys)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
-class RangeBuckets:
-    """Contiguous ranges of a composite ascending key (NULLS FIRST), from a sample.
+@dataclass
+class HotRanges:
+    """Contiguous pieces of the rows of leading-key values that hold very many rows.
 
-    ``bucket()`` maps a row to its range index with a balanced CASE tree over
-    the bounds (depth log2(n), a plain codegen expression).  Used to spread a
-    hot leading-key value (one person with a third of all trips) over many
-    tasks while keeping each range contiguous in the key order.
+    ``table`` has one row per hot value: its sorted bounds, cut into groups of
+    about equal size (``tops`` holds each group's first bound), so that a row
+    finds its piece with two short scans.  Values that are not in the table
+    are one piece, number 0.  ``table`` is None if no value is hot.
+    Keys may be of any orderable type; NULLs sort first, as in the windows.
     """
 
-    def __init__(self, keys: Sequence[str], types: dict, bounds_py: list):
-        self.keys, self.types, self.bounds_py = list(keys), types, bounds_py
-        self.bounds = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(self.keys, b)])
-                       for b in bounds_py]
+    lead: str
+    keys: list
+    table: DataFrame | None
 
-    @property
-    def n(self) -> int:
-        return len(self.bounds) + 1
+    #: sampled rows per ``hotKeyRows`` rows: each is a bound, so pieces hold hotKeyRows / 8 rows on average
+    PER_HOT = 8
 
     @classmethod
-    def from_sample(cls, df: DataFrame, keys: Sequence[str], buckets: int, per_bucket: int = 32,
-                    seed: int = 17) -> "RangeBuckets":
-        """Bounds from a uniform sample of about ``buckets * per_bucket`` key rows.
-
-        Two small jobs over the key columns: a count, then a Bernoulli sample
-        at the matching fraction, capped with ``limit`` so the driver never
-        receives more than ``4 * buckets * per_bucket`` rows whatever the
-        table size.  (A random top-k would ship k rows per input partition to
-        the driver.)  The sample only shapes the ranges; results never depend
-        on it.
-        """
-        src = df.select(*keys)
-        want = max(2, buckets * per_bucket)
-        total = src.count()
-        frac = 1.0 if total <= want else want / total
-        # ~want rows: one partition, so the capped collect is one job
-        rows = [tuple(r) for r in src.sample(False, frac, seed).repartition(1).limit(4 * want).collect()]
-        rows.sort(key=_null_first_key)
-        step = max(1, len(rows) // max(1, buckets))
-        bounds = sorted({rows[i] for i in range(step, len(rows), step)}, key=_null_first_key)
-        return cls(keys, dict(src.dtypes), bounds)
-
-    def _tree(self, key: Column, lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < self.bounds[mid - 1], self._tree(key, lo, mid - 1)).otherwise(self._tree(key, mid, hi))
-
-    def bucket(self, cols: Sequence[Column] | None = None) -> Column:
-        cols = cols or [F.col(k) for k in self.keys]
-        key = F.struct(*[c.alias(k) for c, k in zip(cols, self.keys)])
-        return self._tree(key, 0, len(self.bounds))
-
-    def span(self, lead: str) -> Column:
-        """All ranges a row with leading key ``lead`` can fall in (array of ints)."""
-        lowest = [F.col(lead)] + [F.lit(None).cast(self.types[k]) for k in self.keys[1:]]
-        highest = [F.col(lead)] + [_max_of(self.types[k]) for k in self.keys[1:]]
-        return F.sequence(self.bucket(lowest), self.bucket(highest))
-
-
-def _max_of(typ: str) -> Column:
-    top = {"bigint": 2 ** 63 - 1, "int": 2 ** 31 - 1, "smallint": 2 ** 15 - 1, "tinyint": 127}
-    if typ in top:
-        return F.lit(top[typ]).cast(typ)
-    if typ == "double":
-        return F.lit(float("inf"))
-    raise TypeError(f"range bucket key of type {typ} needs a maximum")
-
-
-def lag_in_ranges(df: DataFrame, rb: RangeBuckets, bucket_col: str, value: Column, alias: str,
-                  boundary_rows: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    """LAG(value) by ``rb.keys[0]`` ordered by ``order``, per range + repair.
-
-    ``df`` must carry ``bucket_col`` (= ``rb.bucket()``).  ``order`` (default
-    ``rb.keys[1:]``) must start with ``rb.keys[1:]``: the ranges are cut on
-    that prefix, so rows tying on it share a range and later columns only
-    order rows inside one range.  The window runs per (range, leading key);
-    the first row of each piece takes its predecessor from the last row of
-    the nearest earlier non-empty range, computed over ``boundary_rows`` (rows
-    with the same keys and value as ``df``; one row per range is broadcast).
+    def find(cls, df: DataFrame, lead: str, keys: Sequence[str], seed: int = 17) -> "HotRanges":
+        """Bounds from one Bernoulli sample of the key columns at a rate of ``PER_HOT`` rows per
+        ``hotKeyRows``: it grows with the table by a factor of about 1/100,000 and is grouped on Spark.
+        A value is hot if at least half of ``PER_HOT`` of its rows are sampled.  The sample shapes the
+        pieces only; results never depend on it."""
+        keys = [k for k in keys if k != lead]
+        rate = min(1.0, cls.PER_HOT / _hot_rows(df.sparkSession))
+        bounds = F.sort_array(F.collect_set(F.struct(*keys)))
+        hot = (df.select(lead, *keys).sample(False, rate, seed).groupBy(F.col(lead).alias("__lead"))
+               .agg(bounds.alias("__bounds"), F.count(F.lit(1)).alias("__n"))
+               .where(F.col("__n") >= max(2, cls.PER_HOT // 2)).drop("__n"))
+        hot = hot.withColumn("__side", F.ceil(F.sqrt(F.size("__bounds"))).cast("int"))
+        hot = hot.withColumn("__groups", F.transform(
+            F.sequence(F.lit(0), F.col("__side") - 1),
+            lambda i: F.slice("__bounds", i * F.col("__side") + 1, F.col("__side"))))
+        hot = hot.withColumn("__groups", F.filter("__groups", lambda g: F.size(g) > 0))
+        hot = hot.select("__lead", "__side", "__groups", F.transform("__groups", lambda g: F.element_at(g, 1)).alias("__tops"),
+                         F.size("__bounds").alias("__pieces"))
+        hot = _kept(hot)
+        return cls(lead, keys, None if hot.isEmpty() else hot)
+
+    def _hinted(self) -> DataFrame:
+        size = self.table.agg(F.sum("__pieces")).first()[0] * 32 * (1 + len(self.keys))
+        return F.broadcast(self.table) if size <= HOT_BROADCAST_BYTES else self.table
+
+    def with_piece(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with the number of each row's piece."""
+        if self.table is None:
+            return df.withColumn(name, F.lit(0))
+        key = F.struct(*[F.col(k).alias(k) for k in self.keys])
+
+        def not_above(bounds: Column) -> Column:
+            return F.size(F.filter(bounds, lambda b: b <= key))
+
+        x = df.join(self._hinted(), F.col(self.lead).eqNullSafe(F.col("__lead")), "left")
+        x = x.withColumn("__top", not_above(F.col("__tops")))
+        piece = F.when(F.col("__top") > 0, (F.col("__top") - 1) * F.col("__side")
+                       + not_above(F.get("__groups", F.col("__top") - 1))).otherwise(0)
+        return (x.withColumn(name, F.when(F.col("__lead").isNull() & F.col("__side").isNull(), 0).otherwise(piece))
+                .drop("__lead", "__side", "__groups", "__tops", "__pieces", "__top"))
+
+    def all_pieces(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` (a lookup keyed by the leading key) with one copy per piece of its value."""
+        if self.table is None:
+            return df.withColumn(name, F.lit(0))
+        few = self.table.select("__lead", "__pieces")
+        x = df.join(few, F.col(self.lead).eqNullSafe(F.col("__lead")), "left")
+        return (x.withColumn(name, F.explode(F.sequence(F.lit(0), F.coalesce("__pieces", F.lit(0)))))
+                .drop("__lead", "__pieces"))
+
+
+def lag_in_pieces(df: DataFrame, ranges: HotRanges, piece: str, value: Column, alias: str, order: Sequence[str],
+                  boundary_rows: DataFrame) -> DataFrame:
+    """LAG(value) by ``ranges.lead`` over ascending ``order``, on rows that carry their ``piece``.
+
+    ``order`` starts with ``ranges.keys``: pieces are cut on that prefix, later
+    columns only order rows inside a piece.  Without hot values this is one
+    plain window.  With them the window runs per (value, piece), and the first
+    row of a piece takes the last value of the nearest earlier piece, from
+    ``boundary_rows`` (same keys and value as ``df``, hot values only).
     """
-    partition = rb.keys[0]
-    order = list(order or rb.keys[1:])
-    if order[:len(rb.keys) - 1] != rb.keys[1:]:
+    order = [c for c in order if c != ranges.lead]
+    if order[:len(ranges.keys)] != ranges.keys:
         raise ValueError("order must extend the range keys")
-    first, val = "__first", "__val"
-    w = Window.partitionBy(bucket_col, partition).orderBy(*[F.col(c).asc() for c in order])
-    x = df.withColumn(val, value)
-    x = x.withColumns({alias: F.lag(F.col(val), 1).over(w), first: F.lag(F.lit(1), 1).over(w).isNull()})
-    base = boundary_rows.withColumns({bucket_col: rb.bucket(), val: value})
-    last = base.groupBy(bucket_col).agg(
-        F.max(F.struct(*[F.col(k) for k in [partition, *order]], F.col(val).alias("v"))).alias("__last"))
-    prev = (last.withColumn("__prev", F.lag("__last").over(Window.orderBy(bucket_col)))
-            .select(F.col(bucket_col), F.col("__prev")[partition].alias("__pp"), F.col("__prev")["v"].alias("__pv")))
-    x = x.join(F.broadcast(prev), bucket_col, "left")
-    fixed = F.when(F.col(first) & F.col("__pp").eqNullSafe(F.col(partition)), F.col("__pv")).otherwise(F.col(alias))
-    return x.withColumn(alias, fixed).drop(first, val, "__pp", "__pv")
+    asc = [F.col(c).asc() for c in order]
+    if ranges.table is None:
+        return df.withColumn(alias, F.lag(value, 1).over(Window.partitionBy(ranges.lead).orderBy(*asc)))
+    w = Window.partitionBy(ranges.lead, piece).orderBy(*asc)
+    x = df.withColumns({alias: F.lag(value, 1).over(w), "__first": F.lag(F.lit(1), 1).over(w).isNull()})
+    hot = boundary_rows.join(ranges.table.select(F.col("__lead").alias("__hot")),
+                             F.col(ranges.lead).eqNullSafe(F.col("__hot")), "left_semi")
+    last = (ranges.with_piece(hot, piece).groupBy(F.col(ranges.lead).alias("__lead"), F.col(piece).alias("__at"))
+            .agg(F.max(F.struct(*order, value.alias("__v")))["__v"].alias("__v")))
+    # one row per piece of one value: a value's pieces are as many as its bounds
+    before = last.withColumn("__before", F.lag("__v").over(Window.partitionBy("__lead").orderBy("__at"))).drop("__v")
+    x = x.join(F.broadcast(before) if ranges.table.agg(F.sum("__pieces")).first()[0] * 48 <= HOT_BROADCAST_BYTES else before,
+               F.col(ranges.lead).eqNullSafe(F.col("__lead")) & (F.col(piece) == F.col("__at")), "left")
+    return (x.withColumn(alias, F.when(F.col("__first") & F.col("__at").isNotNull(), F.col("__before")).otherwise(F.col(alias)))
+            .drop("__first", "__lead", "__at", "__before"))
 
 
 def previous_value_balanced(df: DataFrame, value: Column, partition: str, order: Sequence[str], alias: str,
-                            key_sample: DataFrame | None = None, buckets: int | None = None,
-                            sample_per_bucket: int = 32, seed: int = 17,
-                            boundaries_from_sample: bool = False, range_keys: int | None = None) -> DataFrame:
-    """LAG(value) over (PARTITION BY partition ORDER BY order ASC) that splits hot partitions.
-
-    A plain window sends every row of one ``partition`` value to one task; a
-    value holding a third of the table would be a third of the job in one
-    task.  Here the global order (partition, *order) is cut into contiguous
-    ranges from a bounded key sample, rows are shuffled by (range, partition)
-    - a hot value lands in many tasks - and the window plus a one-row-per-range
-    repair give exactly the plain LAG.
-
-    ``key_sample``: where to sample the keys (default ``df``); any sample is
-    correct, a representative one balances the ranges.
-    ``boundaries_from_sample``: take each range's last row from ``key_sample``
-    (exact when ``df`` is ``key_sample`` after left lookups: same rows, maybe
-    repeated).  ``order`` is ascending with NULLS FIRST (SQL default).
-    ``range_keys``: cut the ranges on only the first this-many keys of
-    (partition, *order) - enough to split a hot value; later keys (tie
-    breakers) then only order rows inside a range.
+                            key_source: DataFrame | None = None, range_keys: int | None = None) -> DataFrame:
+    """LAG(value) OVER (PARTITION BY partition ORDER BY order ASC) that splits hot partitions.
+
+    A plain window sends every row of one ``partition`` value to one task.
+    Here values with very many rows are cut into contiguous pieces of the
+    order and shuffled by (value, piece); all others are one piece, so the
+    usual case is the plain window on one shuffle.
+
+    ``key_source``: a cheaper table with the same rows' keys and values (the
+    source before lookups) for the sample and the piece boundaries; default
+    ``df``.  ``range_keys``: cut on this many leading columns of ``order``.
     """
-    keys = [partition] + [c for c in order if c != partition]
-    n = buckets or default_buckets(df.sparkSession)
-    if n <= 1:
-        return previous_value(df, value, [partition], [F.col(c).asc() for c in order], alias)
-    src = key_sample if key_sample is not None else df
-    rb = RangeBuckets.from_sample(src, keys[:range_keys or len(keys)], n, sample_per_bucket, seed)
-    b = "__bucket"
-    # explicit exchange on (range, partition): an upstream hash partitioning on
-    # ``partition`` alone would otherwise satisfy the window and keep a hot
-    # value in one task
-    x = df.withColumn(b, rb.bucket()).repartition(F.col(b), F.col(partition))
-    out = lag_in_ranges(x, rb, b, value, alias, src if boundaries_from_sample else df, order=keys[1:])
-    return out.drop(b)
+    keys = [c for c in order if c != partition]
+    source = key_source if key_source is not None else df
+    ranges = HotRanges.find(source, partition, keys[:range_keys or len(keys)])
+    x = ranges.with_piece(df, "__piece")
+    return lag_in_pieces(x, ranges, "__piece", value, alias, keys, source).drop("__piece")
 
 
-HOT_KEY_ROWS_CONF = "wayfarer.skew.hotKeyRows"
-DEFAULT_HOT_KEY_ROWS = 1_000_000
 HOT_SAMPLE_CONF = "wayfarer.skew.sampleFraction"
 DEFAULT_HOT_SAMPLE = 0.01
-MAX_HOT_KEYS = 10_000
-MAX_HOT_SALTS = 256
 
 
+@dataclass
 class SaltedKeys:
     """Salting of a many-to-one left join on composite keys (probe side skewed).
 
     * Left rows with a NULL key can never match; they get a salt spread by a
       row hash, so a mass of NULL keys is split over ``null_salts`` tasks.
-    * Hot keys - about ``hot_rows`` left rows or more, counted on a Bernoulli
-      sample of the left keys (a key with a million rows appears ~10,000
-      times in a 1% sample; a full count of nearly unique keys would shuffle
-      them all), at most ``MAX_HOT_KEYS`` brought to the driver - get a salt
-      spread over ``hot_salts`` tasks; the right rows of those keys are
-      copied once per salt value, all other right rows once.  Which keys are
-      salted only affects balance, never the result.
-    The join then runs on (keys, salt) and returns exactly the unsalted join.
+    * Hot keys - about ``hotKeyRows`` left rows or more, counted on a Bernoulli
+      sample of the left keys - are a DataFrame with a number of salts each,
+      one per ``hotKeyRows`` rows; their left rows are spread over the salts by
+      a row hash, and the one right row per key is copied once per salt.
+    Which keys are salted only affects balance, never the result: the join
+    runs on (keys, salt) and returns exactly the unsalted join.
     """
 
-    def __init__(self, keys: Sequence[str], hot: list, types: dict, null_salts: int, hot_salts: int):
-        self.keys, self.hot, self.null_salts, self.hot_salts = list(keys), hot, null_salts, hot_salts
-        self._hot_lits = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(self.keys, h)]) for h in hot]
+    keys: list
+    hot: DataFrame | None      # keys as __h0.., __salts
+    null_salts: int
+    small: bool = True
 
     @classmethod
     def detect(cls, left: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> "SaltedKeys":
         spark = left.sparkSession
-        hot_rows = hot_rows or int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
-        frac = float(spark.conf.get(HOT_SAMPLE_CONF, str(DEFAULT_HOT_SAMPLE)))
-        width = min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        k = left.select(*keys)
-        complete = None
-        for c in keys:
-            cond = F.col(c).isNotNull()
-            complete = cond if complete is None else complete & cond
-        sampled = k.where(complete)
-        if frac < 1.0:
-            sampled = sampled.sample(False, frac, 23)
-        need = max(2, int(hot_rows * frac / 2)) if frac < 1.0 else hot_rows
-        # the hot keys are few: one partition, so the capped collect is one job
-        hot = [tuple(r) for r in sampled.groupBy(*keys).count().where(F.col("count") >= need)
-               .select(*keys).repartition(1).limit(MAX_HOT_KEYS).collect()]
-        return cls(keys, hot, dict(k.dtypes), width, min(width, MAX_HOT_SALTS))
+        hot_rows = hot_rows or _hot_rows(spark)
+        rate = float(spark.conf.get(HOT_SAMPLE_CONF, str(DEFAULT_HOT_SAMPLE)))
+        k = left.select(*keys).dropna("any")
+        if rate < 1.0:
+            k = k.sample(False, rate, 23)
+        least = max(2, int(hot_rows * rate / 2)) if rate < 1.0 else hot_rows
+        hot = _kept(k.groupBy(*[F.col(c).alias(f"__h{i}") for i, c in enumerate(keys)]).count()
+                    .where(F.col("count") >= least)
+                    .select(*[f"__h{i}" for i in range(len(keys))],
+                            F.ceil(F.col("count") / F.lit(rate * hot_rows) + 1).cast("int").alias("__salts")))
+        n = hot.count()
+        return cls(list(keys), hot if n else None, int(spark.conf.get("spark.sql.shuffle.partitions")),
+                   n * 64 <= HOT_BROADCAST_BYTES)
 
     def _any_null(self) -> Column:
-        out = None
+        out = F.lit(False)
         for c in self.keys:
-            cond = F.col(c).isNull()
-            out = cond if out is None else out | cond
+            out = out | F.col(c).isNull()
         return out
 
-    def _is_hot(self) -> Column:
-        if not self.hot:
-            return F.lit(False)
-        return F.struct(*[F.col(k) for k in self.keys]).isin(*self._hot_lits)
-
-    def left_salt(self, row_hash: Column) -> Column:
-        return (F.when(self._any_null(), 1 + F.pmod(row_hash, F.lit(self.null_salts)))
-                .when(self._is_hot(), F.pmod(row_hash, F.lit(self.hot_salts)))
-                .otherwise(F.lit(0)).cast("int"))
+    def _with_salts(self, df: DataFrame) -> DataFrame:
+        if self.hot is None:
+            return df.withColumn("__salts", F.lit(1))
+        cond = F.lit(True)
+        for i, c in enumerate(self.keys):
+            cond = cond & (F.col(c) == F.col(f"__h{i}"))
+        return (df.join(F.broadcast(self.hot) if self.small else self.hot, cond, "left")
+                .drop(*[f"__h{i}" for i in range(len(self.keys))]).withColumn("__salts", F.coalesce("__salts", F.lit(1))))
 
-    def right_salts(self) -> Column:
-        """Array of salts per right row (explode it); NULL-key rows get -1 (they never match)."""
-        return (F.when(self._any_null(), F.array(F.lit(-1)))
-                .when(self._is_hot(), F.sequence(F.lit(0), F.lit(self.hot_salts - 1)))
-                .otherwise(F.array(F.lit(0))))
+    def salt_left(self, df: DataFrame, row_hash: Column, name: str) -> DataFrame:
+        x = self._with_salts(df.withColumn("__row_hash", row_hash))
+        return x.withColumn(name, F.when(self._any_null(), F.pmod("__row_hash", F.lit(self.null_salts))).otherwise(
+            F.pmod("__row_hash", F.col("__salts"))).cast("int")).drop("__salts", "__row_hash")
 
     def salt_right(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` with salt column ``name``: rows of hot keys repeated once per salt value."""
-        if not self.hot:      # nothing to copy: one salt per row, no row generation
-            return df.withColumn(name, F.when(self._any_null(), F.lit(-1)).otherwise(F.lit(0)))
-        return df.withColumn(name, F.explode(self.right_salts()))
+        """``df`` (one row per key) with salt column ``name``: rows of hot keys once per salt."""
+        if self.hot is None:
+            return df.withColumn(name, F.lit(0))
+        return (self._with_salts(df).withColumn(name, F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)))
+                .drop("__salts"))
 
 
 def gap_since_previous(start: Column, prev_end: Column) -> Column:

@@ -4,26 +4,29 @@ Zones are polygons stored as rings: ``array<array<struct<lon:double,lat:double>>
 (all rings of a zone together; the even-odd rule handles holes and multiple
 parts).  Edges are planar segments between consecutive vertices.
 
-Index (built once per zone table, on Spark, from the zone table itself):
-
-* every zone's bounding box is covered by square grid cells of side ``G``;
-* for each (cell, zone) only the edges that can matter to a point in that cell
-  are kept: edges whose y-range meets the cell's row band and that reach the
-  cell's left side (a ray cast to +x only crosses those);
-* a (cell, zone) pair with no edge touching the cell is uniformly inside or
-  outside; "outside" pairs are dropped, "inside" pairs keep no edges at all
-  and need no test at lookup time;
-* pairs are grouped per cell: ``(cx, cy, zones: array<struct<...>>)``.
+Index (built per zone table, on Spark, edge by edge):
+
+* the plane is cut into square grid cells of side ``G``; every edge goes to the
+  rows of cells it meets, and inside a row to the cells it touches, so a zone
+  with very many vertices is spread over rows, and no task tests a zone's cells
+  against all of its edges;
+* in every row of a zone the edges that cross the row's reference line give, in
+  order of x, the intervals inside the zone: the cells whose reference point
+  lies in one are marked inside (parity of the reference point);
+* pairs are grouped per cell: ``(cx, cy, zones: array<struct<...>>)``, each zone
+  with the parity of the cell's reference point and the edges that touch the
+  cell (none: the whole cell is inside, and needs no test at lookup time).
 
 Lookup is row-local: each point computes its cell, one equi-join (left outer)
-attaches the cell's candidate list, and higher-order functions run the exact
-even-odd / on-edge test.  The point table is never shuffled when the cell
+attaches the cell's candidate list, and higher-order functions run the
+even-odd / on-edge test: from the reference point to the point, along one
+vertical and one horizontal step, each crossing of an edge flips the parity.  The point table is never shuffled when the cell
 table is broadcast; the broadcast happens only after its size has been
 measured against a limit, otherwise the join falls back to a shuffled join on
 (cx, cy) (AQE splits hot cells).
 
 Predicates: ``intersects`` = inside or on an edge; ``within`` = inside and not
-on an edge.  Points with a NULL coordinate match nothing.
+on an edge.  Points with a NULL, NaN or out-of-range coordinate match nothing.
 """
 
 from __future__ import annotations
@@ -36,10 +39,11 @@ from pyspark.sql import functions as F
 
 DEFAULT_CELL_SIZE = "auto"
 CELLS_PER_ZONE_SIDE = 8          # auto: cell side = median zone extent / this
-MAX_CELLS = 4_000_000            # auto: coarsen until the cover has at most this many cells
+MAX_CELLS = 4_000_000            # auto: coarsen until zones span at most this many cells beyond their first
+REF_X, REF_Y = 0.5137, 0.4871    # reference point of a cell, in units of G (off the middle, where few edges pass)
 DEFAULT_MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 _CONF_MAX_BROADCAST = "wayfarer.spatial.maxBroadcastBytes"
-_SLACK = 1e-9          # relative padding of cell boxes when clipping edges
+_SLACK = 1e-9          # padding of rows and cells when edges are clipped, in units of G
 
 _ids = count()
 
@@ -69,19 +73,27 @@ def _closed(ring: Column) -> Column:
 def _edges(geometry: Column) -> Column:
     """Flatten rings into ``array<struct<x1,y1,x2,y2>>``."""
     def ring_edges(ring):
-        ring = _closed(ring)
-        return F.transform(
-            F.sequence(F.lit(1), F.size(ring) - 1),
-            lambda i: F.struct(
-                F.element_at(ring, i)["lon"].alias("x1"), F.element_at(ring, i)["lat"].alias("y1"),
-                F.element_at(ring, i + 1)["lon"].alias("x2"), F.element_at(ring, i + 1)["lat"].alias("y2")))
+        # consecutive vertices by zipping the ring with itself, one step on: linear in the ring
+        closed = _closed(ring)
+        pairs = F.arrays_zip(closed, F.slice(closed, 2, F.size(closed)))
+        return F.transform(F.filter(pairs, lambda p: p["1"].isNotNull()), lambda p: F.struct(
+            p["0"]["lon"].alias("x1"), p["0"]["lat"].alias("y1"), p["1"]["lon"].alias("x2"), p["1"]["lat"].alias("y2")))
     return F.flatten(F.transform(geometry, ring_edges))
 
 
-def _crosses(e, px: Column, py: Column) -> Column:
-    """Edge ``e`` crosses the ray from (px, py) towards +x (half-open in y)."""
-    return (((e["y1"] > py) != (e["y2"] > py))
-            & (px < (e["x2"] - e["x1"]) * (py - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]))
+def _x_at(e, y: Column) -> Column:
+    return (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
+
+
+def _y_at(e, x: Column) -> Column:
+    return (e["y2"] - e["y1"]) * (x - e["x1"]) / F.nullif(e["x2"] - e["x1"], F.lit(0.0)) + e["y1"]
+
+
+def _steps_cross(e, px: Column, py: Column, rx: Column, ry: Column) -> Column:
+    """How often the path (px, py) - (rx, py) - (rx, ry) crosses edge ``e`` (half-open rules)."""
+    along = ((e["y1"] > py) != (e["y2"] > py)) & ((px < _x_at(e, py)) != (rx < _x_at(e, py)))
+    up = ((e["x1"] > rx) != (e["x2"] > rx)) & ((py < _y_at(e, rx)) != (ry < _y_at(e, rx)))
+    return along.cast("int") + up.cast("int")
 
 
 def _on_edge(e, px: Column, py: Column) -> Column:
@@ -91,8 +103,10 @@ def _on_edge(e, px: Column, py: Column) -> Column:
             & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
 
 
-def inside_even_odd(edges: Column, px: Column, py: Column) -> Column:
-    return F.size(F.filter(edges, lambda e: _crosses(e, px, py))) % 2 == 1
+def inside_even_odd(ref_inside: Column, edges: Column, px: Column, py: Column, rx: Column, ry: Column) -> Column:
+    """Parity of (px, py), given the parity of the reference point and all edges that touch the cell."""
+    odd = F.aggregate(edges, F.lit(0), lambda n, e: n + F.coalesce(_steps_cross(e, px, py, rx, ry), F.lit(0))) % 2 == 1
+    return ref_inside != odd
 
 
 def on_boundary(edges: Column, px: Column, py: Column) -> Column:
@@ -110,29 +124,30 @@ def _auto_cell_size(z: DataFrame) -> float:
     ext = F.greatest(F.col("_maxx") - F.col("_minx"), F.col("_maxy") - F.col("_miny"))
     row = z.agg(F.percentile_approx(ext, 0.5).alias("med"),
                 F.sum((F.col("_maxx") - F.col("_minx")) * (F.col("_maxy") - F.col("_miny"))).alias("area"),
-                F.sum(F.col("_maxx") - F.col("_minx") + F.col("_maxy") - F.col("_miny")).alias("perim"),
-                F.count(F.lit(1)).alias("n")).first()
+                F.sum(F.col("_maxx") - F.col("_minx") + F.col("_maxy") - F.col("_miny")).alias("perim")).first()
     if not row or not row["med"]:
         return 1.0
     G = float(row["med"]) / CELLS_PER_ZONE_SIDE
-    # cells ~ area/G^2 + perimeter/G + n ; grow G until under the cap
-    while (row["area"] / G ** 2 + row["perim"] / G + row["n"]) > MAX_CELLS:
+    # cells ~ area/G^2 + perimeter/G (+ one per zone, whatever G): both terms vanish as G grows
+    while row["area"] / G ** 2 + row["perim"] / G > MAX_CELLS:
         G *= 1.5
     return G
 
 
-_STATS: dict = {}   # stats_key -> (cell size, measured index bytes)
+def _value_bytes(df: DataFrame, c: str) -> Column:
+    if dict(df.dtypes)[c] in ("string", "binary"):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    return F.lit(16)
 
 
 def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str = "geometry",
                      cell_size: float | str = DEFAULT_CELL_SIZE,
-                     max_broadcast_bytes: int | None = None, stats_key=None,
+                     max_broadcast_bytes: int | None = None,
                      materialize: bool = False) -> ZoneIndex:
     """Grid index of ``zones``; ``attrs`` are carried to every match.
 
-    ``stats_key`` (e.g. the zone table's path) memoises the two measurements
-    (cell size, index bytes) for a zone table that does not change, so
-    repeated builds skip the two small measuring jobs.
+    Two small jobs measure the zone table (cell size, index bytes) at every
+    build, so a replaced table is never judged by an old measurement.
     ``materialize``: store the index with a reliable checkpoint in the
     session's ``spark.checkpoint.dir`` (shared storage on a cluster), for an
     index used by several queries.
@@ -140,52 +155,59 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
     attrs = [id_col, *[a for a in attrs if a != id_col]]
     spark = zones.sparkSession
 
-    z = zones.select(*[F.col(a) for a in attrs], _edges(F.col(geometry_col)).alias("_e"))
-    z = z.select(
-        "*",
+    z = zones.select(*[F.col(a) for a in attrs], _edges(F.col(geometry_col)).alias("_e")).where(F.size("_e") > 0)
+    G = float(cell_size) if cell_size != "auto" else _auto_cell_size(z.select(
         F.array_min(F.transform("_e", lambda e: F.least(e["x1"], e["x2"]))).alias("_minx"),
         F.array_max(F.transform("_e", lambda e: F.greatest(e["x1"], e["x2"]))).alias("_maxx"),
         F.array_min(F.transform("_e", lambda e: F.least(e["y1"], e["y2"]))).alias("_miny"),
-        F.array_max(F.transform("_e", lambda e: F.greatest(e["y1"], e["y2"]))).alias("_maxy"),
-    ).where(F.size("_e") > 0)
-    if stats_key is not None and stats_key in _STATS:
-        G, est = _STATS[stats_key]
-    else:
-        G, est = (_auto_cell_size(z) if cell_size == "auto" else float(cell_size)), None
-
-    cells = (z
-             .withColumn("cx", F.explode(F.sequence(F.floor(F.col("_minx") / G), F.floor(F.col("_maxx") / G))))
-             .withColumn("cy", F.explode(F.sequence(F.floor(F.col("_miny") / G), F.floor(F.col("_maxy") / G)))))
-
+        F.array_max(F.transform("_e", lambda e: F.greatest(e["y1"], e["y2"]))).alias("_maxy")))
     pad = G * _SLACK
-    bx0 = F.col("cx") * G - pad
-    bx1 = (F.col("cx") + 1) * G + pad
-    by0 = F.col("cy") * G - pad
-    by1 = (F.col("cy") + 1) * G + pad
-    # edges a ray from any point of the cell can cross or touch
-    band = F.filter("_e", lambda e: (F.least(e["y1"], e["y2"]) <= by1) & (F.greatest(e["y1"], e["y2"]) >= by0)
-                    & (F.greatest(e["x1"], e["x2"]) >= bx0))
-    cells = cells.select(*attrs, "cx", "cy", band.alias("_band"))
-    # edges whose box meets the cell: if none, the whole cell is on one side
-    near = F.exists("_band", lambda e: (F.least(e["x1"], e["x2"]) <= bx1) & (F.greatest(e["x1"], e["x2"]) >= bx0))
-    cx_mid = (F.col("cx") + 0.5) * G
-    cy_mid = (F.col("cy") + 0.5) * G
-    cells = cells.select(
-        *attrs, "cx", "cy",
-        F.when(near, F.col("_band")).otherwise(F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>"))
-        .alias("edges"),
-        F.when(near, F.lit(False)).otherwise(inside_even_odd(F.col("_band"), cx_mid, cy_mid)).alias("inside"),
-    ).where(F.col("inside") | (F.size("edges") > 0))
-
-    entry = F.struct(*[F.col(a) for a in attrs], F.col("inside"), F.col("edges"))
-    est_row = 48 + 16 * len(attrs)
+
+    # edges to rows; per row the part of the edge inside it, and where it crosses the reference line
+    zone = ["_z", *attrs]
+    edges = (z.withColumn("_z", F.monotonically_increasing_id()).select(*zone, F.explode("_e").alias("e"))
+             .where(~F.isnan("e.x1") & ~F.isnan("e.y1") & ~F.isnan("e.x2") & ~F.isnan("e.y2")))
+    low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
+    rows = edges.withColumn("cy", F.explode(F.sequence(F.floor((low - pad) / G), F.floor((high + pad) / G))))
+    e = F.col("e")
+
+    def x_on(y: Column) -> Column:   # x of the edge at y, y clipped to the edge
+        t = (F.least(F.greatest(y, low), high) - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
+        return e["x1"] + t * (e["x2"] - e["x1"])
+
+    below, above = x_on(F.col("cy") * G - pad), x_on((F.col("cy") + 1) * G + pad)
+    ref_y = (F.col("cy") + REF_Y) * G
+    rows = rows.select(*zone, "cy", F.struct(
+        e.alias("e"),
+        F.floor((F.coalesce(F.least(below, above), F.least(e["x1"], e["x2"])) - pad) / G).alias("from"),
+        F.floor((F.coalesce(F.greatest(below, above), F.greatest(e["x1"], e["x2"])) + pad) / G).alias("to")).alias("part"),
+        F.when((e["y1"] > ref_y) != (e["y2"] > ref_y), _x_at(e, ref_y)).alias("x"))
+    by_row = rows.groupBy(*zone, "cy").agg(F.collect_list("part").alias("parts"), F.sort_array(F.collect_list("x")).alias("xs"))
+
+    edge_type = "struct<x1:double,y1:double,x2:double,y2:double>"
+    touched = F.flatten(F.transform("parts", lambda p: F.transform(F.sequence(p["from"], p["to"]), lambda c: F.struct(
+        c.alias("cx"), p["e"].alias("e")))))
+    spans = F.filter(F.arrays_zip(F.col("xs").alias("a"), F.slice("xs", 2, F.size("xs")).alias("b")),
+                     lambda s: s["b"].isNotNull())
+    inner = F.flatten(F.transform(
+        F.filter(spans, lambda s, i: i % 2 == 0),
+        lambda s: F.transform(F.filter(F.sequence(F.floor(s["a"] / G) - 1, F.floor(s["b"] / G) + 1), lambda c: (
+            ((c + REF_X) * G >= s["a"]) & ((c + REF_X) * G < s["b"]))),
+            lambda c: F.struct(c.alias("cx"), F.lit(None).cast(edge_type).alias("e")))))
+    cells = (by_row.select(*zone, "cy", F.explode(F.concat(touched, inner)).alias("c"))
+             .groupBy(*zone, F.col("c.cx").alias("cx"), "cy")
+             .agg(F.collect_list("c.e").alias("edges"), F.max(F.col("c.e").isNull()).alias("inside")))
+
+    size = F.lit(40)
+    for a in attrs:
+        size = size + _value_bytes(zones, a)
     # ``exact``: every candidate covers the whole cell, so any point of the cell
     # is in all of them and the pick is known in advance (``first``)
     index = cells.groupBy("cx", "cy").agg(
-        F.collect_list(entry).alias("zones"),
+        F.collect_list(F.struct(*[F.col(a) for a in attrs], "inside", "edges")).alias("zones"),
         F.bool_and(F.size("edges") == 0).alias("exact"),
         F.min(F.struct(*[F.col(a) for a in attrs])).alias("first"),
-        F.sum(F.lit(est_row) + 32 * F.size("edges")).alias("_bytes"))
+        F.sum(size + 56 * F.size("edges")).alias("_bytes"))
 
     if materialize:
         # one small job: the index is computed once for all later queries
@@ -196,18 +218,19 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
         index = index.checkpoint(eager=True)
     if max_broadcast_bytes is None:
         max_broadcast_bytes = int(spark.conf.get(_CONF_MAX_BROADCAST, str(DEFAULT_MAX_BROADCAST_BYTES)))
-    if est is None:
-        # size check: one small aggregate over the zone table
-        est = int(index.agg(F.coalesce(F.sum(F.col("_bytes") + 24), F.lit(0))).first()[0])
-        if stats_key is not None:
-            _STATS[stats_key] = (G, est)
+    # size check: one small aggregate over the zone table
+    est = int(index.agg(F.coalesce(F.sum(F.col("_bytes") + 80), F.lit(0))).first()[0])
     return ZoneIndex(index.drop("_bytes"), G, attrs, est, est <= max_broadcast_bytes)
 
 
 # ---------------------------------------------------------------- lookups
-def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex, tag: str) -> DataFrame:
+def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex, tag: str,
+                       source: DataFrame | None = None) -> DataFrame:
     """Left join each point's cell candidates as column ``__<tag>_zones``.
 
+    ``source``: a cheaper table with the same coordinates, to count dense
+    cells on if the lookup is shuffled.
+
     The index side is used unchanged (same plan for every lookup on it), so
     several lookups against one zone table share one broadcast.
     """
@@ -218,7 +241,8 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
             raise ValueError(f"reserved column {c} present")
     cells = index.cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zones").alias("__zones"),
                                F.col("exact").alias("__exact"), F.col("first").alias("__first"))
-    pts = points.withColumns({"__cx": F.floor(F.col(lon) / G), "__cy": F.floor(F.col(lat) / G)})
+    ok = _valid(lon, lat)
+    pts = points.withColumns({"__cx": F.when(ok, F.floor(F.col(lon) / G)), "__cy": F.when(ok, F.floor(F.col(lat) / G))})
     if index.broadcast:
         joined = pts.join(F.broadcast(cells), ["__cx", "__cy"], "left")
     else:
@@ -226,69 +250,85 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
         # would be one task, so such cells are salted (their index rows copied
         # once per salt value) - the same exact salting as the trip match
         from .relational import SaltedKeys
-        salt = SaltedKeys.detect(pts, ["__cx", "__cy"])
+        counted = points if source is None else source
+        salt = SaltedKeys.detect(counted.select(F.when(ok, F.floor(F.col(lon) / G)).alias("__cx"),
+                                                F.when(ok, F.floor(F.col(lat) / G)).alias("__cy")), ["__cx", "__cy"])
         cells = salt.salt_right(cells, "__salt")
         # deterministic per row; all columns, so many trips from one exact spot still spread
-        pts = pts.withColumn("__salt", salt.left_salt(F.xxhash64(*[F.col(f"`{c}`") for c in points.columns])))
+        pts = salt.salt_left(pts, F.xxhash64(*[F.col(f"`{c}`") for c in points.columns]), "__salt")
         joined = pts.join(cells, ["__cx", "__cy", "__salt"], "left").drop("__salt")
     return (joined.drop("__cx", "__cy")
             .withColumnsRenamed({"__zones": f"__{tag}_zones", "__exact": f"__{tag}_exact",
                                  "__first": f"__{tag}_first"}))
 
 
-def _matches(zs: Column, px: Column, py: Column, predicate: str) -> Column:
-    if predicate == "intersects":
-        test = lambda z: F.when(F.size(z["edges"]) == 0, z["inside"]).otherwise(
-            inside_even_odd(z["edges"], px, py) | on_boundary(z["edges"], px, py))
-    elif predicate == "within":
-        test = lambda z: F.when(F.size(z["edges"]) == 0, z["inside"]).otherwise(
-            inside_even_odd(z["edges"], px, py) & ~on_boundary(z["edges"], px, py))
-    else:
+def _valid(lon: str, lat: str) -> Column:
+    """A point on the globe: neither NULL nor NaN nor out of range."""
+    return ((F.abs(F.col(lon)) <= 180) & (F.abs(F.col(lat)) <= 90)
+            & ~F.isnan(F.col(lon).cast("double")) & ~F.isnan(F.col(lat).cast("double")))
+
+
+def _matches(zs: Column, lon: str, lat: str, predicate: str, cell: float) -> Column:
+    px, py = F.col(lon), F.col(lat)
+    rx, ry = (F.floor(px / cell) + REF_X) * cell, (F.floor(py / cell) + REF_Y) * cell
+
+    def test(z):
+        inside = inside_even_odd(z["inside"], z["edges"], px, py, rx, ry)
+        edge = on_boundary(z["edges"], px, py)
+        hit = inside | edge if predicate == "intersects" else inside & ~edge
+        return F.when(F.size(z["edges"]) == 0, z["inside"]).otherwise(hit)
+
+    if predicate not in ("intersects", "within"):
         raise ValueError(f"unknown predicate {predicate!r}")
-    return F.filter(zs, lambda z: px.isNotNull() & py.isNotNull() & test(z))
+    return F.filter(zs, test)
 
 
 def _check_coordinates(points: DataFrame, lon: str, lat: str, on_bad: str) -> DataFrame:
-    """``on_bad="null"``: out-of-range points simply match nothing; ``"raise"``: fail the job."""
+    """``on_bad="null"``: NaN and out-of-range points match nothing; ``"raise"``: fail the job."""
     if on_bad == "null":
         return points
     if on_bad != "raise":
         raise ValueError(f"on_bad must be 'null' or 'raise', not {on_bad!r}")
-    bad = (F.abs(F.col(lat)) > 90) | (F.abs(F.col(lon)) > 180)
+    bad = F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~_valid(lon, lat)
     return points.withColumn(lat, F.when(bad, F.raise_error(
         F.concat(F.lit("coordinate out of range: "), F.col(lon).cast("string"), F.lit(", "),
                  F.col(lat).cast("string")))).otherwise(F.col(lat)))
 
 
 def assign_zone(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs: dict,
-                predicate: str = "intersects", on_bad: str = "null") -> DataFrame:
+                predicate: str = "intersects", on_bad: str = "null", id_col: str | None = None,
+                source: DataFrame | None = None) -> DataFrame:
     """Add one zone per point: the matching zone with the lowest id.
 
     ``outputs`` maps index attribute -> output column name.  All outputs come
     from the same zone.  Rows are never added or removed.  ``on_bad``: what a
     point outside |lat| <= 90, |lon| <= 180 does ("null": no zone; "raise").
+    ``id_col``: rows whose id is NULL get no zone (a zone belongs to an id;
+    ids are unique, which ``run_pipeline`` checks).
     """
     points = _check_coordinates(points, lon, lat, on_bad)
     tag = f"z{next(_ids)}"
     zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
-    df = _attach_candidates(points, lon, lat, index, tag)
+    df = _attach_candidates(points, lon, lat, index, tag, source)
     picked = f"__{tag}_pick"
-    hit = _matches(F.col(zs), F.col(lon), F.col(lat), predicate)
+    hit = _matches(F.col(zs), lon, lat, predicate, index.cell_size)
     tested = F.array_min(F.transform(hit, lambda z: F.struct(*[z[a].alias(a) for a in index.attrs])))
     # cells wholly inside their candidates skip the per-point test (CASE is lazy)
     pick = F.when(F.col(exact) & F.col(lon).isNotNull() & F.col(lat).isNotNull(), F.col(first)).otherwise(tested)
+    if id_col is not None:
+        pick = F.when(F.col(id_col).isNotNull(), pick)
     df = df.withColumn(picked, pick).drop(zs, exact, first)
     return df.withColumns({out: F.col(picked)[a] for a, out in outputs.items()}).drop(picked)
 
 
 def join_zones(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs: dict,
-               predicate: str = "within", on_bad: str = "null") -> DataFrame:
+               predicate: str = "within", on_bad: str = "null", source: DataFrame | None = None) -> DataFrame:
     """Left join every matching zone: a point in two zones gives two rows, none gives NULLs."""
     points = _check_coordinates(points, lon, lat, on_bad)
     tag = f"z{next(_ids)}"
     zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
-    df = _attach_candidates(points, lon, lat, index, tag)
+    df = _attach_candidates(points, lon, lat, index, tag, source)
     one = f"__{tag}_one"
-    hit = F.when(F.col(exact), F.col(zs)).otherwise(_matches(F.col(zs), F.col(lon), F.col(lat), predicate))
+    hit = F.when(F.col(exact), F.col(zs)).otherwise(_matches(F.col(zs), lon, lat, predicate, index.cell_size))
     df = df.withColumn(one, F.explode_outer(F.transform(hit, lambda z: F.struct(*[z[a].alias(a) for a in index.attrs]))))
     return df.drop(zs, exact, first).withColumns({out: F.col(one)[a] for a, out in outputs.items()}).drop(one)

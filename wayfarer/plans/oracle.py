@@ -251,7 +251,7 @@ UNLINKED_ZONE_COLS = ("o3.CO_TAZID AS oCO_TAZID_USTMv3, d3.CO_TAZID AS dCO_TAZID
 UNLINKED_ZONE_JOINS = ("LEFT JOIN o3 ON t.trip_id = o3.trip_id LEFT JOIN d3 ON t.trip_id = d3.trip_id "
                        "LEFT JOIN o4 ON t.trip_id = o4.trip_id LEFT JOIN d4 ON t.trip_id = d4.trip_id")
 
-LINKED_KEY = "SELECT sha256(CAST(linked_trip_id AS VARCHAR)) AS unique_id, * FROM trip_linked_src"
+LINKED_KEY = "SELECT sha256(concat(length(CAST(linked_trip_id AS VARCHAR)), ':', CAST(linked_trip_id AS VARCHAR))) AS unique_id, * FROM trip_linked_src"
 LINKED_PICKS = [
     ("o3", _pick("tl", "unique_id", "o_lon", "o_lat", "taz_v3", ["CO_FIPS"])),
     ("d3", _pick("tl", "unique_id", "d_lon", "d_lat", "taz_v3", ["CO_FIPS"])),
@@ -409,7 +409,7 @@ def _build() -> dict[str, str]:
                           + "SELECT count(*) AS n_rows, count(*) AS n_distinct, CAST(36 AS INTEGER) AS min_len, "
                             "CAST(36 AS INTEGER) AS max_len FROM trip_linked_src")
     q["surrogate_key_hash"] = (_with(["trip_linked_src"])
-                               + "SELECT sha256(CAST(linked_trip_id AS VARCHAR)) AS unique_id, linked_trip_id "
+                               + "SELECT sha256(concat(length(CAST(linked_trip_id AS VARCHAR)), ':', CAST(linked_trip_id AS VARCHAR))) AS unique_id, linked_trip_id "
                                  "FROM trip_linked_src")
 
     # ------------------------------------------------------------ whole tables

@@ -4,11 +4,14 @@
   prefix/suffix, file format.
 * ``Sources``: name -> DataFrame (parquet folder, catalog schema, or the test
   fixtures).
-* ``run_pipeline``: checks every input first (fail fast), adds the random
-  surrogate key to the linked trips and writes that table once (later reads
-  see the stored ids, never a re-evaluated ``uuid()``), then rebuilds each
-  output table in order with overwrite semantics.  Zone indexes are built
-  once and shared by the three tables that need them.
+* ``run_pipeline``: checks everything first (inputs present, no output or
+  keyed table in the place of an input, checkpoint folder known, ids unique),
+  then rebuilds each output table in order.  A table is written beside its
+  place and put there when it is complete, so a failed job leaves the old one.
+  Zone indexes are built once and shared by the three tables that need them.
+* Surrogate keys: keying the linked trips is a step of its own
+  (``key_linked_trips``).  The keyed table is stored once; later builds reuse
+  it, so ids of earlier outputs stay valid, unless ``rekey`` is set.
 
 The tables do not read each other, so the order only matters for the keyed
 linked-trip table, which must exist before ``trip_linked``.
@@ -17,12 +20,15 @@ linked-trip table, which must exist before ``trip_linked``.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.keys import with_surrogate_key
+from ..operators.relational import assert_unique
+from ..session import checkpoint_dir
 from ..sources import fixtures, zones
 from . import tables as T
 
@@ -49,20 +55,22 @@ class BuildConfig:
     catalog: bool = False            # True: saveAsTable into schema ``target``
     key_method: str = "uuid"         # surrogate key of linked trips: uuid | hash
     key_cols: Sequence[str] = ("linked_trip_id",)
+    rekey: bool = False              # True: draw new surrogate keys even if a keyed table is stored
+    check_ids: bool = True           # fail if a trip id repeats (a zone belongs to an id)
 
     @classmethod
     def from_env(cls, env=None) -> "BuildConfig":
         """Build settings from the environment, with defaults.
 
         TARGET_DATASET (folder, or schema with TARGET_CATALOG=1), TABLE_PREFIX,
-        TABLE_SUFFIX, TABLE_FORMAT.
+        TABLE_SUFFIX, TABLE_FORMAT, REKEY_LINKED.
         """
-        import os as _os
-        env = _os.environ if env is None else env
+        env = os.environ if env is None else env
         return cls(target=env.get("TARGET_DATASET", "survey_tables"),
                    prefix=env.get("TABLE_PREFIX", ""), suffix=env.get("TABLE_SUFFIX", ""),
                    format=env.get("TABLE_FORMAT", "parquet"),
-                   catalog=env.get("TARGET_CATALOG", "0") in ("1", "true", "yes"))
+                   catalog=env.get("TARGET_CATALOG", "0") in ("1", "true", "yes"),
+                   rekey=env.get("REKEY_LINKED", "0") in ("1", "true", "yes"))
 
     def table_name(self, base: str) -> str:
         return f"{self.prefix}{base}{self.suffix}"
@@ -75,8 +83,14 @@ class BuildConfig:
 class Sources:
     """Named source tables."""
 
-    def __init__(self, loader: Callable[[str], DataFrame], exists: Callable[[str], bool], where: str):
+    def __init__(self, loader: Callable[[str], DataFrame], exists: Callable[[str], bool], where: str,
+                 location: Callable[[str], str] | None = None):
         self._loader, self._exists, self.where = loader, exists, where
+        self._location = location
+
+    def location(self, name: str) -> str | None:
+        """Where a source table is stored (a path, or schema.table); None if it is derived."""
+        return self._location(name) if self._location else None
 
     def __call__(self, name: str) -> DataFrame:
         return self._loader(name)
@@ -96,15 +110,16 @@ class Sources:
 
         def load(n):
             df = spark.read.parquet(path(n))
-            if n.startswith("taz_") and "geometry" not in df.columns:
-                df = zones.zones_from_quads(df)
-            return df
-        return cls(load, exists, folder)
+            return zones.with_rings(df) if n.startswith("taz_") else df
+        return cls(load, exists, folder, path)
 
     @classmethod
     def catalog_schema(cls, spark: SparkSession, schema: str) -> "Sources":
-        return cls(lambda n: spark.table(f"{schema}.{n}"),
-                   lambda n: spark.catalog.tableExists(f"{schema}.{n}"), schema)
+        def load(n):
+            df = spark.table(f"{schema}.{n}")
+            return zones.with_rings(df) if n.startswith("taz_") else df
+
+        return cls(load, lambda n: spark.catalog.tableExists(f"{schema}.{n}"), schema, lambda n: f"{schema}.{n}")
 
     @classmethod
     def fixtures(cls, spark: SparkSession, sf_dir: str) -> "Sources":
@@ -122,13 +137,48 @@ class BuildResult:
     written: dict = field(default_factory=dict)   # table -> location
 
 
-def _write(df: DataFrame, cfg: BuildConfig, base: str) -> str:
+def _fs_path(spark: SparkSession, path: str):
+    """Hadoop file system and fully qualified path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(p)
+
+
+def _exists(spark: SparkSession, cfg: BuildConfig, base: str) -> bool:
     loc = cfg.location(base)
-    w = df.write.mode("overwrite").format(cfg.format)
     if cfg.catalog:
-        w.saveAsTable(loc)
-    else:
-        w.save(loc)
+        return spark.catalog.tableExists(loc)
+    fs, p = _fs_path(spark, loc)
+    return fs.exists(p)
+
+
+def _write(df: DataFrame, cfg: BuildConfig, base: str) -> str:
+    """Write beside the place of the table, then swap: a failed write leaves the old table."""
+    spark, loc, mark = df.sparkSession, cfg.location(base), uuid.uuid4().hex[:12]
+    if cfg.catalog:
+        new = f"{loc}__new_{mark}"
+        try:
+            df.write.format(cfg.format).saveAsTable(new)
+        except BaseException:
+            spark.sql(f"DROP TABLE IF EXISTS {new}")
+            raise
+        spark.sql(f"DROP TABLE IF EXISTS {loc}")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {loc}")
+        return loc
+    fs, place = _fs_path(spark, loc)
+    _, new = _fs_path(spark, os.path.join(cfg.target, f".new-{mark}-{cfg.table_name(base)}"))
+    _, old = _fs_path(spark, os.path.join(cfg.target, f".old-{mark}-{cfg.table_name(base)}"))
+    try:
+        df.write.format(cfg.format).save(new.toString())
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    if fs.exists(place) and not fs.rename(place, old):
+        raise OSError(f"cannot move {place.toString()} aside")
+    if not fs.rename(new, place):
+        fs.rename(old, place)
+        raise OSError(f"cannot move {new.toString()} into place")
+    fs.delete(old, True)
     return loc
 
 
@@ -147,18 +197,55 @@ def check_inputs(sources: Sources, tables: Sequence[str]) -> None:
             raise FileNotFoundError(f"{t}: missing inputs {missing} in {sources.where}")
 
 
-def add_linked_key(spark: SparkSession, sources: Sources, cfg: BuildConfig) -> DataFrame:
-    """Key the linked trips, store the keyed table, return the stored copy."""
-    keyed = with_surrogate_key(sources("trip_linked"), "unique_id", cfg.key_method, cfg.key_cols)
-    _write(keyed, cfg, KEYED_LINKED)
+def _identity(spark: SparkSession, location: str, catalog: bool) -> str:
+    """A table's place in comparable form: its storage path where it has one, else its full name."""
+    if not catalog:
+        return _fs_path(spark, location)[1].toString().rstrip("/")
+    if spark.catalog.tableExists(location):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {location}").where("col_name = 'Location'").collect()
+        if rows:
+            return rows[0]["data_type"].rstrip("/")
+    parts = location.lower().split(".")
+    current = [spark.catalog.currentCatalog().lower(), spark.catalog.currentDatabase().lower()]
+    return ".".join((current + parts)[-3:] if len(parts) < 3 else parts)
+
+
+def check_targets(spark: SparkSession, sources: Sources, cfg: BuildConfig, tables: Sequence[str]) -> None:
+    """Fail if a table to be written, or the keyed linked trips, is or contains an input of any table."""
+    places = [(n, sources.location(n)) for n in sorted({n for t in tables for n in TABLE_INPUTS[t]})]
+    inputs = {n: _identity(spark, loc, not ("/" in loc or os.sep in loc)) for n, loc in places if loc}
+    outputs = [*tables, *([KEYED_LINKED] if "trip_linked" in tables else [])]
+    for t in outputs:
+        place = _identity(spark, cfg.location(t), cfg.catalog)
+        for n, source in inputs.items():
+            if place == source or source.startswith(place + "/") or place.startswith(source + "/"):
+                raise ValueError(f"target {cfg.location(t)} differs from no source: it would replace the input {n}; "
+                                 "the target must differ from the source location")
+
+
+def check_ids(sources: Sources, tables: Sequence[str]) -> None:
+    """Fail if a trip id repeats: zones are looked up per trip id."""
+    for table, source, key in (("trip_unlinked", "core_trip", "trip_id"), ("trip_linked", "trip_linked", "linked_trip_id")):
+        if table in tables:
+            df = sources(source)
+            if key in df.columns and not assert_unique(df.where(df[key].isNotNull()), [key]).isEmpty():
+                raise ValueError(f"{source}.{key} repeats; {table} needs unique ids")
+
+
+def key_linked_trips(spark: SparkSession, sources: Sources, cfg: BuildConfig) -> DataFrame:
+    """The keyed linked trips.  Keyed once and stored; a stored table is reused unless ``cfg.rekey``."""
+    if cfg.rekey or not _exists(spark, cfg, KEYED_LINKED):
+        _write(with_surrogate_key(sources("trip_linked"), "unique_id", cfg.key_method, cfg.key_cols), cfg, KEYED_LINKED)
     return _read(spark, cfg, KEYED_LINKED)
 
 
 def run_pipeline(spark: SparkSession, sources: Sources, cfg: BuildConfig,
                  tables: Sequence[str] = TABLE_ORDER, log: Callable[[str], None] = print) -> BuildResult:
     check_inputs(sources, tables)
-    if not cfg.catalog and os.path.abspath(cfg.target) == os.path.abspath(str(sources.where)):
-        raise ValueError("target must differ from the source location (tables are replaced)")
+    check_targets(spark, sources, cfg, tables)
+    checkpoint_dir(spark)          # raises on a cluster without a shared folder, before any table is written
+    if cfg.check_ids:
+        check_ids(sources, tables)
     result = BuildResult()
     idx = {}
 
@@ -175,7 +262,7 @@ def run_pipeline(spark: SparkSession, sources: Sources, cfg: BuildConfig,
                                  zone("taz_v3"), zone("taz_v4")),
         "trip_unlinked": lambda: T.build_trip_unlinked(sources("core_trip"), sources("core_person"),
                                                        zone("taz_v3"), zone("taz_v4")),
-        "trip_linked": lambda: T.build_trip_linked(add_linked_key(spark, sources, cfg), sources("core_trip"),
+        "trip_linked": lambda: T.build_trip_linked(key_linked_trips(spark, sources, cfg), sources("core_trip"),
                                                    zone("taz_v3"), zone("taz_v4")),
     }
     for t in tables:

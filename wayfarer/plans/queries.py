@@ -34,8 +34,7 @@ class Inputs:
 
     def zone_index(self, version: str):
         if version not in self._zones:
-            self._zones[version] = zones.zone_index(zones.load_zones(self.spark, self.sf_dir, version),
-                                                    stats_key=(self.sf_dir, version))
+            self._zones[version] = zones.zone_index(zones.load_zones(self.spark, self.sf_dir, version))
         return self._zones[version]
 
     @property
@@ -266,7 +265,7 @@ def activity_gap(i: Inputs) -> DataFrame:
 
 def _linked_with_unlinked(i: Inputs) -> DataFrame:
     t = i.trip_linked_src.withColumn("linked_trip_mode_t", R.linked_mode_label())
-    return T.attach_unlinked(t, i.core_trip)
+    return T.attach_unlinked(t, i.core_trip, key_source=i.trip_linked_src)
 
 
 @query

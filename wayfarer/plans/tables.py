@@ -1,8 +1,9 @@
 """Builders of the analysis tables.
 
-Each builder takes source DataFrames and returns one lazy DataFrame; nothing
-runs until the caller writes or collects it.  Output columns follow the
-survey definitions: sources pass through except a drop list, derived
+Each builder takes source DataFrames and returns one DataFrame.  The rows are
+computed when the caller writes or collects it; while the plan is built, the
+trip builders run small sampling jobs over key columns (hot keys), and zone
+indexes measure themselves.  Output columns follow the survey definitions: sources pass through except a drop list, derived
 columns are appended, and the linked-trip table has a fixed column list.
 
 Shuffle plan (per table, at scale):
@@ -13,10 +14,12 @@ Shuffle plan (per table, at scale):
   join, so only persons are shuffled in addition.
 * hh: one aggregation of persons per household (flags and counts together),
   two left joins on hh_id sharing one partitioning, zone lookups row-local.
-* trip_unlinked: zone lookups row-local (broadcast cell index), one join with
-  persons on person_id, whose partitioning the person_id window reuses.
-* trip_linked: zone lookups row-local; the dedup window on the six match keys
-  and the six-key join share one partitioning of the unlinked trips.
+* trip_unlinked: one join with persons on person_id (and piece, for persons
+  with very many trips), whose partitioning the window reuses; zone lookups
+  row-local (broadcast cell index).
+* trip_linked: zone lookups row-local; unlinked trips with complete keys are
+  deduplicated (partial limit before the shuffle), and only the surviving row
+  of a hot key is copied for the salted six-key join.
 """
 
 from __future__ import annotations
@@ -154,9 +157,9 @@ def build_hh(core_hh: DataFrame, core_person: DataFrame, followon_hh: DataFrame,
     a = followon_flag(core_hh, followon_hh)
     a = left_join_keep_order(a, summary, ["hh_id"])
     a = join_zones(a, "home_lon", "home_lat", taz_v3,
-                   {"CO_TAZID": "__h3_taz", "SUBAREAID": "__h3_sub"}, predicate="within")
+                   {"CO_TAZID": "__h3_taz", "SUBAREAID": "__h3_sub"}, predicate="within", source=core_hh)
     a = join_zones(a, "home_lon", "home_lat", taz_v4,
-                   {"CO_TAZID": "__h4_taz", "SUBAREAID": "__h4_sub"}, predicate="within")
+                   {"CO_TAZID": "__h4_taz", "SUBAREAID": "__h4_sub"}, predicate="within", source=core_hh)
     college, other = R.weight_split("segment_type", "hh_weight_v2")
     lon_eq = R.same_rounded("home_lon", "seasonal_res_lon")
     lat_eq = R.same_rounded("home_lat", "seasonal_res_lat")
@@ -190,22 +193,24 @@ def build_hh(core_hh: DataFrame, core_person: DataFrame, followon_hh: DataFrame,
 
 
 # ---------------------------------------------------------------- trip zones
-def trip_zones_unlinked(trips: DataFrame, taz_v3: ZoneIndex, taz_v4: ZoneIndex) -> DataFrame:
+def trip_zones_unlinked(trips: DataFrame, taz_v3: ZoneIndex, taz_v4: ZoneIndex,
+                        source: DataFrame | None = None) -> DataFrame:
     """D4x4 + pick (unlinked): zone ids as stored, sub-areas safely cast."""
-    t = assign_zone(trips, "o_lon", "o_lat", taz_v3, {"CO_TAZID": "oCO_TAZID_USTMv3"})
-    t = assign_zone(t, "d_lon", "d_lat", taz_v3, {"CO_TAZID": "dCO_TAZID_USTMv3"})
-    t = assign_zone(t, "o_lon", "o_lat", taz_v4, {"CO_TAZID": "oCO_TAZID_USTMv4", "SUBAREAID": "__o_sub"})
-    t = assign_zone(t, "d_lon", "d_lat", taz_v4, {"CO_TAZID": "dCO_TAZID_USTMv4", "SUBAREAID": "__d_sub"})
+    t = assign_zone(trips, "o_lon", "o_lat", taz_v3, {"CO_TAZID": "oCO_TAZID_USTMv3"}, id_col="trip_id", source=source)
+    t = assign_zone(t, "d_lon", "d_lat", taz_v3, {"CO_TAZID": "dCO_TAZID_USTMv3"}, id_col="trip_id", source=source)
+    t = assign_zone(t, "o_lon", "o_lat", taz_v4, {"CO_TAZID": "oCO_TAZID_USTMv4", "SUBAREAID": "__o_sub"}, id_col="trip_id", source=source)
+    t = assign_zone(t, "d_lon", "d_lat", taz_v4, {"CO_TAZID": "dCO_TAZID_USTMv4", "SUBAREAID": "__d_sub"}, id_col="trip_id", source=source)
     return t.withColumns({"dSUBAREAID": try_to_long_rounded("__d_sub"),
                           "oSUBAREAID": try_to_long_rounded("__o_sub")}).drop("__o_sub", "__d_sub")
 
 
-def trip_zones_linked(trips: DataFrame, taz_v3: ZoneIndex, taz_v4: ZoneIndex) -> DataFrame:
+def trip_zones_linked(trips: DataFrame, taz_v3: ZoneIndex, taz_v4: ZoneIndex,
+                      source: DataFrame | None = None, id_col: str = "unique_id") -> DataFrame:
     """D4x4 + pick (linked): ids, counties and sub-areas strictly cast to BIGINT."""
-    t = assign_zone(trips, "o_lon", "o_lat", taz_v3, {"CO_TAZID": "__o3", "CO_FIPS": "__of"})
-    t = assign_zone(t, "d_lon", "d_lat", taz_v3, {"CO_TAZID": "__d3", "CO_FIPS": "__df"})
-    t = assign_zone(t, "o_lon", "o_lat", taz_v4, {"CO_TAZID": "__o4", "SUBAREAID": "__os"})
-    t = assign_zone(t, "d_lon", "d_lat", taz_v4, {"CO_TAZID": "__d4", "SUBAREAID": "__ds"})
+    t = assign_zone(trips, "o_lon", "o_lat", taz_v3, {"CO_TAZID": "__o3", "CO_FIPS": "__of"}, id_col=id_col, source=source)
+    t = assign_zone(t, "d_lon", "d_lat", taz_v3, {"CO_TAZID": "__d3", "CO_FIPS": "__df"}, id_col=id_col, source=source)
+    t = assign_zone(t, "o_lon", "o_lat", taz_v4, {"CO_TAZID": "__o4", "SUBAREAID": "__os"}, id_col=id_col, source=source)
+    t = assign_zone(t, "d_lon", "d_lat", taz_v4, {"CO_TAZID": "__d4", "SUBAREAID": "__ds"}, id_col=id_col, source=source)
     return t.withColumns({
         "oCO_TAZID_USTMv3": to_long_rounded("__o3"), "dCO_TAZID_USTMv3": to_long_rounded("__d3"),
         "oCO_TAZID_USTMv4": to_long_rounded("__o4"), "dCO_TAZID_USTMv4": to_long_rounded("__d4"),
@@ -225,60 +230,51 @@ def pa_swap(pairs: Sequence[tuple[str, str, str, str]], pa: str = "PA_AP") -> li
 
 # ---------------------------------------------------------------- T5 trip_unlinked
 ACTIVITY_ORDER = (*codes.ACTIVITY_ORDER, *codes.ACTIVITY_TIEBREAK)
-# person ranges are cut on (person, hh, trip); tie-breakers only order rows inside a range
-RANGE_KEYS = ("person_id", "hh_id", "trip_id")
+# a person's pieces are cut on (hh, trip); tie-breakers only order rows inside a piece
+RANGE_KEYS = ("hh_id", "trip_id")
 
 
-def with_activity_gap(df: DataFrame, key_sample: DataFrame | None = None, balanced: bool = True) -> DataFrame:
+def with_activity_gap(df: DataFrame, key_source: DataFrame | None = None) -> DataFrame:
     """previous arrival (per person, by hh, person, trip) and the gap to it.
 
-    ``balanced`` (default) splits persons with very many trips over several
-    tasks (range-bucketed LAG); ``key_sample`` is a cheap table with the same
-    keys to draw the range bounds from (the trip source).
+    Persons with very many trips are split over several tasks (``HotRanges``);
+    ``key_source`` is a cheaper table with the same trips.
     """
     arrive = minutes_after_midnight("arrive_hour", "arrive_minute")
     depart = minutes_after_midnight("depart_hour", "depart_minute")
-    if balanced:
-        df = rel.previous_value_balanced(df, arrive, "person_id", list(ACTIVITY_ORDER), "lag_arrive_mam",
-                                         key_sample=key_sample, boundaries_from_sample=key_sample is not None,
-                                         range_keys=len(RANGE_KEYS))
-    else:
-        df = rel.previous_value(df, arrive, ["person_id"], [F.col(c).asc() for c in ACTIVITY_ORDER],
-                                "lag_arrive_mam")
+    df = rel.previous_value_balanced(df, arrive, "person_id", list(ACTIVITY_ORDER), "lag_arrive_mam",
+                                     key_source=key_source, range_keys=len(RANGE_KEYS))
     return df.withColumn("activ_dur", rel.gap_since_previous(depart, F.col("lag_arrive_mam")))
 
 
-def person_lookup_in_ranges(core_trip: DataFrame, core_person: DataFrame, buckets: int | None = None):
-    """Trips left-joined to their person, shuffled once by (person range, person_id).
+def person_lookup(core_trip: DataFrame, core_person: DataFrame):
+    """Trips left-joined to their person on (person_id, piece).
 
-    The trip order (person_id, hh_id, trip_id) is cut into contiguous ranges
-    (``RangeBuckets``); every trip goes to its range, every person row to each
-    range its trips can fall in (one range, or several for a person with very
-    many trips).  The join and the later per-person window both run on this
-    one partitioning, and a hot person is spread over many tasks.
-    Returns (joined DataFrame with ``__bucket``, the ranges).
+    Every trip knows its piece; a person row is copied to each piece of a
+    person with very many trips (all others have one).  The later per-person
+    window runs on the same keys.  Returns (trips with ``__piece``, the ranges).
     """
-    n = buckets or rel.default_buckets(core_trip.sparkSession)
-    rb = rel.RangeBuckets.from_sample(core_trip, list(RANGE_KEYS), n)
-    b = "__bucket"
-    trips = core_trip.withColumn(b, rb.bucket()).repartition(F.col(b), F.col("person_id"))
-    persons = (core_person.select("person_id", "school_type").where(F.col("person_id").isNotNull())
-               .withColumn(b, F.explode(rb.span("person_id"))).repartition(F.col(b), F.col("person_id")))
-    return left_join_keep_order(trips, persons, [b, "person_id"]), rb
+    ranges = rel.HotRanges.find(core_trip, "person_id", list(RANGE_KEYS))
+    trips = ranges.with_piece(core_trip, "__piece")
+    persons = ranges.all_pieces(core_person.select("person_id", "school_type").where(F.col("person_id").isNotNull()),
+                                "__piece")
+    if ranges.table is None:     # piece 0 everywhere: the person alone is the key
+        return left_join_keep_order(trips, persons.drop("__piece"), ["person_id"]), ranges
+    return left_join_keep_order(trips, persons, ["person_id", "__piece"]), ranges
 
 
 def build_trip_unlinked(core_trip: DataFrame, core_person: DataFrame,
                         taz_v3: ZoneIndex, taz_v4: ZoneIndex) -> DataFrame:
-    t, rb = person_lookup_in_ranges(core_trip, core_person)
-    t = trip_zones_unlinked(t, taz_v3, taz_v4)
+    t, ranges = person_lookup(core_trip, core_person)
+    t = trip_zones_unlinked(t, taz_v3, taz_v4, source=core_trip)
     t = t.withColumn("PA_AP", R.direction_unlinked())
     t = t.withColumn("PURP7", R.purp7())
-    passthrough = star_except(t.drop("__bucket"), codes.TRIP_UNLINKED_DROP)
+    passthrough = star_except(t.drop("__piece"), codes.TRIP_UNLINKED_DROP)
     arrive = minutes_after_midnight("arrive_hour", "arrive_minute")
     depart = minutes_after_midnight("depart_hour", "depart_minute")
-    # F2/F3 on the same (range, person) partitioning as the join: no new shuffle
-    t = rel.lag_in_ranges(t, rb, "__bucket", arrive, "lag_arrive_mam", boundary_rows=core_trip,
-                          order=[c for c in ACTIVITY_ORDER if c != "person_id"])
+    # F2/F3 on the join's partitioning: no new shuffle
+    t = rel.lag_in_pieces(t, ranges, "__piece", arrive, "lag_arrive_mam",
+                          [c for c in ACTIVITY_ORDER if c != "person_id"], boundary_rows=core_trip)
     t = t.withColumn("activ_dur", rel.gap_since_previous(depart, F.col("lag_arrive_mam")))
     college, other = R.weight_split("segment_type", "trip_weight_v2")
     return t.select(
@@ -309,26 +305,26 @@ def build_trip_unlinked(core_trip: DataFrame, core_person: DataFrame,
 
 
 # ---------------------------------------------------------------- T6/T7 trip_linked
-def dedup_unlinked_trips(core_trip: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
+def dedup_unlinked_trips(core_trip: DataFrame) -> DataFrame:
     """One unlinked trip per match key (segment NULLS LAST, then trip_id).
 
     Rows that tie on (segment, trip_id) - repeated trip ids - are ordered by
     the attributes the match carries, so the kept row is deterministic.
-    ``extra_keys`` (a join salt) refine the groups without changing the kept row.
     """
     order = [F.col("segment_type").asc_nulls_last(), F.col("trip_id").asc()]
     order += [F.col(c).asc() for c in codes.GUARDED_TRIP_ATTRS]
-    return rel.dedup_first(core_trip, [*codes.TRIP_MATCH_KEYS, *extra_keys], order)
+    return rel.dedup_first(core_trip, codes.TRIP_MATCH_KEYS, order)
 
 
 def attach_unlinked(trips: DataFrame, core_trip: DataFrame, row_id: Sequence[str] | None = None,
                     key_source: DataFrame | None = None) -> DataFrame:
     """D3+C37: six-key left join to the de-duplicated unlinked trips, guarded attributes.
 
-    Skew: linked trips with a NULL key (they never match) and linked trips on
-    a hot key are salted (``rel.SaltedKeys``); the unlinked side carries the
-    salt through its dedup window, so the window's partitioning on
-    (keys, salt) is also the join's and nothing is shuffled twice.
+    Unlinked trips with a NULL key can match nothing and are dropped first;
+    the rest is deduplicated, and then only the one row of a hot key is copied
+    per salt.  Linked trips on a hot key, or with a NULL key, spread over the
+    salts by a row hash (``rel.SaltedKeys``).  Both sides are repartitioned on
+    (keys, salt) explicitly, so balance depends on no session setting.
     ``row_id``: columns identifying a linked trip (for the salt hash).
     ``key_source``: a cheaper table with the same linked trips and keys to
     count hot keys on (e.g. the source before zone lookups).
@@ -336,20 +332,20 @@ def attach_unlinked(trips: DataFrame, core_trip: DataFrame, row_id: Sequence[str
     keys = codes.TRIP_MATCH_KEYS
     salt = rel.SaltedKeys.detect(key_source if key_source is not None else trips, keys)
     row_id = list(row_id or (["linked_trip_id"] if "linked_trip_id" in trips.columns else trips.columns))
-    u = salt.salt_right(core_trip, "__salt")
-    u = dedup_unlinked_trips(u, ["__salt"])
-    u = u.select(*[F.col(k).alias(f"__u_{k}") for k in [*keys, "__salt"]],
-                 *[F.col(c).alias(f"__u_{c}") for c in codes.GUARDED_TRIP_ATTRS])
-    t = trips.withColumn("__salt", salt.left_salt(F.xxhash64(*[F.col(c) for c in row_id])))
-    cond = None
-    for k in [*keys, "__salt"]:
-        c = F.col(k) == F.col(f"__u_{k}")
-        cond = c if cond is None else cond & c
+    u = dedup_unlinked_trips(core_trip.dropna("any", subset=list(keys)))
+    u = salt.salt_right(u.select(*keys, *codes.GUARDED_TRIP_ATTRS), "__salt")
+    on = [*keys, "__salt"]
+    u = u.select(*[F.col(k).alias(f"__u_{k}") for k in on], *[F.col(c).alias(f"__u_{c}") for c in codes.GUARDED_TRIP_ATTRS])
+    u = u.repartition(*[F.col(f"__u_{k}") for k in on])
+    t = salt.salt_left(trips, F.xxhash64(*[F.col(c) for c in row_id]), "__salt").repartition(*[F.col(k) for k in on])
+    cond = F.lit(True)
+    for k in on:
+        cond = cond & (F.col(k) == F.col(f"__u_{k}"))
     j = t.join(u, cond, "left")
     bad = "__bad"
     j = j.withColumn(bad, R.occupancy_mismatch("linked_trip_mode_t", "__u_num_travelers"))
     guarded = {c: F.when(F.col(bad), F.lit(None)).otherwise(F.col(f"__u_{c}")) for c in codes.GUARDED_TRIP_ATTRS}
-    return j.withColumns(guarded).drop(bad, "__salt", *[f"__u_{k}" for k in [*keys, "__salt"]],
+    return j.withColumns(guarded).drop(bad, "__salt", *[f"__u_{k}" for k in on],
                                        *[f"__u_{c}" for c in codes.GUARDED_TRIP_ATTRS])
 
 
@@ -379,7 +375,7 @@ def build_trip_linked(trip_linked_with_uuid: DataFrame, core_trip: DataFrame,
                       taz_v3: ZoneIndex, taz_v4: ZoneIndex) -> DataFrame:
     src = trip_linked_with_uuid
     require_columns(src, [c for c in codes.TRIP_LINKED_COLS if c not in _LINKED_DERIVED], "trip_linked source")
-    t = trip_zones_linked(src, taz_v3, taz_v4)
+    t = trip_zones_linked(src, taz_v3, taz_v4, source=src)
     t = t.select(*star_except(t, codes.TRIP_LINKED_DROP), F.col("trip_weight_new").alias("trip_weight"))
     t = linked_recodes(t)
     t = attach_unlinked(t, core_trip, row_id=["unique_id"], key_source=src)

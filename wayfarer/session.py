@@ -46,16 +46,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; a private temp folder only if none is set.
 
-    The temp-folder fallback is for local mode (tests, bench) only: on a
-    cluster a machine-local folder would be lost with its executor, so an
-    unset ``spark.checkpoint.dir`` is an error there.
+    Order: ``spark.checkpoint.dir``, then a folder already given to
+    ``SparkContext.setCheckpointDir``.  The temp-folder fallback is for plain
+    local mode (tests, bench) only: where executors are processes of their own
+    a machine-local folder would be lost with them, so an unset folder is an
+    error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set: name a shared folder "
-                             "(HDFS/object store) for checkpoints on a cluster")
-        d = tempfile.mkdtemp(prefix="wayfarer-ckpt-")
+        d = spark.sparkContext.getCheckpointDir()
+        if not d:
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir is not set: name a shared folder "
+                                 "(HDFS/object store) for checkpoints on a cluster")
+            d = tempfile.mkdtemp(prefix="wayfarer-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
@@ -81,8 +86,9 @@ CLUSTER_DEFAULTS = {
 
 
 def apply_cluster_defaults(spark: SparkSession, overrides: dict | None = None) -> None:
-    """Set ``CLUSTER_DEFAULTS`` (and ``overrides``) for keys the session leaves at Spark's default."""
+    """Set ``CLUSTER_DEFAULTS`` (and ``overrides``) for keys that neither the context nor the session has set."""
     conf = spark.sparkContext.getConf()
+    on_session = set(spark.conf.getAll)
     for k, v in {**CLUSTER_DEFAULTS, **(overrides or {})}.items():
-        if not conf.contains(k):
+        if not conf.contains(k) and k not in on_session:
             spark.conf.set(k, v)

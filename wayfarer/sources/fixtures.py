@@ -43,8 +43,14 @@ def _purpose_category(expr: str) -> str:
 
 
 # ---------------------------------------------------------------- core_hh
-_HOME_LON = "(-112 + CAST((c_custkey * 7919) % 10007 AS double) / 10007)"
-_HOME_LAT = "(40 + CAST((c_custkey * 104729) % 10009 AS double) / 10009)"
+# Points lie in the first square degree for one half of the rows each way, and
+# all over ten by ten degrees for the other, so every zone of any scale is hit.
+def _wide(key: str) -> str:
+    return f"CASE WHEN {key} % 2 = 0 THEN 10 ELSE 1 END"
+
+
+_HOME_LON = f"(-112 + CAST((c_custkey * 7919) % 10007 AS double) / 10007 * {_wide('CAST(floor(c_custkey / 2) AS bigint)')})"
+_HOME_LAT = f"(40 + CAST((c_custkey * 104729) % 10009 AS double) / 10009 * {_wide('c_custkey')})"
 
 _DAYS = ["mon", "tue", "wed", "thu", "fri", "sat", "sun"]
 
@@ -122,10 +128,10 @@ _TRIP_COMMON = [
 _TRIP_TIMES_AND_PLACES = [
     ("arrive_hour", "int", "CAST((l_orderkey + l_linenumber % 2 * 6 + l_suppkey % 3) % 24 AS int)"),
     ("arrive_minute", "int", "CAST(l_partkey % 60 AS int)"),
-    ("o_lon", "double", "-112 + CAST((l_orderkey * 7919 + l_linenumber * 31) % 10007 AS double) / 10007"),
-    ("o_lat", "double", "40 + CAST((l_partkey * 104729 + l_linenumber * 17) % 10009 AS double) / 10009"),
-    ("d_lon", "double", "-112 + CAST((l_partkey * 7919 + l_suppkey * 31) % 10007 AS double) / 10007"),
-    ("d_lat", "double", "40 + CAST((l_orderkey * 104729 + l_suppkey * 17) % 10009 AS double) / 10009"),
+    ("o_lon", "double", f"-112 + CAST((l_orderkey * 7919 + l_linenumber * 31) % 10007 AS double) / 10007 * {_wide('l_orderkey')}"),
+    ("o_lat", "double", f"40 + CAST((l_partkey * 104729 + l_linenumber * 17) % 10009 AS double) / 10009 * {_wide('l_linenumber')}"),
+    ("d_lon", "double", f"-112 + CAST((l_partkey * 7919 + l_suppkey * 31) % 10007 AS double) / 10007 * {_wide('l_partkey')}"),
+    ("d_lat", "double", f"40 + CAST((l_orderkey * 104729 + l_suppkey * 17) % 10009 AS double) / 10009 * {_wide('l_linenumber')}"),
     ("o_purpose_category", "bigint", _purpose_category("(l_suppkey * 3 + l_linenumber)")),
     ("d_purpose_category", "bigint", _purpose_category("(l_partkey * 5 + l_linenumber)")),
     ("o_purpose", "bigint", "CASE WHEN l_suppkey % 9 = 0 THEN 60 ELSE 20 + l_partkey % 8 END"),
@@ -145,7 +151,7 @@ _ROTATING_ATTRS = [
 _CORE_TRIP = (
     [("trip_id", "bigint", _TRIP_KEY)]
     + _TRIP_COMMON
-    + [("depart_seconds", "int", "CAST(0 AS int)")]
+    + [("depart_seconds", "int", "CAST(CASE WHEN l_suppkey % 7 = 0 THEN 1 ELSE 0 END AS int)")]
     + _TRIP_TIMES_AND_PLACES
     + [
         ("segment_type", "string", _seg("l_suppkey")),
@@ -169,7 +175,8 @@ _CORE_TRIP = (
 )
 
 # Pass-through columns of the linked-trip source that the test tables do not
-# model: present as typed NULLs so the fixed output list resolves.
+# model: each gets values of its own, so that a swapped or lost
+# column shows.
 LINKED_PASSTHROUGH = (
     [("day_weight", "double"), ("person_num", "bigint"), ("day_num", "bigint"),
      ("participation_group", "bigint"), ("diary_platform", "string"),
@@ -186,6 +193,17 @@ LINKED_PASSTHROUGH = (
        ("person_type", "bigint"), ("person_cat", "string")]
 )
 
+def _passthrough_value(k: int, typ: str) -> str:
+    number = f"(l_orderkey * {2 * k + 3} + l_linenumber * {k + 1})"
+    if typ == "string":
+        return f"concat('c{k}_', CAST({number} % {50 + k} AS string))"
+    if typ == "date":
+        return f"(DATE '2020-01-01' + CAST({number} % {300 + k} AS int))"
+    if typ == "timestamp_ntz":
+        return f"CAST((DATE '2021-01-01' + CAST({number} % {300 + k} AS int)) AS timestamp_ntz)"
+    return f"{number} % {1000 + k}" + (" / 8.0e0" if typ == "double" else "")
+
+
 _TRIP_LINKED_SRC = (
     [("linked_trip_id", "bigint", _TRIP_KEY)]
     + _TRIP_COMMON
@@ -202,7 +220,7 @@ _TRIP_LINKED_SRC = (
         ("school_type", "bigint", "CASE WHEN l_orderkey % 14 = 0 THEN NULL ELSE (l_orderkey * 11) % 14 END"),
         ("trip_weight_new", "double", "l_extendedprice"),
     ]
-    + [(c, t, "NULL") for c, t in LINKED_PASSTHROUGH]
+    + [(c, t, _passthrough_value(k, t)) for k, (c, t) in enumerate(LINKED_PASSTHROUGH)]
 )
 
 # ---------------------------------------------------------------- day, vehicle
@@ -228,12 +246,14 @@ _CORE_VEHICLE = (
 )
 
 # ---------------------------------------------------------------- zones
-def _quad(key: str, cols: int, col_pitch: int, row_pitch: int, row_shear: int, width: str) -> list:
-    """Vertices of a sheared grid cell: column = key % cols, row = key / cols."""
+def _quad(key: str, cols: int, rows: int, col_pitch: int, row_pitch: int, row_shear: int, width: str) -> list:
+    """Vertices of a sheared grid cell: column = key % cols, row = key / cols; after ``rows`` rows the
+    grid goes on one degree to the east."""
     col = f"({key} % {cols})"
-    row = f"CAST(floor({key} / {cols}) AS bigint)"
-    left = f"-112 + CAST({col} AS double) / {col_pitch}"
-    right = f"-112 + CAST({col} * 1.0e0 + {width} AS double) / {col_pitch}"
+    row = f"CAST(floor({key} % {cols * rows} / {cols}) AS bigint)"
+    west = f"(-112 + CAST(floor({key} / {cols * rows}) AS bigint))"
+    left = f"{west} + CAST({col} AS double) / {col_pitch}"
+    right = f"{west} + CAST({col} * 1.0e0 + {width} AS double) / {col_pitch}"
     return [
         ("x0", "double", f"{left} + CAST({row} AS double) / {row_shear}"),
         ("y0", "double", f"40 + CAST({row} AS double) / {row_pitch}"),
@@ -250,13 +270,13 @@ _TAZ_V3 = [
     ("CO_TAZID", "bigint", "49000 + n_nationkey"),
     ("CO_FIPS", "bigint", "35 + n_regionkey"),
     ("SUBAREAID", "double", "CAST(n_regionkey AS double)"),
-] + _quad("n_nationkey", 5, 5, 5, 50, "1")
+] + _quad("n_nationkey", 5, 5, 5, 5, 50, "1")
 
 _TAZ_V4 = [
     ("CO_TAZID", "bigint", "490000 + p_partkey"),
     ("CO_FIPS", "bigint", "35 + p_partkey % 29"),
     ("SUBAREAID", "double", "CAST(p_size % 5 AS double)"),
-] + _quad("p_partkey", 20, 20, 10, 100, "1.1e0")
+] + _quad("p_partkey", 20, 100, 20, 10, 1000, "1.1e0")
 
 
 RELATIONS: dict[str, Relation] = {
@@ -268,11 +288,11 @@ RELATIONS: dict[str, Relation] = {
         Relation("core_trip", "lineitem", tuple(_CORE_TRIP), join=("orders", "l_orderkey", "o_orderkey"),
                  spread=True),
         Relation("trip_linked_src", "lineitem", tuple(_TRIP_LINKED_SRC),
-                 join=("orders", "l_orderkey", "o_orderkey"), where="l_linenumber <= 4", spread=True),
+                 join=("orders", "l_orderkey", "o_orderkey"), spread=True),
         Relation("core_day", "events", tuple(_CORE_DAY)),
         Relation("core_vehicle", "part", tuple(_CORE_VEHICLE)),
         Relation("taz_v3", "nation", tuple(_TAZ_V3)),
-        Relation("taz_v4", "part", tuple(_TAZ_V4), where="p_partkey < 200"),
+        Relation("taz_v4", "part", tuple(_TAZ_V4)),
     ]
 }
 

@@ -1,13 +1,15 @@
 """Zone polygon sources.
 
 Zones carry ``CO_TAZID``, ``CO_FIPS``, ``SUBAREAID`` and a ``geometry`` column
-of rings (``array<array<struct<lon,lat>>>``).  Production zone tables are read
-as stored; the test zones are quadrilaterals given by eight vertex columns.
+of rings (``array<array<struct<lon,lat>>>``).  Zone tables hold rings as such,
+GeoJSON text (Polygon, MultiPolygon, or a Feature with one of them), or eight
+vertex columns of a quadrilateral (the test zones).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.spatial import DEFAULT_CELL_SIZE, ZoneIndex, build_zone_index, quad_geometry
 from . import fixtures
@@ -19,13 +21,31 @@ def zones_from_quads(df: DataFrame) -> DataFrame:
     return df.select(*ZONE_ATTRS, quad_geometry("x0", "y0", "x1", "y1", "x2", "y2", "x3", "y3").alias("geometry"))
 
 
+def rings_from_geojson(text: Column) -> Column:
+    """Rings of a GeoJSON polygon or multipolygon, holes included; NULL for other or broken text."""
+    kind = F.get_json_object(text, "$.type")
+    geometry = F.when(kind == "Feature", F.get_json_object(text, "$.geometry")).otherwise(text)
+    kind = F.get_json_object(geometry, "$.type")
+    one = F.from_json(geometry, "coordinates array<array<array<double>>>")["coordinates"]
+    many = F.from_json(geometry, "coordinates array<array<array<array<double>>>>")["coordinates"]
+    rings = F.when(kind == "Polygon", one).when(kind == "MultiPolygon", F.flatten(many))
+    return F.transform(rings, lambda ring: F.transform(ring, lambda p: F.struct(
+        F.get(p, 0).alias("lon"), F.get(p, 1).alias("lat"))))
+
+
+def with_rings(df: DataFrame) -> DataFrame:
+    """A zone table in any of the three forms with its ``geometry`` as rings."""
+    if "geometry" not in df.columns:
+        return zones_from_quads(df)
+    if dict(df.dtypes)["geometry"] == "string":
+        return df.withColumn("geometry", rings_from_geojson(F.col("geometry")))
+    return df
+
+
 def load_zones(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Zone table ``taz_v3`` / ``taz_v4`` with a ring geometry."""
     return zones_from_quads(fixtures.load(spark, sf_dir, name))
 
 
-def zone_index(zones: DataFrame, cell_size: float | str = DEFAULT_CELL_SIZE, stats_key=None,
-               materialize: bool = False) -> ZoneIndex:
-    return build_zone_index(zones, "CO_TAZID", ZONE_ATTRS, "geometry", cell_size=cell_size,
-                            stats_key=None if stats_key is None else (stats_key, str(cell_size)),
-                            materialize=materialize)
+def zone_index(zones: DataFrame, cell_size: float | str = DEFAULT_CELL_SIZE, materialize: bool = False) -> ZoneIndex:
+    return build_zone_index(zones, "CO_TAZID", ZONE_ATTRS, "geometry", cell_size=cell_size, materialize=materialize)
