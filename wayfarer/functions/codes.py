@@ -112,13 +112,13 @@ TRIP_MATCH_KEYS = ["hh_id", "person_id", "day_id", "depart_hour", "depart_minute
 DAY_DROP = ["Unnamed__0", "segment_type", "day_weight", "day_weight_fri", "day_weight_sat",
             "day_weight_sun", "day_weight_v2", "day_weight_aggregated_v2"]
 VEHICLE_DROP = ["segment_type", "hh_weight", "hh_weight_fri", "hh_weight_sat", "hh_weight_sun"]
-PERSON_DROP = (
-    ["Unnamed__0", "segment_type"]
-    + [f"{p}_{s}" for p in ("second_home", "work", "school")
-       for s in ("bg_2010", "bg_2020", "taz", "lon", "lat", "x", "y")]
-    + ["person_weight", "person_weight_fri", "person_weight_sat", "person_weight_sun",
-       "person_weight_v2", "person_weight_aggregated_v2"]
-)
+PERSON_DROP = ["Unnamed__0", "segment_type",
+               "second_home_bg_2010", "second_home_bg_2020", "second_home_taz", "second_home_lon", "second_home_lat",
+               "second_home_x", "second_home_y",
+               "work_bg_2010", "work_bg_2020", "work_taz", "work_lon", "work_lat", "work_x", "work_y",
+               "school_bg_2010", "school_bg_2020", "school_taz", "school_lon", "school_lat", "school_x", "school_y",
+               "person_weight", "person_weight_fri", "person_weight_sat", "person_weight_sun",
+               "person_weight_v2", "person_weight_aggregated_v2"]
 HH_DROP = ["Unnamed__0", "home_taz", "home_lat", "home_lon", "home_x", "home_y", "sample_home_lat",
            "sample_home_lon", "segment_type", "seasonal_res", "seasonal_res_in_region",
            "residence_months_0", "hh_weight", "hh_weight_fri", "hh_weight_sat", "hh_weight_sun",

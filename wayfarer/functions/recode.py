@@ -6,6 +6,10 @@ them are plain Catalyst expressions: no Python runs per row.
 
 Where the linked and unlinked trip tables define the "same" concept with
 different rules, both variants exist (``*_linked`` / ``*_unlinked``).
+
+FIXED VALUES: the code numbers and labels inside the rules below (purposes,
+school types, age bands, 995 and the like) are the survey's definitions, like
+the lists in ``codes``.
 """
 
 from __future__ import annotations

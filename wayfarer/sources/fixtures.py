@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import codes
+
 
 @dataclass(frozen=True)
 class Relation:
@@ -94,8 +96,7 @@ _CORE_HH = (
 )
 
 # ---------------------------------------------------------------- core_person
-_PLACE_COLS = [f"{p}_{s}" for p in ("second_home", "work", "school")
-               for s in ("bg_2010", "bg_2020", "taz", "lon", "lat", "x", "y")]
+_PLACE_COLS = [c for c in codes.PERSON_DROP if c.startswith(("second_home_", "work_", "school_"))]
 
 _CORE_PERSON = (
     [
