@@ -79,13 +79,13 @@ hit as (select page_id, max_by(rhost || rpath, length(rhost || rpath)) as rule,
 select s.page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from s left join hit using (page_id)""",
     "op8_line_dedup": """
 with d as (select row_number() over () as rid, doc_id, source, text, string_split(coalesce(text, ''), chr(10)) as lines from documents),
-l as (select rid, doc_id, source, i, lines[i] as raw,
+l as (select rid, doc_id, source, text is null as missing, i, lines[i] as raw,
              trim(translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line
       from (select *, unnest(range(1, len(lines) + 1)) as i from d)),
 common as (select line from l where line <> '' group by line having count(distinct coalesce(source, chr(1))) >= 10),
 c as (select l.*, line in (select line from common) as cut, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body from l),
 s as (select rid, sum(case when cut then length(body) else 0 end) <= 0.5 * sum(length(raw)) as good from c group by rid)
 select doc_id, count(*) filter (line <> '') as n_lines, count(*) filter (cut and good) as n_removed,
-       coalesce(string_agg(raw, chr(10) order by i) filter (not (cut and good)), '') as text
+       case when not bool_or(missing) then coalesce(string_agg(raw, chr(10) order by i) filter (not (cut and good)), '') end as text
 from c join s using (rid) group by rid, doc_id""",
 }
