@@ -130,6 +130,7 @@ def judge(text: str | None, rules: LineRules, with_text: bool) -> tuple:
     return (*row, "\n".join(kept_lines)) if with_text else row
 
 
+_ROWS = 500
 _LONGS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _FIELDS = [(c, "bigint") for c in _LONGS] + [("base_failed", "boolean"), ("kept", "boolean")] + [
     (c, "bigint") for c in ("lines_removed", "words_removed", "punctuation_lines", "navigation_lines",
@@ -146,7 +147,8 @@ def quality(text: Column, rules: LineRules = LineRules(), with_text: bool = Fals
     @F.pandas_udf(schema)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
-            yield pd.DataFrame([judge(t, rules, with_text) for t in s], columns=names)
+            for i in range(0, len(s), _ROWS):  # small frames: a batch's cleaned texts need not exist at once
+                yield pd.DataFrame([judge(t, rules, with_text) for t in s.iloc[i:i + _ROWS]], columns=names)
 
     return run(text)
 
