@@ -38,6 +38,8 @@ def test_links_headers_and_digests(spark):
 def test_ids_repeat_between_runs(spark):
     a, b = (sorted(r.record_id for r in W.derive(W.responses(pages(spark).repartition(n))).collect()) for n in (1, 4))
     assert a == b and len(set(a)) == 10
+    big = spark.createDataFrame([(2**62 + 1, "u", "h"), (None, "u", "h")], "page_id long, url string, html string")
+    assert {r.page_id for r in W.derive(W.responses(big)).collect()} == {2**62 + 1, None}
 
 
 def test_round_trip_through_files(spark, tmp_dir):

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfarer.llm.common import BLANKS
+from wayfarer.llm.common import BLANKS, small_batches
 
 #: Fixed values of the contract.
 SYMBOLS = "#*$%&|<>"
@@ -155,6 +155,7 @@ def quality(text: Column, rules: LineRules = LineRules(), with_text: bool = Fals
 
 def clean_documents(docs: DataFrame, text_col: str = "text", rules: LineRules = LineRules()) -> DataFrame:
     """The kept documents with failing lines removed from their text, same columns."""
+    small_batches(docs.sparkSession)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     judged = packed.withColumn("q", quality(F.col(f"doc.`{text_col}`"), rules, with_text=True)).where("q.kept")
     return judged.select(*[
@@ -164,5 +165,6 @@ def clean_documents(docs: DataFrame, text_col: str = "text", rules: LineRules =
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    rules: LineRules = LineRules()) -> DataFrame:
     """One row per document: id, counts and verdict (no text)."""
+    small_batches(docs.sparkSession)
     q = docs.select(F.col(id_col).alias("doc_id"), quality(F.col(text_col), rules).alias("q"))
     return q.select("doc_id", "q.*")

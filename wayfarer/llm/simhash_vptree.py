@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfarer.llm.common import stored
+from wayfarer.llm.common import small_batches, stored
 from wayfarer.llm.graph import connected_components
 
 SEED = 42
@@ -228,6 +228,7 @@ def components_of(fp_rows: DataFrame, max_bits: int = 2) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     max_bits: int = 2) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``docs``."""
+    small_batches(docs.sparkSession)
     fp_rows = stored(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), shingle).alias("fp")),
                      "fingerprints")
     return (fp_rows.join(components_of(fp_rows, max_bits), "fp")
@@ -238,6 +239,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
              max_bits: int = 2) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest id stays
     (rows without an id last; of rows with the same id an arbitrary but fixed one)."""
+    small_batches(docs.sparkSession)
     rows = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                               F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), shingle).alias("fp"),
                               F.monotonically_increasing_id().alias("row")), "simhash-docs")

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfarer.llm.common import ascii_lower, stored, words
+from wayfarer.llm.common import ascii_lower, small_batches, stored, words
 
 THRESHOLD = 0.3
 _FEATURES = 5
@@ -208,6 +208,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Dat
     """(doc_id, held_out, score, predicted) for every row of ``docs``; learns outside the held-out fold."""
     truth = (labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))))
+    small_batches(docs.sparkSession)
     model = fit_model(docs, stored(truth, "toxicity-labels"), fit)
     return (docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text"), model, fit).alias("score"))
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))

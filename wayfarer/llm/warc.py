@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfarer.llm.common import small_batches
+
 VERSION = "WARC/1.1"
 #: Date of captures whose table has none (fixed, so that results repeat).
 NO_DATE = "1970-01-01T00:00:00Z"
@@ -72,15 +74,18 @@ def headers(record_type: str, rid: str, date: str, uri: str | None, content_type
     return VERSION + "\r\n" + "".join(f"{k}: {v}\r\n" for k, v in h.items())
 
 
-_RESPONSE = ("{id} {kind}, record_id string, target_uri string, warc_date string, http_headers string, payload string, "
+_RESPONSE = ("page_id string, record_id string, target_uri string, warc_date string, http_headers string, payload string, "
              "payload_digest string, block_digest string")
 
 
 def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
               date_col: str | None = None) -> DataFrame:
     """Response records of raw pages: id, record_id, target_uri, warc_date, http_headers, payload and digests."""
+    small_batches(pages.sparkSession)
     date = F.coalesce(F.col(date_col).cast("string"), F.lit(NO_DATE)) if date_col else F.lit(NO_DATE)
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), date.alias("date"))
+    kind = dict(pages.dtypes)[id_col]
+    # ids cross Python as text: a null among numbers would turn them into floats
+    rows = pages.select(F.col(id_col).cast("string").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), date.alias("date"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -94,10 +99,10 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             yield pd.DataFrame(out, columns=["page_id", "record_id", "target_uri", "warc_date", "http_headers", "payload",
                                              "payload_digest", "block_digest"])
 
-    return rows.mapInPandas(run, _RESPONSE.format(id="page_id", kind=dict(rows.dtypes)["page_id"]))
+    return rows.mapInPandas(run, _RESPONSE).withColumn("page_id", F.col("page_id").cast(kind))
 
 
-_RECORD = ("page_id {kind}, record_type string, record_id string, refers_to string, target_uri string, warc_date string, "
+_RECORD = ("page_id string, record_type string, record_id string, refers_to string, target_uri string, warc_date string, "
            "source_payload_digest string, block_digest string, content_length long, headers string, content string")
 
 
@@ -129,7 +134,8 @@ def derive(response_rows: DataFrame) -> DataFrame:
                                 info if kind == "metadata" else text))
             yield pd.DataFrame(out, columns=columns)
 
-    return response_rows.select(*needed).mapInPandas(run, _RECORD.format(kind=dict(response_rows.dtypes)["page_id"]))
+    return (response_rows.select(*needed).withColumn("page_id", F.col("page_id").cast("string")).mapInPandas(run, _RECORD)
+            .withColumn("page_id", F.col("page_id").cast(dict(response_rows.dtypes)["page_id"])))
 
 
 def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
