@@ -38,6 +38,20 @@ def test_verbatim_reparameterised_and_inconsistent(spark):
     assert not {i for i, _ in got} - {0, 1, 7}
 
 
+def test_the_best_alignment_decides(spark):
+    """Misaligned hits of repeating items, and other exercises of the same template, do not outvote a verbatim copy."""
+    pens = "3 pens for 4 coins and 4 pens for 6 coins and 6 pens for 3 coins and 3 pens for 4 coins"
+    then = "2 then 4 then 2 then 6 then 4 then 2 then 6 then 2"
+    form = "a farmer sells {} eggs and keeps {} eggs so {} eggs less {} eggs make the rest of {} eggs"
+    task, variants = form.format(12, 5, 12, 5, 7), [form.format(40 + k, 20 + k, 60 + k, 80 + k, 30 + k) for k in range(6)]
+    texts = [f"{prose(20, 1)}\n{pens}\n{prose(20, 2)}", f"{prose(20, 3)}\n{then}\n{prose(20, 4)}",
+             "\n".join([prose(20, 5), *variants[:3], task, *variants[3:], prose(20, 6)]),
+             "\n".join([prose(20, 7), *variants])]
+    got = found(spark, texts, [pens, then, task])
+    assert got.get((0, 0)) == got.get((1, 1)) == got.get((2, 2)) == "verbatim"
+    assert (3, 2) not in got
+
+
 def test_shares_match_brute_force(spark):
     """Random mutations of items inside noise, without slots: plain window containment."""
     rnd, items = random.Random(5), [prose(40, 100 + i).lower() for i in range(6)]

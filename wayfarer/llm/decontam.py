@@ -7,10 +7,14 @@ hash-joined with those of benchmark items.  A document that holds at least
 ``min_share`` (0.8) of an item's windows is a candidate; then the slots are
 checked: inside one alignment of document and item, equal slot values of the
 item must meet equal values of the document, and different ones different
-values.  Candidates in which at least ``min_share`` of the recurring slot
-values are consistent (a value that occurs once cannot be otherwise) are
-contaminated, as ``verbatim`` if all values are the item's own,
-else as ``reparameterised``.
+values.  An alignment is a shift between document and item; a window of the item
+that shift misses may lie up to ``max_drift`` tokens off (words put in or left
+out), where its nearest hit counts.  The best alignment decides: a candidate is
+contaminated if one that holds at least ``min_share`` of the item's windows has
+at least ``min_share`` of its recurring slot values consistent (a value that
+occurs once cannot be otherwise), as ``verbatim`` if all values of such an
+alignment are the item's own, else as ``reparameterised``.  An item whose parts
+lie farther apart is judged over all its hits together.
 
 Scale: each document window is a hash and a position; the benchmark's windows
 are broadcast only if their counted size is at most ``max_broadcast_bytes``
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 
 from wayfarer.llm.common import BLANK_RE, stored, text_key
 
-WINDOW, MIN_SHARE, MAX_BROADCAST_BYTES = 5, 0.8, 32 << 20
+WINDOW, MIN_SHARE, MAX_DRIFT, MAX_BROADCAST_BYTES = 5, 0.8, 4, 32 << 20
 
 #: Unit words that become a placeholder after a number.
 UNITS = ("km kilometer kilometers kilometre kilometres m meter meters metre metres cm mm mile miles feet foot ft "
@@ -95,7 +99,7 @@ def _windows(df: DataFrame, *keys: str, slots: bool = False) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                 item_text_col: str = "text", min_share: float = MIN_SHARE,
+                 item_text_col: str = "text", min_share: float = MIN_SHARE, max_drift: int = MAX_DRIFT,
                  max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """(key, item_id, share, kind) for every distinct contaminated text and item."""
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text"),
@@ -123,27 +127,48 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     doc_side = _windows(held, "key", slots=True).select("key", "at", "window", "raw")
     item_side = (_windows(texts.select("item_key", template_tokens(F.col("item_text")).alias("tokens"),
                                        raw_tokens(F.col("item_text")).alias("raw")), "item_key", slots=True)
-                 .where(F.exists("tokens", lambda w: F.startswith(w, F.lit("§"))))
                  .withColumnsRenamed({"at": "item_at", "raw": "item_raw"}))
-    pairs = (candidates.select("key", "item_key").join(doc_side, "key").join(item_side, ["item_key", "window"])
-             .select("key", "item_key", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
-                     F.posexplode(F.arrays_zip("tokens", "item_raw", "raw")).alias("k", "s"))
-             .where(F.startswith("s.tokens", F.lit("§")))
-             .select("key", "item_key", "shift", (F.col("item_at") + F.col("k")).alias("pos"), F.col("s.tokens").alias("kind"),
-                     F.col("s.item_raw").alias("a"), F.col("s.raw").alias("b")).distinct())
-    by = ["key", "item_key", "shift", "kind"]
+    hits = stored(candidates.select("key", "item_key").join(doc_side, "key").join(item_side, ["item_key", "window"])
+                  .withColumn("shift", F.col("at") - F.col("item_at")).drop("at"), "hits")
+    # each hit counts for the alignments near its shift; of a window's hits the nearest is taken
+    near = hits.withColumn("align", F.explode(F.sequence(F.col("shift") - max_drift, F.col("shift") + max_drift)))
+    off = F.struct(F.abs(F.col("shift") - F.col("align")), F.col("shift"))
+    aligned = (near.groupBy("key", "item_key", "align", "item_at", "window")
+               .agg(F.min_by(F.struct("shift", "tokens", "item_raw", "raw"), off).alias("hit"))
+               .select("key", "item_key", "align", "item_at", "window", "hit.*"))
+    full = (aligned.groupBy("key", "item_key", "align").agg(F.count_distinct("window").alias("n_held"))
+            .join(hint(sizes), "item_key").where(F.col("n_held") >= min_share * F.col("n_windows"))
+            .select("key", "item_key", "align"))
+    full = stored(full, "alignments")
+    # all hits together are one more alignment, without a number
+    whole = candidates.select("key", "item_key", F.lit(None).cast("int").alias("align"))
+    by = ["key", "item_key", "align", "shift", "kind"]
+
+    def pairs(held: DataFrame) -> DataFrame:
+        return (held.select("key", "item_key", "align", "shift", "item_at",
+                            F.posexplode(F.arrays_zip("tokens", "item_raw", "raw")).alias("k", "s"))
+                .where(F.startswith("s.tokens", F.lit("§")))
+                .select("key", "item_key", "align", "shift", (F.col("item_at") + F.col("k")).alias("pos"),
+                        F.col("s.tokens").alias("kind"), F.col("s.item_raw").alias("a"), F.col("s.raw").alias("b")).distinct())
+
+    # one alignment is one comparison, whatever its hits' shifts; all hits together compare shift by shift
+    slotted = (pairs(aligned.join(full, ["key", "item_key", "align"], "left_semi").withColumn("shift", F.col("align")))
+               .unionByName(pairs(hits.withColumn("align", F.lit(None).cast("int")))))
 
     def tests(one: str, other: str) -> DataFrame:
         """Per slot value: does it recur (only then can it be inconsistent), and does it always meet the same value?"""
-        return pairs.groupBy(*by, one).agg(
+        return slotted.groupBy(*by, one).agg(
             (F.count("*") > 1).alias("recurs"), (F.min(other) == F.max(other)).alias("agrees"),
             F.min(F.col("a") == F.col("b")).alias("same")).drop(one)
 
-    slots = tests("a", "b").unionByName(tests("b", "a")).groupBy("key", "item_key").agg(
+    slots = tests("a", "b").unionByName(tests("b", "a")).groupBy("key", "item_key", "align").agg(
         F.avg(F.when(F.col("recurs"), F.col("agrees").cast("double"))).alias("consistent"), F.min("same").alias("same"))
-    return (candidates.join(slots, ["key", "item_key"], "left")
-            .where(F.coalesce("consistent", F.lit(1.0)) >= min_share)
-            .withColumn("kind", F.when(F.coalesce("same", F.lit(True)), "verbatim").otherwise("reparameterised"))
+    judged = (full.unionByName(whole).alias("l")
+              .join(slots.alias("r"), F.expr("l.key = r.key and l.item_key = r.item_key and l.align <=> r.align"), "left")
+              .where(F.coalesce("r.consistent", F.lit(1.0)) >= min_share)
+              .groupBy("l.key", "l.item_key").agg(F.max(F.coalesce("r.same", F.lit(True))).alias("same")))
+    return (candidates.join(judged, ["key", "item_key"])
+            .withColumn("kind", F.when(F.col("same"), "verbatim").otherwise("reparameterised"))
             .join(items.select("item_id", "item_key"), "item_key").select("key", "item_id", "share", "kind"))
 
 
