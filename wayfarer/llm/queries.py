@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfarer.llm import decontam, line_dedup, lm_scoring, mixing, quality_lines, simhash_vptree, substring_dedup, toxicity, url_filter, warc
+from wayfarer.llm import decontam, line_dedup, lm_scoring, merkle, mixing, quality_lines, simhash_vptree, substring_dedup, toxicity, url_filter, warc
 from wayfarer.llm.common import read
 
 
@@ -53,6 +53,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.manifest(read(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_vptree": op1_simhash_vptree,
     "op2_lm_scoring": op2_lm_scoring,
@@ -64,9 +68,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op13_merkle_manifest": merkle.ORACLE_SQL,
     "op3_url_filter": """
 with u as (select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
            from pages),
