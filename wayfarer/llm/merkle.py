@@ -185,7 +185,7 @@ ORACLE_SQL = """
 with recursive d as (
   select row_number() over () as rid, doc_id, lang,
     list_transform([n_chars, n_chars + case when doc_id is not null and xor(list_reduce(
-      list_concat([4294967295::bigint], list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(doc_id::varchar[i])::bigint)),
+      list_concat([4294967295::bigint], list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(substr(doc_id::varchar, i, 1))::bigint)),
       lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
         lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295) % 7 = 0 then 1 else 0 end],
       lambda n: sha256(concat(coalesce(strlen(doc_id::varchar)::varchar || ':' || doc_id::varchar, '-'),
