@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfarer.llm import decontam, line_dedup, lm_scoring, merkle, mixing, quality_lines, simhash_vptree, substring_dedup, toxicity, url_filter, warc
+from wayfarer.llm import decontam, line_dedup, lm_scoring, merkle, mixing, piece_bpe, quality_lines, simhash_vptree, substring_dedup, toxicity, url_filter, warc
 from wayfarer.llm.common import read
 
 
@@ -53,6 +54,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.manifest(read(spark, sf_dir, "documents"))
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_documents(read(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_piece_bpe": op11_piece_bpe,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
