@@ -7,9 +7,9 @@ automaton over the vocabulary names the pieces that end at a position, and the o
 that is compatible with the last token of the prefix before it is stored.  The ids
 are then recovered backwards, in time linear in the text.
 
-Character pairs that no piece holds inside are boundaries no merge crosses.  Where
-every run of spaces starts a new segment by that rule, texts are cut into such
-segments, and a task remembers those it has met (at most ``MEMORY`` of them).
+Character pairs that no piece holds inside are boundaries no merge crosses.  Texts
+are cut there into segments (before spaces, and before signs that no piece holds
+behind a letter), and a task remembers those it has met (at most ``MEMORY`` of them).
 
 Characters outside the vocabulary become their UTF-8 byte pieces (or the unknown
 id, in a model without them).  Decoding joins pieces, reads runs of byte pieces as
@@ -38,7 +38,7 @@ from wayfarer.llm.common import small_batches
 #: Fixed value: how the model's pieces write a space.
 SPACE = "▁"
 #: Segments and pairs a task remembers before it starts anew.
-MEMORY = 200_000
+MEMORY = 400_000
 
 
 def load(path: str) -> dict:
@@ -131,12 +131,17 @@ def encoder(model: dict) -> Callable[[str], list[int]]:
             out += id_lists[piece]
         return out
 
-    pairs_inside = {(a, b) for p in score for a, b in zip(p, p[1:])}
-    letters = "".join(re.escape(c) for c in sorted(known - {SPACE}))
-    if all(a == SPACE or b != SPACE for a, b in pairs_inside):
-        cut = re.compile(f"{SPACE}*[{letters}]+|{SPACE}+|.", re.S)
+    inside = {(a, b) for p in score for a, b in zip(p, p[1:])}
+    # closing: characters that no piece holds behind a letter, or behind a character that is not itself closing
+    closing = {c for c in known - {SPACE} if not c.isalpha()}
+    while loose := {b for a, b in inside if b in closing and a not in closing and a != SPACE}:
+        closing -= loose
+    letters, signs = ("".join(map(re.escape, sorted(c))) for c in (known - closing - {SPACE}, closing))
+    parts = [f"[{signs}]*[{letters}]+", f"[{signs}]+"] if closing else [f"[{letters}]+"]
+    if all(a == SPACE or b != SPACE for a, b in inside):
+        cut = re.compile("|".join([f"{SPACE}*{part}" for part in parts] + [f"{SPACE}+", "."]), re.S)
     else:
-        cut = re.compile(f"[{letters}{SPACE}]+|.", re.S)
+        cut = re.compile(f"[{letters}{signs}{SPACE}]+|.", re.S)
     seen: dict = {}
 
     def encode(text: str) -> list[int]:
@@ -165,6 +170,7 @@ def decoder(model: dict) -> Callable[[list[int]], str]:
         plain[i] = ""
     plain[model["unknown"]] = model["surface"]
     silent = set(model["control"])
+    quick = [chr(byte_of[i]) if i in byte_of and byte_of[i] < 128 else None if i in byte_of else p for i, p in enumerate(plain)]
 
     def read_bytes(run: bytes) -> str:
         out = []
@@ -180,6 +186,11 @@ def decoder(model: dict) -> Callable[[list[int]], str]:
         first = next((k for k, i in enumerate(ids) if i not in silent), None)
         if first is None:
             return ""
+        cut = model["pieces"][ids[first]].startswith(SPACE)
+        try:  # without bytes of longer characters
+            return "".join(map(quick.__getitem__, ids))[cut:]
+        except TypeError:
+            pass
         out, run = [], bytearray()
         for i in ids:
             b = byte_of.get(i)
@@ -192,8 +203,7 @@ def decoder(model: dict) -> Callable[[list[int]], str]:
             out.append(plain[i])
         if run:
             out.append(read_bytes(bytes(run)))
-        text = "".join(out)
-        return text[1:] if model["pieces"][ids[first]].startswith(SPACE) else text
+        return "".join(out)[cut:]
 
     return decode
 
