@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfarer.llm import decontam, line_dedup, lm_scoring, merkle, mixing, piece_bpe, quality_lines, simhash_vptree, substring_dedup, toxicity, url_filter, warc
+from wayfarer.llm import decontam, line_dedup, lm_scoring, merkle, mixing, piece_bpe, quality_lines, simhash_vptree, spelling, substring_dedup, toxicity, url_filter, warc
 from wayfarer.llm.common import read
 
 
@@ -58,6 +58,10 @@ def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_documents(read(spark, sf_dir, "documents"))
 
@@ -74,10 +78,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
     "op11_piece_bpe": op11_piece_bpe,
+    "op12_spelling": op12_spelling,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op12_spelling": spelling.ORACLE_SQL,
     "op13_merkle_manifest": merkle.ORACLE_SQL,
     "op3_url_filter": """
 with u as (select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
