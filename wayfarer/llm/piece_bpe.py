@@ -25,6 +25,7 @@ no user-defined or unused pieces; ``load`` refuses others.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -37,7 +38,7 @@ from wayfarer.llm.common import small_batches
 
 #: Fixed value: how the model's pieces write a space.
 SPACE = "▁"
-#: Segments and pairs a task remembers before it starts anew.
+#: Words, segments and pairs a task remembers before it starts anew.
 MEMORY = 400_000
 
 
@@ -89,9 +90,11 @@ def encoder(model: dict) -> Callable[[str], list[int]]:
     score = {p: s for p, s in zip(model["pieces"], model["scores"]) if s is not None}
     ids = {p: i for i, (p, s) in enumerate(zip(model["pieces"], model["scores"])) if s is not None}
     known = {c for p in score for c in p}
+    tokens = model["tokens"]
+    size = [len(p) for p in tokens]
     matches = ahocorasick.Automaton()
-    for p in model["tokens"]:
-        matches.add_word(p, p)
+    for k, p in enumerate(tokens):
+        matches.add_word(p, k)
     matches.make_automaton()
 
     def id_list(piece: str) -> list[int]:
@@ -99,36 +102,38 @@ def encoder(model: dict) -> Callable[[str], list[int]]:
             return [ids[piece]]
         return [model["bytes"][b] for b in piece.encode("utf-8")] if model["bytes"] else [model["unknown"]]
 
-    id_lists = {p: id_list(p) for p in model["tokens"]}
+    id_lists = [id_list(p) for p in tokens]
     pairs: dict = {}
 
-    def compatible(pair: tuple) -> bool:
+    def compatible(left: int, right: int) -> bool:
         if len(pairs) >= MEMORY:
             pairs.clear()
-        good = pairs[pair] = _merge(pair[0] + pair[1], score) == [*pair]
+        pair = [tokens[left], tokens[right]]
+        good = pairs[left << 32 | right] = _merge(pair[0] + pair[1], score) == pair
         return good
 
     def segment(text: str) -> list[int]:
-        last: list = [None] * (len(text) + 1)  # last[i]: the last token of the first i characters
-        for end, piece in matches.iter(text):
-            if last[end + 1] is None:
-                before = end + 1 - len(piece)
-                left = last[before]
-                if left is not None:
-                    good = pairs.get((left, piece))
+        last = [-1] * (len(text) + 1)  # last[i]: the last token of the first i characters
+        for end, k in matches.iter(text):
+            if last[end + 1] < 0:
+                before = end + 1 - size[k]
+                if before:
+                    left = last[before]
+                    if left < 0:
+                        continue
+                    good = pairs.get(left << 32 | k)
                     if good is None:
-                        good = compatible((left, piece))
-                    if good:
-                        last[end + 1] = piece
-                elif before == 0:
-                    last[end + 1] = piece
-        tokens, at = [], len(text)
+                        good = compatible(left, k)
+                    if not good:
+                        continue
+                last[end + 1] = k
+        way, at = [], len(text)
         while at:
-            tokens.append(last[at])
-            at -= len(last[at])
+            way.append(last[at])
+            at -= size[last[at]]
         out = []
-        for piece in reversed(tokens):
-            out += id_lists[piece]
+        for k in reversed(way):
+            out += id_lists[k]
         return out
 
     inside = {(a, b) for p in score for a, b in zip(p, p[1:])}
@@ -138,24 +143,41 @@ def encoder(model: dict) -> Callable[[str], list[int]]:
         closing -= loose
     letters, signs = ("".join(map(re.escape, sorted(c))) for c in (known - closing - {SPACE}, closing))
     parts = [f"[{signs}]*[{letters}]+", f"[{signs}]+"] if closing else [f"[{letters}]+"]
-    if all(a == SPACE or b != SPACE for a, b in inside):
+    spaced = all(a == SPACE or b != SPACE for a, b in inside)  # no merge crosses from a word to the next space
+    if spaced:
         cut = re.compile("|".join([f"{SPACE}*{part}" for part in parts] + [f"{SPACE}+", "."]), re.S)
     else:
         cut = re.compile(f"[{letters}{signs}{SPACE}]+|.", re.S)
-    seen: dict = {}
+    segments: dict = {}
+    words: dict = {}
 
-    def encode(text: str) -> list[int]:
+    def keep(memory: dict, text: str, found: list[int]) -> None:
+        if len(text) <= 64:
+            if len(memory) >= MEMORY:
+                memory.clear()
+            memory[text] = found
+
+    def run(text: str) -> list[int]:
         out: list = []
-        if not text:
-            return out
-        for s in cut.findall(SPACE + text.replace(" ", SPACE)):
-            found = seen.get(s)
+        for s in cut.findall(text):
+            found = segments.get(s)
             if found is None:
                 found = segment(s) if s[0] in known else id_list(s)
-                if len(s) <= 64:
-                    if len(seen) >= MEMORY:
-                        seen.clear()
-                    seen[s] = found
+                keep(segments, s, found)
+            out += found
+        return out
+
+    def encode(text: str) -> list[int]:
+        if not text:
+            return []
+        if not spaced or text[0] == " " or "  " in text or SPACE in text:
+            return run(SPACE + text.replace(" ", SPACE))
+        out: list = []
+        for w in text.split(" "):
+            found = words.get(w)
+            if found is None:
+                found = run(SPACE + w)
+                keep(words, w, found)
             out += found
         return out
 
@@ -213,12 +235,18 @@ def encode(text: Column, model: dict) -> Column:
     @F.arrow_udf(ArrayType(IntegerType(), False))
     def piece_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = encoder(model)
-        for texts in batches:
-            ends, flat = [0], []
-            for t in texts:
-                flat += run(t.as_py() or "")
-                ends.append(len(flat))
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+        collecting = gc.isenabled()
+        gc.disable()  # the tables hold no cycles, and a collector would walk them again and again
+        try:
+            for texts in batches:
+                ends, flat = [0], []
+                for t in texts:
+                    flat += run(t.as_py() or "")
+                    ends.append(len(flat))
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+        finally:
+            if collecting:
+                gc.enable()
     return piece_ids(text)
 
 
