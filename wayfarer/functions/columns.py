@@ -89,3 +89,8 @@ def require_columns(df: DataFrame, names: Iterable[str], what: str = "input") ->
     missing = [n for n in names if n.lower() not in present]
     if missing:
         raise ValueError(f"{what}: missing columns {missing}")
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` refers to it."""
+    return F.transform(F.array(value), use)[0]

@@ -37,6 +37,8 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 DEFAULT_CELL_SIZE = "auto"
 CELLS_PER_ZONE_SIDE = 8          # auto: cell side = median zone extent / this
 MAX_CELLS = 4_000_000            # auto: coarsen until zones span at most this many cells beyond their first
@@ -55,6 +57,13 @@ class ZoneIndex:
     attrs: list               # attribute names carried per zone (zone id first)
     est_bytes: int
     broadcast: bool
+    geodesic: bool = False    # edges are great-circle arcs (see ``geodesic``) instead of planar segments
+
+    def cell_of(self, lon: Column, lat: Column) -> tuple[Column, Column]:
+        if self.geodesic:
+            from . import geodesic
+            return geodesic.cell_of(lon, lat, self.cell_size)
+        return F.floor(lon / self.cell_size), F.floor(lat / self.cell_size)
 
 
 # ---------------------------------------------------------------- geometry helpers
@@ -70,7 +79,7 @@ def _closed(ring: Column) -> Column:
     return F.when(first == last, ring).otherwise(F.concat(ring, F.array(first)))
 
 
-def _edges(geometry: Column) -> Column:
+def edges_of(geometry: Column) -> Column:
     """Flatten rings into ``array<struct<x1,y1,x2,y2>>``."""
     def ring_edges(ring):
         # consecutive vertices by zipping the ring with itself, one step on: linear in the ring
@@ -81,6 +90,13 @@ def _edges(geometry: Column) -> Column:
     return F.flatten(F.transform(geometry, ring_edges))
 
 
+def checked_edges(geometry: Column) -> Column:
+    """The edges, or an error where a vertex is NULL or NaN: a zone without it would have another shape."""
+    bad = F.exists(geometry, lambda r: F.exists(r, lambda p: p.isNull() | p["lon"].isNull() | p["lat"].isNull()
+                                                | F.isnan(p["lon"]) | F.isnan(p["lat"])))
+    return F.when(bad, F.raise_error(F.lit("zone with a NULL or NaN vertex (see zones.zone_problems)"))).otherwise(edges_of(geometry))
+
+
 def _x_at(e, y: Column) -> Column:
     return (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
 
@@ -153,9 +169,11 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
     index used by several queries.
     """
     attrs = [id_col, *[a for a in attrs if a != id_col]]
-    spark = zones.sparkSession
 
-    z = zones.select(*[F.col(a) for a in attrs], _edges(F.col(geometry_col)).alias("_e")).where(F.size("_e") > 0)
+    z = zones.select(*[F.col(a) for a in attrs], checked_edges(F.col(geometry_col)).alias("_e")).where(F.size("_e") > 0)
+    if materialize:
+        checkpoint_dir(zones.sparkSession)
+        z = z.checkpoint(eager=True)
     G = float(cell_size) if cell_size != "auto" else _auto_cell_size(z.select(
         F.array_min(F.transform("_e", lambda e: F.least(e["x1"], e["x2"]))).alias("_minx"),
         F.array_max(F.transform("_e", lambda e: F.greatest(e["x1"], e["x2"]))).alias("_maxx"),
@@ -165,8 +183,7 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
 
     # edges to rows; per row the part of the edge inside it, and where it crosses the reference line
     zone = ["_z", *attrs]
-    edges = (z.withColumn("_z", F.monotonically_increasing_id()).select(*zone, F.explode("_e").alias("e"))
-             .where(~F.isnan("e.x1") & ~F.isnan("e.y1") & ~F.isnan("e.x2") & ~F.isnan("e.y2")))
+    edges = (z.withColumn("_z", F.monotonically_increasing_id()).select(*zone, F.explode("_e").alias("e")))
     low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
     rows = edges.withColumn("cy", F.explode(F.sequence(F.floor((low - pad) / G), F.floor((high + pad) / G))))
     e = F.col("e")
@@ -198,6 +215,13 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
              .groupBy(*zone, F.col("c.cx").alias("cx"), "cy")
              .agg(F.collect_list("c.e").alias("edges"), F.max(F.col("c.e").isNull()).alias("inside")))
 
+    return finish_index(zones, cells, attrs, G, max_broadcast_bytes, materialize)
+
+
+def finish_index(zones: DataFrame, cells: DataFrame, attrs: list, G: float, max_broadcast_bytes: int | None, materialize: bool,
+                 edge_bytes: int = 56, geodesic: bool = False) -> ZoneIndex:
+    """The index from ``cells``, one row per zone and cell: grouped by cell, and measured."""
+    spark = zones.sparkSession
     size = F.lit(40)
     for a in attrs:
         size = size + _value_bytes(zones, a)
@@ -207,20 +231,19 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
         F.collect_list(F.struct(*[F.col(a) for a in attrs], "inside", "edges")).alias("zones"),
         F.bool_and(F.size("edges") == 0).alias("exact"),
         F.min(F.struct(*[F.col(a) for a in attrs])).alias("first"),
-        F.sum(size + 56 * F.size("edges")).alias("_bytes"))
+        F.sum(size + edge_bytes * F.size("edges")).alias("_bytes"))
 
     if materialize:
         # one small job: the index is computed once for all later queries
         # (within one query, lookups on one index already share one
         # broadcast: their exchanges are identical and Spark reuses them)
-        from ..session import checkpoint_dir
         checkpoint_dir(spark)
         index = index.checkpoint(eager=True)
     if max_broadcast_bytes is None:
         max_broadcast_bytes = int(spark.conf.get(_CONF_MAX_BROADCAST, str(DEFAULT_MAX_BROADCAST_BYTES)))
     # size check: one small aggregate over the zone table
     est = int(index.agg(F.coalesce(F.sum(F.col("_bytes") + 80), F.lit(0))).first()[0])
-    return ZoneIndex(index.drop("_bytes"), G, attrs, est, est <= max_broadcast_bytes)
+    return ZoneIndex(index.drop("_bytes"), G, attrs, est, est <= max_broadcast_bytes, geodesic)
 
 
 # ---------------------------------------------------------------- lookups
@@ -234,7 +257,6 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
     The index side is used unchanged (same plan for every lookup on it), so
     several lookups against one zone table share one broadcast.
     """
-    G = index.cell_size
     reserved = ("__cx", "__cy", "__zones", "__exact", "__first")
     for c in reserved:
         if c in points.columns:
@@ -242,7 +264,8 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
     cells = index.cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zones").alias("__zones"),
                                F.col("exact").alias("__exact"), F.col("first").alias("__first"))
     ok = _valid(lon, lat)
-    pts = points.withColumns({"__cx": F.when(ok, F.floor(F.col(lon) / G)), "__cy": F.when(ok, F.floor(F.col(lat) / G))})
+    cx, cy = index.cell_of(F.col(lon), F.col(lat))
+    pts = points.withColumns({"__cx": F.when(ok, cx), "__cy": F.when(ok, cy)})
     if index.broadcast:
         joined = pts.join(F.broadcast(cells), ["__cx", "__cy"], "left")
     else:
@@ -251,8 +274,7 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
         # once per salt value) - the same exact salting as the trip match
         from .relational import SaltedKeys
         counted = points if source is None else source
-        salt = SaltedKeys.detect(counted.select(F.when(ok, F.floor(F.col(lon) / G)).alias("__cx"),
-                                                F.when(ok, F.floor(F.col(lat) / G)).alias("__cy")), ["__cx", "__cy"])
+        salt = SaltedKeys.detect(counted.select(F.when(ok, cx).alias("__cx"), F.when(ok, cy).alias("__cy")), ["__cx", "__cy"])
         cells = salt.salt_right(cells, "__salt")
         # deterministic per row; all columns, so many trips from one exact spot still spread
         pts = salt.salt_left(pts, F.xxhash64(*[F.col(f"`{c}`") for c in points.columns]), "__salt")
@@ -268,8 +290,8 @@ def _valid(lon: str, lat: str) -> Column:
             & ~F.isnan(F.col(lon).cast("double")) & ~F.isnan(F.col(lat).cast("double")))
 
 
-def _matches(zs: Column, lon: str, lat: str, predicate: str, cell: float) -> Column:
-    px, py = F.col(lon), F.col(lat)
+def _matches(zs: Column, lon: str, lat: str, predicate: str, index: ZoneIndex) -> Column:
+    px, py, cell = F.col(lon), F.col(lat), index.cell_size
     rx, ry = (F.floor(px / cell) + REF_X) * cell, (F.floor(py / cell) + REF_Y) * cell
 
     def test(z):
@@ -280,6 +302,9 @@ def _matches(zs: Column, lon: str, lat: str, predicate: str, cell: float) -> Col
 
     if predicate not in ("intersects", "within"):
         raise ValueError(f"unknown predicate {predicate!r}")
+    if index.geodesic:
+        from . import geodesic
+        return geodesic.matches(zs, px, py, cell, predicate)
     return F.filter(zs, test)
 
 
@@ -311,7 +336,7 @@ def assign_zone(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs
     zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
     df = _attach_candidates(points, lon, lat, index, tag, source)
     picked = f"__{tag}_pick"
-    hit = _matches(F.col(zs), lon, lat, predicate, index.cell_size)
+    hit = _matches(F.col(zs), lon, lat, predicate, index)
     tested = F.array_min(F.transform(hit, lambda z: F.struct(*[z[a].alias(a) for a in index.attrs])))
     # cells wholly inside their candidates skip the per-point test (CASE is lazy)
     pick = F.when(F.col(exact) & F.col(lon).isNotNull() & F.col(lat).isNotNull(), F.col(first)).otherwise(tested)
@@ -329,6 +354,6 @@ def join_zones(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs:
     zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
     df = _attach_candidates(points, lon, lat, index, tag, source)
     one = f"__{tag}_one"
-    hit = F.when(F.col(exact), F.col(zs)).otherwise(_matches(F.col(zs), lon, lat, predicate, index.cell_size))
+    hit = F.when(F.col(exact), F.col(zs)).otherwise(_matches(F.col(zs), lon, lat, predicate, index))
     df = df.withColumn(one, F.explode_outer(F.transform(hit, lambda z: F.struct(*[z[a].alias(a) for a in index.attrs]))))
     return df.drop(zs, exact, first).withColumns({out: F.col(one)[a] for a, out in outputs.items()}).drop(one)

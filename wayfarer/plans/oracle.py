@@ -63,6 +63,35 @@ def _pick(src, key, lon, lat, zone, extra=()) -> str:
             f"ON {intersects(f't.{lon}', f't.{lat}', 'z')} GROUP BY t.{key}")
 
 
+def _vector(lon: str, lat: str) -> list[str]:
+    return [f"cos(radians({lat})) * cos(radians({lon}))", f"cos(radians({lat})) * sin(radians({lon}))", f"sin(radians({lat}))"]
+
+
+def _arcs(zone: str, scale: int = 1) -> str:
+    """Geodesic edges of a quad table, running eastwards, with the cross product of their ends; (CO_TAZID, CO_FIPS, x1 .. y2, nx, ny, nz)."""
+    def at(c: str) -> str:
+        if scale == 1:
+            return c
+        return f"-112 + ({c} + 112) * {scale}" if c[0] == "x" else f"40 + ({c} - 40) * {scale}"
+    raw = " UNION ALL ".join(f"SELECT CO_TAZID, CO_FIPS, {at(a)} AS xa, {at(b)} AS ya, {at(c)} AS xb, {at(d)} AS yb FROM {zone}" for a, b, c, d in _QUAD_EDGES)
+    east = ("SELECT CO_TAZID, CO_FIPS, least(xa, xb) AS x1, CASE WHEN xa <= xb THEN ya ELSE yb END AS y1, "
+            f"greatest(xa, xb) AS x2, CASE WHEN xa <= xb THEN yb ELSE ya END AS y2 FROM ({raw})")
+    a, b = _vector("x1", "y1"), _vector("x2", "y2")
+    cross = [f"({a[i]}) * ({b[j]}) - ({a[j]}) * ({b[i]})" for i, j in ((1, 2), (2, 0), (0, 1))]
+    return f"SELECT *, {cross[0]} AS nx, {cross[1]} AS ny, {cross[2]} AS nz FROM ({east})"
+
+
+def _geodesic_hits(src: str, key: str, lon: str, lat: str, arcs: str) -> str:
+    """(key, CO_TAZID, CO_FIPS, inside, edge): three-vector orientation of each point against the arcs that span its longitude."""
+    v = _vector(f"t.{lon}", f"t.{lat}")
+    dot = f"e.nx * ({v[0]}) + e.ny * ({v[1]}) + e.nz * ({v[2]})"
+    north = f"CASE WHEN t.{lon} = e.x1 THEN e.y1 <= t.{lat} ELSE {dot} > 0 END"
+    edge = (f"(t.{lon} = e.x1 AND t.{lat} = e.y1) OR (t.{lon} = e.x2 AND t.{lat} = e.y2) OR CASE WHEN e.x1 = e.x2 "
+            f"THEN t.{lat} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2) ELSE {dot} = 0 END")
+    return (f"SELECT t.{key}, e.CO_TAZID, e.CO_FIPS, count(*) FILTER (t.{lon} < e.x2 AND {north}) % 2 = 1 AS inside, bool_or({edge}) AS edge "
+            f"FROM {src} t JOIN {arcs} e ON t.{lon} BETWEEN e.x1 AND e.x2 GROUP BY ALL")
+
+
 # ---------------------------------------------------------------- rule fragments
 def seg_clean(c="segment_type"):
     return f"CASE WHEN {c} = 'Supplemental' THEN 'CBS' ELSE {c} END"
@@ -331,6 +360,23 @@ def _build() -> dict[str, str]:
                                "z4.CO_TAZID AS hCO_TAZID_USTMv4, CAST(round(z4.SUBAREAID) AS BIGINT) AS hSUBAREAID_USTMv4 "
                                f"FROM core_hh a LEFT JOIN taz_v3 z3 ON {within('a.home_lon', 'a.home_lat', 'z3')} "
                                f"LEFT JOIN taz_v4 z4 ON {within('a.home_lon', 'a.home_lat', 'z4')}")
+    q["zone_wkt"] = (_with(["core_hh", *ZONES])
+                     + "SELECT a.hh_id, z3.CO_TAZID AS hCO_TAZID_USTMv3, z4.CO_TAZID AS hCO_TAZID_USTMv4 "
+                       f"FROM core_hh a LEFT JOIN taz_v3 z3 ON {within('a.home_lon', 'a.home_lat', 'z3')} "
+                       f"LEFT JOIN taz_v4 z4 ON {within('a.home_lon', 'a.home_lat', 'z4')}")
+    wide, small = ("wide", _arcs("taz_v3", 10)), ("small", _arcs("taz_v4"))
+    home = [(f"in_{arcs}", f"SELECT * FROM ({_geodesic_hits('core_hh', 'hh_id', 'home_lon', 'home_lat', arcs)}) WHERE inside AND NOT edge")
+            for arcs in ("wide", "small")]
+    q["zone_geodesic_within"] = (_with(["core_hh", *ZONES], wide, small, *home)
+                                 + "SELECT a.hh_id, w.CO_TAZID AS wide_zone, s.CO_TAZID AS zone FROM core_hh a "
+                                   "LEFT JOIN in_wide w ON w.hh_id = a.hh_id LEFT JOIN in_small s ON s.hh_id = a.hh_id")
+    q["zone_antimeridian"] = (_with(["core_hh", *ZONES], wide, home[0])
+                              + "SELECT a.hh_id, w.CO_TAZID AS wide_zone FROM core_hh a LEFT JOIN in_wide w ON w.hh_id = a.hh_id")
+    ends = [(end, f"SELECT trip_id, min(CO_TAZID) AS zone, arg_min(CO_FIPS, CO_TAZID) AS fips FROM ("
+                  f"{_geodesic_hits('core_trip', 'trip_id', f'{end}_lon', f'{end}_lat', 'wide')}) WHERE inside OR edge GROUP BY trip_id") for end in "od"]
+    q["zone_geodesic_intersects"] = (_with(["core_trip", *ZONES], wide, *ends)
+                                     + "SELECT t.trip_id, o.zone AS o_zone, o.fips AS o_fips, d.zone AS d_zone FROM core_trip t "
+                                       "LEFT JOIN o ON o.trip_id = t.trip_id LEFT JOIN d ON d.trip_id = t.trip_id")
     zone_unl = _with(["core_trip", *ZONES], *UNLINKED_PICKS)
     q["zone_intersects_origin"] = (zone_unl + "SELECT t.trip_id, o3.CO_TAZID AS oCO_TAZID_USTMv3, "
                                    "o4.CO_TAZID AS oCO_TAZID_USTMv4, TRY_CAST(round(o4.SUBAREAID) AS BIGINT) AS oSUBAREAID "

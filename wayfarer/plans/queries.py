@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions import recode as R
 from ..functions.columns import clock_hhm, minutes_after_midnight, star_except
-from ..operators import keys
+from ..operators import keys, spatial
 from ..sources import fixtures, zones
 from . import tables as T
 
@@ -34,7 +34,7 @@ class Inputs:
 
     def zone_index(self, version: str):
         if version not in self._zones:
-            self._zones[version] = zones.zone_index(zones.load_zones(self.spark, self.sf_dir, version))
+            self._zones[version] = zones.zone_index(zones.load_zones(self.spark, self.sf_dir, version), materialize=True)
         return self._zones[version]
 
     @property
@@ -182,6 +182,55 @@ def zone_using_join(i: Inputs) -> DataFrame:
                     "oCO_FIPS", "dCO_FIPS", "oSUBAREAID", "dSUBAREAID")
 
 
+def _wide_zones(i: Inputs, shift: float = 0.0) -> DataFrame:
+    """The v3 zones ten times as large (edges of two degrees), moved east by ``shift`` degrees."""
+    z = i.taz_v3
+    for k in range(4):
+        z = z.withColumns({f"x{k}": _moved(-112 + (F.col(f"x{k}") + 112) * 10, shift), f"y{k}": 40 + (F.col(f"y{k}") - 40) * 10})
+    return zones.zones_from_quads(z)
+
+
+def _moved(lon, shift: float):
+    return lon if not shift else F.pmod(lon + (shift + 180), F.lit(360.0)) - 180
+
+
+@query
+def zone_geodesic_intersects(i: Inputs) -> DataFrame:
+    index = zones.zone_index(_wide_zones(i), geodesic=True, materialize=True)
+    t = i.core_trip.select("trip_id", "o_lon", "o_lat", "d_lon", "d_lat")
+    t = spatial.assign_zone(t, "o_lon", "o_lat", index, {"CO_TAZID": "o_zone", "CO_FIPS": "o_fips"})
+    return spatial.assign_zone(t, "d_lon", "d_lat", index, {"CO_TAZID": "d_zone"}).select("trip_id", "o_zone", "o_fips", "d_zone")
+
+
+@query
+def zone_geodesic_within(i: Inputs) -> DataFrame:
+    h = i.core_hh.select("hh_id", "home_lon", "home_lat")
+    h = spatial.join_zones(h, "home_lon", "home_lat", zones.zone_index(_wide_zones(i), geodesic=True, materialize=True), {"CO_TAZID": "wide_zone"})
+    small = zones.zone_index(zones.zones_from_quads(i.taz_v4), geodesic=True, materialize=True)
+    return spatial.join_zones(h, "home_lon", "home_lat", small, {"CO_TAZID": "zone"}).select("hh_id", "wide_zone", "zone")
+
+
+@query
+def zone_antimeridian(i: Inputs) -> DataFrame:
+    """Homes and wide zones 75 degrees to the west, where the antimeridian runs through them."""
+    h = i.core_hh.select("hh_id", _moved(F.col("home_lon"), -75.0).alias("lon"), F.col("home_lat").alias("lat"))
+    return spatial.join_zones(h, "lon", "lat", zones.zone_index(_wide_zones(i, -75.0), geodesic=True, materialize=True),
+                              {"CO_TAZID": "wide_zone"}).select("hh_id", "wide_zone")
+
+
+@query
+def zone_wkt(i: Inputs) -> DataFrame:
+    """The household lookup with zones read from WKT text."""
+    def index(df: DataFrame):
+        points = [F.concat_ws(" ", F.col(f"x{k % 4}"), F.col(f"y{k % 4}")) for k in range(5)]
+        text = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *points), F.lit("))"))
+        return zones.zone_index(zones.with_rings(df.select(*zones.ZONE_ATTRS, text.alias("geometry"))), materialize=True)
+    h = i.core_hh.select("hh_id", "home_lon", "home_lat")
+    h = spatial.join_zones(h, "home_lon", "home_lat", index(i.taz_v3), {"CO_TAZID": "hCO_TAZID_USTMv3"})
+    return spatial.join_zones(h, "home_lon", "home_lat", index(i.taz_v4), {"CO_TAZID": "hCO_TAZID_USTMv4"}).select(
+        "hh_id", "hCO_TAZID_USTMv3", "hCO_TAZID_USTMv4")
+
+
 # ---------------------------------------------------------------- trip purposes & modes
 @query
 def purpose_3cat_linked(i: Inputs) -> DataFrame:
