@@ -37,13 +37,16 @@ def least_strict(*cols: str | Column) -> Column:
 
 
 def to_long_rounded(c: str | Column) -> Column:
-    """Float -> BIGINT rounding half away from zero (Spark's cast truncates)."""
-    return F.round(col(c)).cast("bigint")
+    """Float -> BIGINT rounding half away from zero (Spark's cast truncates); text must be a whole number."""
+    c = col(c)
+    return F.when(F.typeof(c) == "string", c.cast("string").cast("bigint")).otherwise(F.round(c).cast("bigint"))
 
 
 def try_to_long_rounded(c: str | Column) -> Column:
-    """Like ``to_long_rounded`` but NULL instead of an error, for overflow and for text that is no number."""
-    return F.round(col(c).try_cast("decimal(38,18)")).try_cast("bigint")
+    """Like ``to_long_rounded`` but NULL instead of an error: for overflow, and for text that is no whole number ('2.0' is none)."""
+    c = col(c)
+    return F.when(F.typeof(c) == "string", c.cast("string").try_cast("bigint")).otherwise(
+        F.round(c.try_cast("decimal(38,18)")).try_cast("bigint"))
 
 
 def code_label(c: str | Column, mapping: Mapping, default=None) -> Column:

@@ -357,3 +357,21 @@ def join_zones(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs:
     hit = F.when(F.col(exact), F.col(zs)).otherwise(_matches(F.col(zs), lon, lat, predicate, index))
     df = df.withColumn(one, F.explode_outer(F.transform(hit, lambda z: F.struct(*[z[a].alias(a) for a in index.attrs]))))
     return df.drop(zs, exact, first).withColumns({out: F.col(one)[a] for a, out in outputs.items()}).drop(one)
+
+
+def one_zone_per_id(points: DataFrame, id_col: str, outputs: list[str]) -> DataFrame:
+    """Give all rows of a repeated id one zone: the lowest any of them has, with its other ``outputs`` (the zone id first).
+
+    Rows of unique and NULL ids stay as they are and where they are: only the ids are
+    counted (partially before the shuffle), and only repeated ones are
+    aggregated and joined back.  A repeated id without any zone keeps none.
+    """
+    key = F.col(f"`{id_col}`")
+    repeated = points.where(key.isNotNull()).groupBy(key.alias("__id")).agg(F.count("*").alias("__n")).where("__n > 1").select("__id")
+    if repeated.isEmpty():
+        return points
+    hit = points.join(repeated, key == F.col("__id"), "left_semi").where(F.col(outputs[0]).isNotNull())
+    picks = hit.groupBy(key.alias("__id")).agg(F.min(F.struct(*[F.col(c) for c in outputs])).alias("__pick"))
+    joined = points.join(picks, key == F.col("__id"), "left")
+    return joined.select(*[(F.when(F.col("__pick").isNotNull(), F.col("__pick")[c]).otherwise(F.col(c)).alias(c)
+                            if c in outputs else F.col(f"`{c}`")) for c in points.columns])

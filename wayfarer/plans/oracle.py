@@ -364,6 +364,10 @@ def _build() -> dict[str, str]:
                      + "SELECT a.hh_id, z3.CO_TAZID AS hCO_TAZID_USTMv3, z4.CO_TAZID AS hCO_TAZID_USTMv4 "
                        f"FROM core_hh a LEFT JOIN taz_v3 z3 ON {within('a.home_lon', 'a.home_lat', 'z3')} "
                        f"LEFT JOIN taz_v4 z4 ON {within('a.home_lon', 'a.home_lat', 'z4')}")
+    q["zone_repeated_ids"] = (
+        _with(["core_trip", *ZONES], ("t", "SELECT trip_id, o_lon, o_lat, CASE WHEN trip_id % 11 <> 0 THEN CAST(floor(trip_id / 3) AS BIGINT) END AS id FROM core_trip"),
+              ("best", f"SELECT t.id, min(z.CO_TAZID) AS zone, arg_min(z.CO_FIPS, z.CO_TAZID) AS fips FROM t JOIN taz_v3 z ON {intersects('t.o_lon', 't.o_lat', 'z')} GROUP BY t.id"))
+        + "SELECT t.trip_id, t.id, best.zone, best.fips FROM t LEFT JOIN best ON best.id = t.id")
     wide, small = ("wide", _arcs("taz_v3", 10)), ("small", _arcs("taz_v4"))
     home = [(f"in_{arcs}", f"SELECT * FROM ({_geodesic_hits('core_hh', 'hh_id', 'home_lon', 'home_lat', arcs)}) WHERE inside AND NOT edge")
             for arcs in ("wide", "small")]

@@ -19,12 +19,15 @@ linked-trip table, which must exist before ``trip_linked``.
 
 from __future__ import annotations
 
+import hashlib
 import os
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ..operators.keys import with_surrogate_key
 from ..operators.relational import assert_unique
@@ -56,6 +59,7 @@ class BuildConfig:
     key_method: str = "uuid"         # surrogate key of linked trips: uuid | hash
     key_cols: Sequence[str] = ("linked_trip_id",)
     rekey: bool = False              # True: draw new surrogate keys even if a keyed table is stored
+    resume: bool = False             # True: keep tables whose inputs are those they were built from
     check_ids: bool = True           # fail if a trip id repeats (a zone belongs to an id)
 
     @classmethod
@@ -63,14 +67,15 @@ class BuildConfig:
         """Build settings from the environment, with defaults.
 
         TARGET_DATASET (folder, or schema with TARGET_CATALOG=1), TABLE_PREFIX,
-        TABLE_SUFFIX, TABLE_FORMAT, REKEY_LINKED.
+        TABLE_SUFFIX, TABLE_FORMAT, REKEY_LINKED, RESUME_BUILD.
         """
         env = os.environ if env is None else env
         return cls(target=env.get("TARGET_DATASET", "survey_tables"),
                    prefix=env.get("TABLE_PREFIX", ""), suffix=env.get("TABLE_SUFFIX", ""),
                    format=env.get("TABLE_FORMAT", "parquet"),
                    catalog=env.get("TARGET_CATALOG", "0") in ("1", "true", "yes"),
-                   rekey=env.get("REKEY_LINKED", "0") in ("1", "true", "yes"))
+                   rekey=env.get("REKEY_LINKED", "0") in ("1", "true", "yes"),
+                   resume=env.get("RESUME_BUILD", "0") in ("1", "true", "yes"))
 
     def table_name(self, base: str) -> str:
         return f"{self.prefix}{base}{self.suffix}"
@@ -135,6 +140,7 @@ class Sources:
 @dataclass
 class BuildResult:
     written: dict = field(default_factory=dict)   # table -> location
+    kept: list = field(default_factory=list)      # with ``resume``: tables left as they were
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -152,24 +158,47 @@ def _exists(spark: SparkSession, cfg: BuildConfig, base: str) -> bool:
     return fs.exists(p)
 
 
-def _write(df: DataFrame, cfg: BuildConfig, base: str) -> str:
-    """Write beside the place of the table, then swap: a failed write leaves the old table."""
+#: File in a table's folder (and table property) with the fingerprint of what the table was built from.
+FINGERPRINT = "_wayfarer_inputs"
+
+
+def _write(df: DataFrame, cfg: BuildConfig, base: str, fingerprint: str | None = None) -> str:
+    """Write beside the place of the table, then swap: a failed write leaves the old table.
+
+    The old table is moved aside and dropped only after the new one has its
+    name; a run that breaks off in between is mended by ``recover``.
+    """
     spark, loc, mark = df.sparkSession, cfg.location(base), uuid.uuid4().hex[:12]
     if cfg.catalog:
-        new = f"{loc}__new_{mark}"
+        new, old = f"{loc}__new_{mark}", f"{loc}__old_{mark}"
         try:
             df.write.format(cfg.format).saveAsTable(new)
+            if fingerprint:
+                spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ('{FINGERPRINT}' = '{fingerprint}')")
         except BaseException:
             spark.sql(f"DROP TABLE IF EXISTS {new}")
             raise
-        spark.sql(f"DROP TABLE IF EXISTS {loc}")
-        spark.sql(f"ALTER TABLE {new} RENAME TO {loc}")
+        had = spark.catalog.tableExists(loc)
+        if had:
+            _rename_table(spark, loc, old)
+        try:
+            _rename_table(spark, new, loc)
+        except BaseException:
+            if had:
+                _rename_table(spark, old, loc)
+            raise
+        if had:
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
         return loc
     fs, place = _fs_path(spark, loc)
     _, new = _fs_path(spark, os.path.join(cfg.target, f".new-{mark}-{cfg.table_name(base)}"))
     _, old = _fs_path(spark, os.path.join(cfg.target, f".old-{mark}-{cfg.table_name(base)}"))
     try:
         df.write.format(cfg.format).save(new.toString())
+        if fingerprint:
+            out = fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new, FINGERPRINT))
+            out.writeBytes(fingerprint)
+            out.close()
     except BaseException:
         fs.delete(new, True)
         raise
@@ -182,6 +211,84 @@ def _write(df: DataFrame, cfg: BuildConfig, base: str) -> str:
     return loc
 
 
+def _rename_table(spark: SparkSession, a: str, b: str) -> None:
+    spark.sql(f"ALTER TABLE {a} RENAME TO {b}")
+
+
+def recover(spark: SparkSession, cfg: BuildConfig, base: str) -> str | None:
+    """Mend what a broken run left of a table: "restored" if its old state came back, "cleared" if only remains went.
+
+    Must not run beside another build of the same target.
+    """
+    name, loc = cfg.table_name(base), cfg.location(base)
+    if cfg.catalog:
+        if not spark.catalog.databaseExists(cfg.target):
+            return None
+        found = [t.name for t in spark.catalog.listTables(cfg.target)]
+        pattern = re.compile(re.escape(name.lower()) + r"__(new|old)_[0-9a-f]{12}")
+        left = sorted(t for t in found if pattern.fullmatch(t.lower()))
+        old = [t for t in left if "__old_" in t.lower()]
+        restored = bool(old) and name.lower() not in [t.lower() for t in found]
+        if restored:
+            _rename_table(spark, f"{cfg.target}.{old[-1]}", loc)
+        for t in left:
+            if not (restored and t == old[-1]):
+                spark.sql(f"DROP TABLE IF EXISTS {cfg.target}.{t}")
+        return "restored" if restored else "cleared" if left else None
+    fs, folder = _fs_path(spark, cfg.target)
+    if not fs.exists(folder):
+        return None
+    pattern = re.compile(r"\.(new|old)-[0-9a-f]{12}-" + re.escape(os.path.basename(name)))
+    _, place = _fs_path(spark, loc)
+    left = sorted(((s.getModificationTime(), s.getPath()) for s in fs.listStatus(place.getParent() if fs.exists(place.getParent()) else folder)
+                   if pattern.fullmatch(s.getPath().getName())), key=lambda x: x[0])
+    old = [p for _, p in left if p.getName().startswith(".old-")]
+    restored = bool(old) and not fs.exists(place)
+    if restored and not fs.rename(old[-1], place):
+        raise OSError(f"cannot move {old[-1].toString()} back")
+    for _, p in left:
+        if not (restored and p.getName() == old[-1].getName()):
+            fs.delete(p, True)
+    return "restored" if restored else "cleared" if left else None
+
+
+def input_fingerprint(spark: SparkSession, sources: "Sources", cfg: BuildConfig, table: str) -> str | None:
+    """Digest of the files (name, length, time) a table is built from and of its settings; None if a source has no files."""
+    lines = [repr((table, cfg.format, cfg.key_method, tuple(cfg.key_cols)) if table == "trip_linked" else (table, cfg.format))]
+    for n in TABLE_INPUTS[table]:
+        place = sources.location(n)
+        if place is None:
+            return None
+        if not ("/" in place or os.sep in place):
+            place = _identity(spark, place, True)
+            if "/" not in place:
+                return None
+        fs, p = _fs_path(spark, place)
+        files = fs.listFiles(p, True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
+        lines += [n, *sorted(found)]
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+
+def stored_fingerprint(spark: SparkSession, cfg: BuildConfig, base: str) -> str | None:
+    if not _exists(spark, cfg, base):
+        return None
+    loc = cfg.location(base)
+    if cfg.catalog:
+        return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {loc}").collect()}.get(FINGERPRINT)
+    fs, p = _fs_path(spark, os.path.join(loc, FINGERPRINT))
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(b & 255 for b in stream.readNBytes(64)).decode()
+    finally:
+        stream.close()
+
+
 def _read(spark: SparkSession, cfg: BuildConfig, base: str) -> DataFrame:
     loc = cfg.location(base)
     return spark.table(loc) if cfg.catalog else spark.read.format(cfg.format).load(loc)
@@ -232,10 +339,42 @@ def check_ids(sources: Sources, tables: Sequence[str]) -> None:
                 raise ValueError(f"{source}.{key} repeats; {table} needs unique ids")
 
 
-def key_linked_trips(spark: SparkSession, sources: Sources, cfg: BuildConfig) -> DataFrame:
-    """The keyed linked trips.  Keyed once and stored; a stored table is reused unless ``cfg.rekey``."""
+def _content(df: DataFrame) -> tuple:
+    """Count and order-independent sum of row hashes."""
+    r = df.agg(F.count("*"), F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(20,0)"))).first()
+    return r[0], r[1]
+
+
+def key_linked_trips(spark: SparkSession, sources: Sources, cfg: BuildConfig, log: Callable[[str], None] = lambda m: None) -> DataFrame:
+    """The keyed linked trips, stored once and kept in step with their source.
+
+    If the source has changed, trips whose ``key_cols`` are stored keep their ids (with the source's present values;
+    the k-th of several trips with one key keeps the k-th id), new trips get new ones, trips gone from the source go.
+    A trip with a NULL in its key is new each time.  ``cfg.rekey`` draws all ids anew.
+    """
+    source = sources("trip_linked")
+    keyed = with_surrogate_key(source, "unique_id", cfg.key_method, cfg.key_cols)
     if cfg.rekey or not _exists(spark, cfg, KEYED_LINKED):
-        _write(with_surrogate_key(sources("trip_linked"), "unique_id", cfg.key_method, cfg.key_cols), cfg, KEYED_LINKED)
+        _write(keyed, cfg, KEYED_LINKED)
+        return _read(spark, cfg, KEYED_LINKED)
+    stored = _read(spark, cfg, KEYED_LINKED)
+    if sorted(stored.columns) == sorted(keyed.columns) and _content(stored.select(*source.columns)) == _content(source):
+        return stored
+    if cfg.key_method != "hash":      # hashed keys depend on the row alone
+        whole = None
+        for c in cfg.key_cols:
+            whole = F.col(c).isNotNull() if whole is None else whole & F.col(c).isNotNull()
+
+        def numbered(df: DataFrame, order: list) -> DataFrame:
+            return df.withColumn("__k", F.row_number().over(Window.partitionBy(*cfg.key_cols).orderBy(*order)))
+        known = numbered(stored.where(whole).select(*cfg.key_cols, F.col("unique_id").alias("__known")), ["__known"])
+        present = numbered(source.where(whole), [F.xxhash64(*[F.col(f"`{c}`") for c in source.columns])])
+        on = [*cfg.key_cols, "__k"]
+        new, gone = present.join(known, on, "left_anti").count(), known.join(present, on, "left_anti").count()
+        log(f"{KEYED_LINKED}: {new} new trips, {gone} gone")
+        keyed = (present.join(known, on, "left").select(F.coalesce("__known", F.expr("uuid()")).alias("unique_id"), *source.columns)
+                 .unionByName(with_surrogate_key(source.where(~whole), "unique_id", cfg.key_method, cfg.key_cols)))
+    _write(keyed, cfg, KEYED_LINKED)
     return _read(spark, cfg, KEYED_LINKED)
 
 
@@ -246,6 +385,10 @@ def run_pipeline(spark: SparkSession, sources: Sources, cfg: BuildConfig,
     checkpoint_dir(spark)          # raises on a cluster without a shared folder, before any table is written
     if cfg.check_ids:
         check_ids(sources, tables)
+    for t in [*tables, *([KEYED_LINKED] if "trip_linked" in tables else [])]:
+        mended = recover(spark, cfg, t)
+        if mended:
+            log(f"{mended} {cfg.location(t)} after a broken run")
     result = BuildResult()
     idx = {}
 
@@ -262,12 +405,17 @@ def run_pipeline(spark: SparkSession, sources: Sources, cfg: BuildConfig,
                                  zone("taz_v3"), zone("taz_v4")),
         "trip_unlinked": lambda: T.build_trip_unlinked(sources("core_trip"), sources("core_person"),
                                                        zone("taz_v3"), zone("taz_v4")),
-        "trip_linked": lambda: T.build_trip_linked(key_linked_trips(spark, sources, cfg), sources("core_trip"),
+        "trip_linked": lambda: T.build_trip_linked(key_linked_trips(spark, sources, cfg, log), sources("core_trip"),
                                                    zone("taz_v3"), zone("taz_v4")),
     }
     for t in tables:
+        mark = input_fingerprint(spark, sources, cfg, t)
+        if cfg.resume and mark and not (cfg.rekey and t == "trip_linked") and stored_fingerprint(spark, cfg, t) == mark:
+            log(f"kept {t}: its inputs have not changed")
+            result.kept.append(t)
+            continue
         log(f"building {t} -> {cfg.location(t)}")
-        result.written[t] = _write(builders[t](), cfg, t)
+        result.written[t] = _write(builders[t](), cfg, t, mark)
         log(f"done {t}")
     return result
 

@@ -231,6 +231,14 @@ def zone_wkt(i: Inputs) -> DataFrame:
         "hh_id", "hCO_TAZID_USTMv3", "hCO_TAZID_USTMv4")
 
 
+@query
+def zone_repeated_ids(i: Inputs) -> DataFrame:
+    """Three trips share an id (every eleventh has none): each id gets the lowest zone of its trips."""
+    t = i.core_trip.select("trip_id", "o_lon", "o_lat", F.when(F.col("trip_id") % 11 != 0, F.floor(F.col("trip_id") / 3)).alias("id"))
+    t = spatial.assign_zone(t, "o_lon", "o_lat", i.v3, {"CO_TAZID": "zone", "CO_FIPS": "fips"}, id_col="id")
+    return spatial.one_zone_per_id(t, "id", ["zone", "fips"]).select("trip_id", "id", "zone", "fips")
+
+
 # ---------------------------------------------------------------- trip purposes & modes
 @query
 def purpose_3cat_linked(i: Inputs) -> DataFrame:
