@@ -52,6 +52,21 @@ def test_the_best_alignment_decides(spark):
     assert (3, 2) not in got
 
 
+def test_crossed_slots_stay_rejected_with_words_inserted(spark):
+    item = ("A farmer sells 3 crates of apples to the market and 5 crates of pears to the baker, then the market returns 3 crates "
+            "while the baker keeps all 5 crates, and later 3 more crates go out beside the 5 already counted in the old barn.")
+    crossed = item.replace("returns 3", "returns 5").replace("keeps all 5", "keeps all 3").replace("later 3", "later 5").replace("the 5 already", "the 3 already")
+    moved = item.replace("3", "44").replace("5", "66")
+
+    def inserted(text, after, words):
+        return text.replace(after, after + " " + words, 1)
+    texts = [item, crossed, moved]
+    for words in ("gladly", "on this very fine and sunny morning in may"):
+        texts += [inserted(t, "of pears", words) for t in (item, crossed, moved)]
+    got = {r.doc_id: r.kind for r in D.leaks(awkward(spark, texts), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()}
+    assert got == {0: "verbatim", 2: "reparameterised", 3: "verbatim", 5: "reparameterised", 6: "verbatim", 8: "reparameterised"}
+
+
 def test_shares_match_brute_force(spark):
     """Random mutations of items inside noise, without slots: plain window containment."""
     rnd, items = random.Random(5), [prose(40, 100 + i).lower() for i in range(6)]

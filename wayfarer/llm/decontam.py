@@ -57,6 +57,9 @@ def raw_tokens(text: Column) -> Column:
     """The tokens of ``text`` without punctuation, as many as ``template_tokens`` has."""
     return _split(F.translate(F.coalesce(text, F.lit("")), PUNCTUATION, ""))
 
+#: Number of the alignment of an item whose parts lie farther apart than any alignment allows.
+APART = -(1 << 31)
+
 
 def template_tokens(text: Column) -> Column:
     t = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<=[^.!?:;\s§] )\p{Lu}[\p{L}’'-]*", NAME)
@@ -65,19 +68,14 @@ def template_tokens(text: Column) -> Column:
     return _split(F.translate(F.lower(t), PUNCTUATION, ""))
 
 
-def _windows(df: DataFrame, *keys: str, slots: bool = False) -> DataFrame:
-    """(keys, at, window) per window of ``df.tokens`` that has a plain token; ``slots`` adds its
-    ``tokens`` and ``raw`` tokens.
+def _windows(df: DataFrame, *keys: str) -> DataFrame:
+    """(keys, at, window) per window of ``df.tokens`` that has a plain token.
 
     Windows come from zipped shifted copies of the hash array (a column of its own, computed once
     per text), so the cost is linear in the text.
     """
-    held = df.select(*keys, F.transform("tokens", lambda w: F.xxhash64(w)).alias("h"), *(["tokens", "raw"] if slots else []))
-
-    def shifted(c):
-        return [F.slice(c, k + 1, F.size(c)) for k in range(WINDOW)]
-
-    zipped = F.arrays_zip(*shifted("h"), *(shifted("tokens") + shifted("raw") if slots else []))
+    held = df.select(*keys, F.transform("tokens", lambda w: F.xxhash64(w)).alias("h"))
+    zipped = F.arrays_zip(*[F.slice("h", k + 1, F.size("h")) for k in range(WINDOW)])
     holes = [F.xxhash64(F.lit(p)) for p in (NUM, NAME, UNIT)]
 
     def one(x):
@@ -85,17 +83,9 @@ def _windows(df: DataFrame, *keys: str, slots: bool = False) -> DataFrame:
         plain = parts[0].isin(*holes)
         for p in parts[1:]:
             plain = plain & p.isin(*holes)
-        window = F.when(parts[-1].isNotNull() & ~plain, F.xxhash64(*parts)).alias("window")
-        if not slots:
-            return window
-        return F.struct(window, F.array(*[x[str(WINDOW + k)] for k in range(WINDOW)]).alias("tokens"),
-                        F.array(*[x[str(2 * WINDOW + k)] for k in range(WINDOW)]).alias("raw"))
+        return F.when(parts[-1].isNotNull() & ~plain, F.xxhash64(*parts)).alias("window")
 
-    if not slots:
-        out = held.select(*keys, F.posexplode(F.transform(zipped, one)).alias("at", "window"))
-    else:
-        out = held.select(*keys, F.posexplode(F.transform(zipped, one)).alias("at", "x")).select(*keys, "at", "x.*")
-    return out.where("window is not null")
+    return held.select(*keys, F.posexplode(F.transform(zipped, one)).alias("at", "window")).where("window is not null")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
@@ -120,40 +110,38 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     candidates = stored(found.join(hint(sizes), "item_key").where(F.col("n_found") >= min_share * F.col("n_windows"))
                         .select("key", "item_key", (F.col("n_found") / F.col("n_windows")).alias("share")), "candidates")
 
-    # slots: raw tokens under the placeholders, aligned by the matched windows of the candidates
-    held = (body.join(candidates.select("key").distinct(), "key", "left_semi")
-            .groupBy("key").agg(F.min("text").alias("text"))
-            .select("key", template_tokens(F.col("text")).alias("tokens"), raw_tokens(F.col("text")).alias("raw")))
-    doc_side = _windows(held, "key", slots=True).select("key", "at", "window", "raw")
-    item_side = (_windows(texts.select("item_key", template_tokens(F.col("item_text")).alias("tokens"),
-                                       raw_tokens(F.col("item_text")).alias("raw")), "item_key", slots=True)
-                 .withColumnsRenamed({"at": "item_at", "raw": "item_raw"}))
-    hits = stored(candidates.select("key", "item_key").join(doc_side, "key").join(item_side, ["item_key", "window"])
-                  .withColumn("shift", F.col("at") - F.col("item_at")).drop("at"), "hits")
+    # alignments, on numbers alone: where the candidates' windows stand in text and item
+    held = stored(body.join(candidates.select("key").distinct(), "key", "left_semi")
+                  .groupBy("key").agg(F.min("text").alias("text"))
+                  .select("key", template_tokens(F.col("text")).alias("tokens"), raw_tokens(F.col("text")).alias("raw")), "candidate-texts")
+    hits = stored(candidates.select("key", "item_key").join(_windows(held, "key"), "key").join(hint(wanted), ["item_key", "window"])
+                  .select("key", "item_key", "item_at", "window", (F.col("at") - F.col("item_at")).alias("shift")), "hits")
     # each hit counts for the alignments near its shift; of a window's hits the nearest is taken
     near = hits.withColumn("align", F.explode(F.sequence(F.col("shift") - max_drift, F.col("shift") + max_drift)))
-    off = F.struct(F.abs(F.col("shift") - F.col("align")), F.col("shift"))
-    aligned = (near.groupBy("key", "item_key", "align", "item_at", "window")
-               .agg(F.min_by(F.struct("shift", "tokens", "item_raw", "raw"), off).alias("hit"))
-               .select("key", "item_key", "align", "item_at", "window", "hit.*"))
-    full = (aligned.groupBy("key", "item_key", "align").agg(F.count_distinct("window").alias("n_held"))
-            .join(hint(sizes), "item_key").where(F.col("n_held") >= min_share * F.col("n_windows"))
-            .select("key", "item_key", "align"))
-    full = stored(full, "alignments")
-    # all hits together are one more alignment, without a number
-    whole = candidates.select("key", "item_key", F.lit(None).cast("int").alias("align"))
-    by = ["key", "item_key", "align", "shift", "kind"]
-
-    def pairs(held: DataFrame) -> DataFrame:
-        return (held.select("key", "item_key", "align", "shift", "item_at",
-                            F.posexplode(F.arrays_zip("tokens", "item_raw", "raw")).alias("k", "s"))
-                .where(F.startswith("s.tokens", F.lit("§")))
-                .select("key", "item_key", "align", "shift", (F.col("item_at") + F.col("k")).alias("pos"),
-                        F.col("s.tokens").alias("kind"), F.col("s.item_raw").alias("a"), F.col("s.raw").alias("b")).distinct())
-
-    # one alignment is one comparison, whatever its hits' shifts; all hits together compare shift by shift
-    slotted = (pairs(aligned.join(full, ["key", "item_key", "align"], "left_semi").withColumn("shift", F.col("align")))
-               .unionByName(pairs(hits.withColumn("align", F.lit(None).cast("int")))))
+    aligned = near.groupBy("key", "item_key", "align", "item_at", "window").agg(
+        F.min(F.struct(F.abs(F.col("shift") - F.col("align")), "shift"))["shift"].alias("shift"))
+    full = stored(aligned.groupBy("key", "item_key", "align").agg(F.count_distinct("window").alias("n_held"))
+                  .join(hint(sizes), "item_key").where(F.col("n_held") >= min_share * F.col("n_windows"))
+                  .select("key", "item_key", "align"), "alignments")
+    # an item whose parts lie farther apart has no such alignment: its windows' first hits together are one
+    apart = candidates.select("key", "item_key").join(full.select("key", "item_key").distinct(), ["key", "item_key"], "left_anti")
+    first = (hits.join(apart, ["key", "item_key"], "left_semi").groupBy("key", "item_key", "item_at", "window").agg(F.min("shift").alias("shift"))
+             .withColumn("align", F.lit(APART)))
+    compared = aligned.join(full, ["key", "item_key", "align"], "left_semi").unionByName(first)
+
+    # slots: raw tokens under the placeholders, compared inside one alignment, whatever its hits' shifts
+    def holes(df: DataFrame, key: str, raw: str) -> DataFrame:
+        return (df.select(key, F.posexplode(F.arrays_zip("tokens", "raw")).alias("pos", "s")).where(F.startswith("s.tokens", F.lit("§")))
+                .select(key, "pos", F.col("s.tokens").alias("kind"), F.col("s.raw").alias(raw)))
+
+    item_slots = holes(texts.select("item_key", template_tokens(F.col("item_text")).alias("tokens"),
+                                    raw_tokens(F.col("item_text")).alias("raw")), "item_key", "a")
+    by = ["key", "item_key", "align", "kind"]
+    spots = compared.select("key", "item_key", "align", "shift",
+                            F.explode(F.sequence(F.col("item_at"), F.col("item_at") + WINDOW - 1)).alias("pos")).distinct()
+    slotted = (spots.join(hint(item_slots), ["item_key", "pos"]).withColumn("at", F.col("pos") + F.col("shift"))
+               .join(holes(held, "key", "b").withColumnRenamed("pos", "at"), ["key", "at", "kind"])
+               .select(*by, "pos", "a", "b").distinct())
 
     def tests(one: str, other: str) -> DataFrame:
         """Per slot value: does it recur (only then can it be inconsistent), and does it always meet the same value?"""
@@ -163,10 +151,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     slots = tests("a", "b").unionByName(tests("b", "a")).groupBy("key", "item_key", "align").agg(
         F.avg(F.when(F.col("recurs"), F.col("agrees").cast("double"))).alias("consistent"), F.min("same").alias("same"))
-    judged = (full.unionByName(whole).alias("l")
-              .join(slots.alias("r"), F.expr("l.key = r.key and l.item_key = r.item_key and l.align <=> r.align"), "left")
-              .where(F.coalesce("r.consistent", F.lit(1.0)) >= min_share)
-              .groupBy("l.key", "l.item_key").agg(F.max(F.coalesce("r.same", F.lit(True))).alias("same")))
+    judged = (full.unionByName(apart.withColumn("align", F.lit(APART))).join(slots, ["key", "item_key", "align"], "left")
+              .where(F.coalesce("consistent", F.lit(1.0)) >= min_share)
+              .groupBy("key", "item_key").agg(F.max(F.coalesce("same", F.lit(True))).alias("same")))
     return (candidates.join(judged, ["key", "item_key"])
             .withColumn("kind", F.when(F.col("same"), "verbatim").otherwise("reparameterised"))
             .join(items.select("item_id", "item_key"), "item_key").select("key", "item_id", "share", "kind"))
