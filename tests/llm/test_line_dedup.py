@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from helpers import awkward, base_texts, prose, rows
 from wayfarer.llm import line_dedup as L
 
@@ -53,6 +55,35 @@ def test_near_threshold_is_exact_with_coarse_sketches(spark):
     assert found.count() == 3
 
 
+def test_heavy_lines_in_salts_give_the_same(spark, monkeypatch):
+    """A line on a third of all rows, one text on another third, and lines on every site."""
+    texts = ["Home\n" + prose(20, i) + "\nContact" for i in range(40)] + [prose(30, 99) + "\nHome"] * 40 + ["x" * i for i in range(40)]
+    docs = awkward(spark, texts, [f"s{i % 25}" for i in range(120)])
+    plain = L.dedup_lines(docs).select("doc.doc_id", "line_dedup.*")
+    want = rows(plain)
+    monkeypatch.setattr(L, "FREQUENT", 4)
+    monkeypatch.setattr(L, "HEAVY", 50)
+    spread = L._spread(L._seen(docs, "text", "source"), 1, 12)
+    salts = {r.salts for r in L._heavy(spread).collect()}
+    assert max(salts) > 8 and len(salts) > 1
+    assert rows(L.dedup_lines(docs).select("doc.doc_id", "line_dedup.*")) == want
+    data = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    assert want == slow(data, 10)
+
+
+def test_long_text_with_many_cut_lines(spark):
+    cut = "\n".join(f"menu {i}" if i % 2 else "kept " * 5 + str(i) for i in range(40_000))
+    docs = awkward(spark, [cut] + ["\n".join(f"menu {i}" for i in range(1, 40_000, 2))] * 10, [f"s{i}" for i in range(11)])
+    got = {r.doc_id: r for r in L.dedup_lines(docs).select("doc.doc_id", "line_dedup.*").collect()}
+    assert got[0].n_removed == 20_000 and got[0].text.split("\n") == [x for x in cut.split("\n") if x[0] == "k"]
+
+
+def test_copies_of_one_text_have_their_own_keys(spark):
+    docs = awkward(spark, [prose(20, 1)] * 30)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    assert packed.select(L._row_key(docs, "text").alias("k")).distinct().count() == 30
+
+
 def test_whole_copies_stay(spark):
     t = prose(60, 1)
     docs = awkward(spark, [t] * 12, [f"s{i}" for i in range(12)])
