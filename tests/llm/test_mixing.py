@@ -91,3 +91,17 @@ def test_awkward_rows_and_columns(spark):
     blank = awkward(spark, [None, "", " "])
     assert M.manifest(blank).count() == 3
     assert M.manifest(docs.limit(0)).count() == 0
+
+
+def test_beyond_the_broadcast_bound_the_same(spark, monkeypatch):
+    """Only the source "big" is broadcast; the other sources meet their rows in a shuffle."""
+    docs = corpus(spark)
+    want = rows(M.manifest(docs, max_repeats=3.0, block_tokens=50))
+    monkeypatch.setattr(M, "HEAVY", 3)
+    assert rows(M.manifest(docs, max_repeats=3.0, block_tokens=50, max_broadcast_bytes=0)) == want
+
+
+def test_many_texts_without_tokens_beside_a_partial_epoch(spark):
+    docs = awkward(spark, [prose(30, i) for i in range(30)] + [None, "", " "] * 20, ["a"] * 20 + ["b"] * 10 + ["a"] * 60)
+    out = M.manifest(docs, max_repeats=1.5, block_tokens=100)
+    assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()}

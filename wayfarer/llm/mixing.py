@@ -23,7 +23,10 @@ training order: blocks of all sources and epochs interleave at random.
 
 Scale: nothing is gathered per source.  The cut is found by prefix sums over
 1024 ranges of block orders, then over the blocks of one range, then over the
-documents of one block.
+documents with tokens of one block.  What is known per source reaches the rows by
+a broadcast while the table's names and numbers take at most ``MAX_BROADCAST_BYTES``
+(measured).  Beyond it only sources with over 1 / ``HEAVY`` of all rows are broadcast,
+so at most ``HEAVY``, and the rest meet their rows in a shuffle.
 
 Defined cases: a null source is a source of its own; null, empty and blank
 texts have no tokens, cost nothing and are given in every epoch of their
@@ -43,6 +46,7 @@ from pyspark.sql.window import Window
 from wayfarer.llm.common import stored
 
 MAX_REPEATS, BLOCK_TOKENS, SEED = 4.0, 1_000_000, 42
+MAX_BROADCAST_BYTES, HEAVY = 32 << 20, 1_000
 _STEPS, _ROUNDS = 31, 8
 _RANGE_BITS = 10
 
@@ -76,6 +80,18 @@ def _sum(x: Column) -> Column:
     return F.sum(x.cast("decimal(38,18)"))
 
 
+def _by_source(rows: DataFrame, known: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``rows`` joined with ``known`` (stored, one row per source, with its number of rows ``docs``) on the source."""
+    wide = 16 * len(known.columns)
+    size, total = known.agg(F.sum(F.octet_length("s.name") + wide), F.sum("docs")).first()
+    limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    if (size or 0) <= limit:
+        return rows.join(F.broadcast(known.drop("docs")), "s")
+    heavy = known.where(F.col("docs") * HEAVY > F.lit(total)).drop("docs")
+    light = rows.join(F.broadcast(heavy.select("s")), "s", "left_anti")
+    return rows.join(F.broadcast(heavy), "s").unionByName(light.join(known.drop("docs"), "s"))
+
+
 def exponent(shares: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None,
              budget_share: float | None = None) -> float:
     """The exponent for ``shares(p)``; ``budget_share`` is the budget over all tokens, or None for the default budget."""
@@ -107,15 +123,15 @@ def exponent(shares: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          max_repeats: float | None = MAX_REPEATS, entropy: float | None = None, budget_tokens: int | None = None,
-         block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
-    """One row per source: source (struct none, name), tokens, weight, budget, full (whole epochs),
-    n_blocks, cut_block and cut_doc (the partial epoch's last block order and document order)."""
+         block_tokens: int = BLOCK_TOKENS, seed: int = SEED, max_broadcast_bytes: int | None = None) -> DataFrame:
+    """One row per source: source (struct none, name), tokens, docs, weight, budget, full (whole epochs), n_blocks,
+    cut_block and cut_doc (the partial epoch's last block order, and the first document order beyond the budget)."""
     narrow = stored(docs.select(_source(F.col(source_col)).alias("s"), _tokens(F.col(text_col)).alias("n"),
                                 _doc_hash(F.col(id_col), F.col(text_col), seed).alias("h")), "mix-docs")
-    sources = stored(narrow.groupBy("s").agg(F.sum("n").alias("tokens")), "mix-sources")
+    sources = stored(narrow.groupBy("s").agg(F.sum("n").alias("tokens"), F.count("*").alias("docs")), "mix-sources")
     total = sources.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     if not total:
-        return sources.select("s", "tokens", F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("budget"),
+        return sources.select("s", "tokens", "docs", F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("budget"),
                               F.lit(1).cast("long").alias("full"), F.lit(1).cast("long").alias("n_blocks"),
                               F.lit(None).cast("long").alias("cut_block"), F.lit(None).cast("long").alias("cut_doc"))
     shares = sources.where("tokens > 0").withColumn("p", F.col("tokens") / F.lit(total))
@@ -132,8 +148,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     weighted = stored(weighted, "mix-weights")
 
     # the partial epoch's cut, by prefix sums over ranges, blocks and documents
-    partial = weighted.where("rest > 0").select("s", "full", "rest", "n_blocks")
-    blocks = stored(narrow.join(partial, "s").withColumn("block", _block(F.col("h"), F.col("n_blocks")))
+    partial = weighted.where("rest > 0").select("s", "full", "rest", "n_blocks", "docs")
+    blocks = stored(_by_source(narrow.where("n > 0"), partial, max_broadcast_bytes).withColumn("block", _block(F.col("h"), F.col("n_blocks")))
                     .groupBy("s", "full", "rest", "block").agg(F.sum("n").alias("n"))
                     .withColumn("order", _block_order(seed, F.col("full"), F.col("s"), F.col("block")))
                     .withColumn("range", F.shiftright("order", 63 - _RANGE_BITS)), "mix-blocks")
@@ -148,22 +164,22 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     ranges = blocks.groupBy("s", "full", "rest", "range").agg(F.sum("n").alias("n"))
     at_range = crossing(ranges, "range", ["s", "full"])
     at_block = crossing(blocks.drop("rest").join(at_range, ["s", "full", "range"]), "order", ["s", "full"])
-    inside = (narrow.join(at_block.join(blocks.select("s", "order", "block"), ["s", "order"])
-                          .join(weighted.select("s", "n_blocks"), "s"), "s")
+    last = stored(at_block.join(blocks.select("s", "order", "block"), ["s", "order"])
+                  .join(weighted.select("s", "n_blocks", "docs"), "s"), "mix-last-blocks")
+    inside = (_by_source(narrow.where("n > 0"), last, max_broadcast_bytes)
               .where(_block(F.col("h"), F.col("n_blocks")) == F.col("block"))
               .groupBy("s", "full", "rest", _doc_order(seed, F.col("full"), F.col("h")).alias("doc")).agg(F.sum("n").alias("n")))
-    w = Window.partitionBy("s").orderBy("doc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = inside.withColumn("upto", F.sum("n").over(w)).where("upto <= rest").groupBy("s").agg(F.max("doc").alias("cut_doc"))
-    return stored(weighted.drop("rest").join(at_block.select("s", F.col("order").alias("cut_block")), "s", "left")
+    cut = crossing(inside, "doc", ["s", "full"]).select("s", F.col("doc").alias("cut_doc"))
+    return stored(weighted.drop("rest").join(last.select("s", F.col("order").alias("cut_block")), "s", "left")
                   .join(cut, "s", "left"), "mix-plan")
 
 
-def _drawn(rows: DataFrame, planned: DataFrame, seed: int, *keep: str) -> DataFrame:
+def _drawn(rows: DataFrame, planned: DataFrame, seed: int, *keep: str, max_bytes: int | None = None) -> DataFrame:
     """``keep`` columns of ``rows`` (with source s, tokens n and hash h) plus the struct ``mix``."""
-    rows = (rows.join(planned, "s").withColumn("block", _block(F.col("h"), F.col("n_blocks")))
+    rows = (_by_source(rows, planned, max_bytes).withColumn("block", _block(F.col("h"), F.col("n_blocks")))
             .withColumn("last_block", _block_order(seed, F.col("full"), F.col("s"), F.col("block"))))
     more = (F.col("last_block") < F.col("cut_block")) | (
-        (F.col("last_block") == F.col("cut_block")) & (_doc_order(seed, F.col("full"), F.col("h")) <= F.col("cut_doc")))
+        (F.col("last_block") == F.col("cut_block")) & (_doc_order(seed, F.col("full"), F.col("h")) < F.col("cut_doc")))
     rows = rows.withColumn("epochs", F.col("full") + F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0))
     draws = F.when(F.col("epochs") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1), lambda e: F.struct(
         e.alias("epoch"), _block_order(seed, e, F.col("s"), F.col("block")).alias("block_order"),
@@ -174,13 +190,14 @@ def _drawn(rows: DataFrame, planned: DataFrame, seed: int, *keep: str) -> DataFr
 
 
 def draw(docs: DataFrame, planned: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         source_col: str = "source", seed: int = SEED) -> DataFrame:
+         source_col: str = "source", seed: int = SEED, max_broadcast_bytes: int | None = None) -> DataFrame:
     """One row per document: the struct ``doc`` (its columns) and ``mix`` (source, n_tokens, weight, block,
     and ``draws``: an array of (epoch, block_order, doc_order), empty if it is not drawn)."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     body, doc_id, source = F.col(f"doc.`{text_col}`"), F.col(f"doc.`{id_col}`"), F.col(f"doc.`{source_col}`")
     return _drawn(packed.select("doc", _source(source).alias("s"), _tokens(body).alias("n"),
-                                _doc_hash(doc_id, body, seed).alias("h")), planned, seed, "doc")
+                                _doc_hash(doc_id, body, seed).alias("h")), planned, seed, "doc",
+                  max_bytes=max_broadcast_bytes)
 
 
 def manifest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED,
@@ -189,5 +206,5 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     planned = plan(docs, id_col, text_col, source_col, seed=seed, **kw)
     rows = docs.select(F.col(id_col).alias("doc_id"), _source(F.col(source_col)).alias("s"), _tokens(F.col(text_col)).alias("n"),
                        _doc_hash(F.col(id_col), F.col(text_col), seed).alias("h"))
-    return (_drawn(rows, planned, seed, "doc_id").select("doc_id", "mix.*").withColumn("d", F.explode("draws"))
+    return (_drawn(rows, planned, seed, "doc_id", max_bytes=kw.get("max_broadcast_bytes")).select("doc_id", "mix.*").withColumn("d", F.explode("draws"))
             .select("doc_id", "source", "n_tokens", "weight", "block", "d.*"))
