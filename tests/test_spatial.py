@@ -229,3 +229,36 @@ def test_shuffled_lookup_salts_dense_cells(spark, zones_df):
     want = sorted((r.pid, r.z) for r in assign_zone(pts, "lon", "lat", idx_b, {"zid": "z"}).collect())
     assert got == want
     assert "__salt" in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def _grid_of_zones(spark, n):
+    """n unit squares in a row, read by one task."""
+    x = F.col("id").cast("double")
+    corners = [(x, F.lit(0.0)), (x + 1, F.lit(0.0)), (x + 1, F.lit(1.0)), (x, F.lit(1.0))]
+    ring = F.array(*[F.struct(a.alias("lon"), b.alias("lat")) for a, b in corners])
+    return spark.range(0, n, 1, 1).select(F.col("id").alias("zid"), F.array(ring).alias("geometry"))
+
+
+def test_index_over_its_limit_is_never_broadcast_by_estimate(spark):
+    """Spark's estimate of the cells is that of the zone table (small): it must not decide."""
+    idx = build_zone_index(_grid_of_zones(spark, 20), "zid", max_broadcast_bytes=1)
+    pts = spark.createDataFrame([(i + 0.5, 0.5) for i in range(20)], "lon double, lat double")
+    found = assign_zone(pts, "lon", "lat", idx, {"zid": "z"})
+    rows = sorted((r.lon, r.z) for r in found.collect())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert rows == [(i + 0.5, i) for i in range(20)]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("lookup", [assign_zone, join_zones])
+def test_cells_without_points_do_not_count_for_the_broadcast(spark, lookup):
+    whole = build_zone_index(_grid_of_zones(spark, 100), "zid", cell_size=0.5)
+    idx = build_zone_index(_grid_of_zones(spark, 100), "zid", cell_size=0.5, max_broadcast_bytes=whole.est_bytes // 20)
+    assert not idx.broadcast
+    pts = spark.createDataFrame([(i % 5 + 0.37, 0.61) for i in range(50)] + [(None, 0.5), (500.0, 0.5), (7.0, None)], "lon double, lat double")
+    near = idx.near(pts, [("lon", "lat")])
+    assert near.broadcast and 0 < near.est_bytes <= idx.max_broadcast_bytes
+    got, want = ([tuple(r) for r in lookup(pts, "lon", "lat", i, {"zid": "z"}).collect()] for i in (idx, whole))
+    assert sorted(got, key=str) == sorted(want, key=str)
+    far = spark.createDataFrame([(i + 0.5, 0.5) for i in range(100)], "lon double, lat double")
+    assert not idx.near(far, [("lon", "lat")]).broadcast

@@ -22,8 +22,10 @@ attaches the cell's candidate list, and higher-order functions run the
 even-odd / on-edge test: from the reference point to the point, along one
 vertical and one horizontal step, each crossing of an edge flips the parity.  The point table is never shuffled when the cell
 table is broadcast; the broadcast happens only after its size has been
-measured against a limit, otherwise the join falls back to a shuffled join on
-(cx, cy) (AQE splits hot cells).
+measured against a limit.  Beyond the limit the cells that hold no point are left
+out and the rest is measured (``ZoneIndex.near``); if that is too large as well, the
+join is a shuffled one on (cx, cy), with hot cells salted, and Spark's own estimate never turns
+it into a broadcast.
 
 Predicates: ``intersects`` = inside or on an edge; ``within`` = inside and not
 on an edge.  Points with a NULL, NaN or out-of-range coordinate match nothing.
@@ -31,7 +33,8 @@ on an edge.  Points with a NULL, NaN or out-of-range coordinate match nothing.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from itertools import count
 
 from pyspark.sql import Column, DataFrame
@@ -52,12 +55,14 @@ _ids = count()
 
 @dataclass
 class ZoneIndex:
-    cells: DataFrame          # cx, cy, zones
+    cells: DataFrame          # cx, cy, zones, exact, first, _bytes
     cell_size: float
     attrs: list               # attribute names carried per zone (zone id first)
     est_bytes: int
     broadcast: bool
     geodesic: bool = False    # edges are great-circle arcs (see ``geodesic``) instead of planar segments
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+    reduced: bool = False     # ``near`` has been asked already
 
     def cell_of(self, lon: Column, lat: Column) -> tuple[Column, Column]:
         if self.geodesic:
@@ -65,6 +70,28 @@ class ZoneIndex:
             return geodesic.cell_of(lon, lat, self.cell_size)
         return F.floor(lon / self.cell_size), F.floor(lat / self.cell_size)
 
+    def near(self, points: DataFrame, coordinates: Sequence[tuple[str, str]]) -> ZoneIndex:
+        """This index for lookups of ``points``: broadcast without the cells that hold none of them, if that fits the limit.
+
+        ``coordinates``: the (lon, lat) columns that are looked up; one pass over them lists their
+        cells.  An index that is broadcast anyway, or does not fit even so, is returned whole.
+        """
+        if self.broadcast or self.reduced:
+            return self
+        cell = [F.when(_valid(lon, lat), F.struct(*[c.alias(k) for k, c in zip(("cx", "cy"), self.cell_of(F.col(lon), F.col(lat)))]))
+                for lon, lat in coordinates]
+        checkpoint_dir(points.sparkSession)
+        held = points.select(F.explode(F.array(*cell)).alias("c")).where(F.col("c").isNotNull()).select("c.*").distinct().checkpoint(eager=True)
+        cells = self.cells.join(held.hint("merge"), ["cx", "cy"], "left_semi")
+        est = _measured(cells)
+        if est > self.max_broadcast_bytes:
+            return replace(self, reduced=True)
+        return replace(self, cells=cells, est_bytes=est, broadcast=True, reduced=True)
+
+
+def _measured(cells: DataFrame) -> int:
+    return int(cells.agg(F.coalesce(F.sum(F.col("_bytes") + 80), F.lit(0))).first()[0])
+
 
 # ---------------------------------------------------------------- geometry helpers
 def quad_geometry(x0, y0, x1, y1, x2, y2, x3, y3) -> Column:
@@ -242,8 +269,8 @@ def finish_index(zones: DataFrame, cells: DataFrame, attrs: list, G: float, max_
     if max_broadcast_bytes is None:
         max_broadcast_bytes = int(spark.conf.get(_CONF_MAX_BROADCAST, str(DEFAULT_MAX_BROADCAST_BYTES)))
     # size check: one small aggregate over the zone table
-    est = int(index.agg(F.coalesce(F.sum(F.col("_bytes") + 80), F.lit(0))).first()[0])
-    return ZoneIndex(index.drop("_bytes"), G, attrs, est, est <= max_broadcast_bytes, geodesic)
+    est = _measured(index)
+    return ZoneIndex(index, G, attrs, est, est <= max_broadcast_bytes, geodesic, max_broadcast_bytes)
 
 
 # ---------------------------------------------------------------- lookups
@@ -251,8 +278,8 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
                        source: DataFrame | None = None) -> DataFrame:
     """Left join each point's cell candidates as column ``__<tag>_zones``.
 
-    ``source``: a cheaper table with the same coordinates, to count dense
-    cells on if the lookup is shuffled.
+    ``source``: a cheaper table that holds all the same coordinates, to list the
+    points' cells and to count dense ones on if the index is too large to broadcast whole.
 
     The index side is used unchanged (same plan for every lookup on it), so
     several lookups against one zone table share one broadcast.
@@ -261,6 +288,8 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
     for c in reserved:
         if c in points.columns:
             raise ValueError(f"reserved column {c} present")
+    counted = points if source is None else source
+    index = index.near(counted, [(lon, lat)])
     cells = index.cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zones").alias("__zones"),
                                F.col("exact").alias("__exact"), F.col("first").alias("__first"))
     ok = _valid(lon, lat)
@@ -273,9 +302,9 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
         # would be one task, so such cells are salted (their index rows copied
         # once per salt value) - the same exact salting as the trip match
         from .relational import SaltedKeys
-        counted = points if source is None else source
         salt = SaltedKeys.detect(counted.select(F.when(ok, cx).alias("__cx"), F.when(ok, cy).alias("__cy")), ["__cx", "__cy"])
-        cells = salt.salt_right(cells, "__salt")
+        # the hint keeps Spark from a broadcast by its own estimate, which knows nothing of the exploded cells
+        cells = salt.salt_right(cells, "__salt").hint("merge")
         # deterministic per row; all columns, so many trips from one exact spot still spread
         pts = salt.salt_left(pts, F.xxhash64(*[F.col(f"`{c}`") for c in points.columns]), "__salt")
         joined = pts.join(cells, ["__cx", "__cy", "__salt"], "left").drop("__salt")

@@ -155,9 +155,9 @@ def hh_residence_months(i: Inputs) -> DataFrame:
 def zone_within_home(i: Inputs) -> DataFrame:
     from ..functions.columns import to_long_rounded
     from ..operators.spatial import join_zones
-    h = i.core_hh.select("hh_id", "home_lon", "home_lat")
+    h = homes = i.core_hh.select("hh_id", "home_lon", "home_lat")
     h = join_zones(h, "home_lon", "home_lat", i.v3, {"CO_TAZID": "hCO_TAZID_USTMv3", "SUBAREAID": "_s3"})
-    h = join_zones(h, "home_lon", "home_lat", i.v4, {"CO_TAZID": "hCO_TAZID_USTMv4", "SUBAREAID": "_s4"})
+    h = join_zones(h, "home_lon", "home_lat", i.v4, {"CO_TAZID": "hCO_TAZID_USTMv4", "SUBAREAID": "_s4"}, source=homes)
     return h.select("hh_id", "hCO_TAZID_USTMv3", to_long_rounded("_s3").alias("hSUBAREAID_USTMv3"),
                     "hCO_TAZID_USTMv4", to_long_rounded("_s4").alias("hSUBAREAID_USTMv4"))
 
@@ -204,10 +204,10 @@ def zone_geodesic_intersects(i: Inputs) -> DataFrame:
 
 @query
 def zone_geodesic_within(i: Inputs) -> DataFrame:
-    h = i.core_hh.select("hh_id", "home_lon", "home_lat")
+    h = homes = i.core_hh.select("hh_id", "home_lon", "home_lat")
     h = spatial.join_zones(h, "home_lon", "home_lat", zones.zone_index(_wide_zones(i), geodesic=True, materialize=True), {"CO_TAZID": "wide_zone"})
     small = zones.zone_index(zones.zones_from_quads(i.taz_v4), geodesic=True, materialize=True)
-    return spatial.join_zones(h, "home_lon", "home_lat", small, {"CO_TAZID": "zone"}).select("hh_id", "wide_zone", "zone")
+    return spatial.join_zones(h, "home_lon", "home_lat", small, {"CO_TAZID": "zone"}, source=homes).select("hh_id", "wide_zone", "zone")
 
 
 @query
@@ -225,9 +225,9 @@ def zone_wkt(i: Inputs) -> DataFrame:
         points = [F.concat_ws(" ", F.col(f"x{k % 4}"), F.col(f"y{k % 4}")) for k in range(5)]
         text = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *points), F.lit("))"))
         return zones.zone_index(zones.with_rings(df.select(*zones.ZONE_ATTRS, text.alias("geometry"))), materialize=True)
-    h = i.core_hh.select("hh_id", "home_lon", "home_lat")
+    h = homes = i.core_hh.select("hh_id", "home_lon", "home_lat")
     h = spatial.join_zones(h, "home_lon", "home_lat", index(i.taz_v3), {"CO_TAZID": "hCO_TAZID_USTMv3"})
-    return spatial.join_zones(h, "home_lon", "home_lat", index(i.taz_v4), {"CO_TAZID": "hCO_TAZID_USTMv4"}).select(
+    return spatial.join_zones(h, "home_lon", "home_lat", index(i.taz_v4), {"CO_TAZID": "hCO_TAZID_USTMv4"}, source=homes).select(
         "hh_id", "hCO_TAZID_USTMv3", "hCO_TAZID_USTMv4")
 
 

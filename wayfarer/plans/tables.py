@@ -193,9 +193,13 @@ def build_hh(core_hh: DataFrame, core_person: DataFrame, followon_hh: DataFrame,
 
 
 # ---------------------------------------------------------------- trip zones
+TRIP_ENDS = [("o_lon", "o_lat"), ("d_lon", "d_lat")]
+
+
 def trip_zones_unlinked(trips: DataFrame, taz_v3: ZoneIndex, taz_v4: ZoneIndex,
                         source: DataFrame | None = None) -> DataFrame:
     """D4x4 + pick (unlinked): zone ids as stored, sub-areas safely cast."""
+    taz_v3, taz_v4 = (i.near(trips if source is None else source, TRIP_ENDS) for i in (taz_v3, taz_v4))
     t = assign_zone(trips, "o_lon", "o_lat", taz_v3, {"CO_TAZID": "oCO_TAZID_USTMv3"}, id_col="trip_id", source=source)
     t = assign_zone(t, "d_lon", "d_lat", taz_v3, {"CO_TAZID": "dCO_TAZID_USTMv3"}, id_col="trip_id", source=source)
     t = assign_zone(t, "o_lon", "o_lat", taz_v4, {"CO_TAZID": "oCO_TAZID_USTMv4", "SUBAREAID": "__o_sub"}, id_col="trip_id", source=source)
@@ -207,6 +211,7 @@ def trip_zones_unlinked(trips: DataFrame, taz_v3: ZoneIndex, taz_v4: ZoneIndex,
 def trip_zones_linked(trips: DataFrame, taz_v3: ZoneIndex, taz_v4: ZoneIndex,
                       source: DataFrame | None = None, id_col: str = "unique_id") -> DataFrame:
     """D4x4 + pick (linked): ids, counties and sub-areas strictly cast to BIGINT."""
+    taz_v3, taz_v4 = (i.near(trips if source is None else source, TRIP_ENDS) for i in (taz_v3, taz_v4))
     t = assign_zone(trips, "o_lon", "o_lat", taz_v3, {"CO_TAZID": "__o3", "CO_FIPS": "__of"}, id_col=id_col, source=source)
     t = assign_zone(t, "d_lon", "d_lat", taz_v3, {"CO_TAZID": "__d3", "CO_FIPS": "__df"}, id_col=id_col, source=source)
     t = assign_zone(t, "o_lon", "o_lat", taz_v4, {"CO_TAZID": "__o4", "SUBAREAID": "__os"}, id_col=id_col, source=source)
