@@ -148,3 +148,13 @@ def test_salted_six_key_join_equals_plain(spark):
         spark.conf.unset("wayfarer.skew.sampleFraction")
     assert salted == base
     assert "__salt" in plan
+
+
+def test_six_key_join_shuffles_each_side_once(spark):
+    """Without hot keys too the salt stays a join key: no second exchange behind the explicit one."""
+    from wayfarer.plans.queries import registry
+    df = registry()["composite_trip_join"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    by_keys = [x for x in plan.splitlines() if "hashpartitioning(" in x and "depart_seconds" in x and "arrive" not in x]
+    # linked trips, unlinked trips, and the window that keeps one unlinked trip per key
+    assert len(by_keys) == 3, plan

@@ -250,7 +250,9 @@ class SaltedKeys:
     def salt_right(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` (one row per key) with salt column ``name``: rows of hot keys once per salt."""
         if self.hot is None:
-            return df.withColumn(name, F.lit(0))
+            # always 0, but no literal: that would be folded out of the join keys, the join would then shuffle
+            # both sides once more without the salt, and a mass of NULL keys would meet in one task
+            return df.withColumn(name, F.pmod(F.xxhash64(*self.keys), F.lit(1)).cast("int"))
         return (self._with_salts(df).withColumn(name, F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)))
                 .drop("__salts"))
 

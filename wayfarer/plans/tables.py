@@ -17,9 +17,10 @@ Shuffle plan (per table, at scale):
 * trip_unlinked: one join with persons on person_id (and piece, for persons
   with very many trips), whose partitioning the window reuses; zone lookups
   row-local (broadcast cell index).
-* trip_linked: zone lookups row-local; unlinked trips with complete keys are
+* trip_linked: unlinked trips with complete keys are
   deduplicated (partial limit before the shuffle), and only the surviving row
-  of a hot key is copied for the salted six-key join.
+  of a hot key is copied for the salted six-key join, which moves the linked trips
+  once, with their source columns only; zone lookups and recodes follow row-local.
 """
 
 from __future__ import annotations
@@ -380,10 +381,12 @@ def build_trip_linked(trip_linked_with_uuid: DataFrame, core_trip: DataFrame,
                       taz_v3: ZoneIndex, taz_v4: ZoneIndex) -> DataFrame:
     src = trip_linked_with_uuid
     require_columns(src, [c for c in codes.TRIP_LINKED_COLS if c not in _LINKED_DERIVED], "trip_linked source")
-    t = trip_zones_linked(src, taz_v3, taz_v4, source=src)
+    # the join first: it moves the source columns only, all others are derived behind its shuffle
+    t = src.withColumn("linked_trip_mode_t", R.linked_mode_label("linked_trip_mode"))
+    t = attach_unlinked(t, core_trip, row_id=["unique_id"], key_source=src)
+    t = trip_zones_linked(t, taz_v3, taz_v4, source=src)
     t = t.select(*star_except(t, codes.TRIP_LINKED_DROP), F.col("trip_weight_new").alias("trip_weight"))
     t = linked_recodes(t)
-    t = attach_unlinked(t, core_trip, row_id=["unique_id"], key_source=src)
     t = t.select(
         "*",
         *pa_swap([("oCO_TAZID_USTMv3", "dCO_TAZID_USTMv3", "pCO_TAZID_USTMv3", "aCO_TAZID_USTMv3"),
