@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from wayfarer.operators.spatial import assign_zone, build_zone_index, join_zones
+from wayfarer.operators.spatial import assign_zone, build_zone_index, join_zones, spread
 
 GEOM = "array<array<struct<lon:double,lat:double>>>"
 
@@ -262,3 +262,19 @@ def test_cells_without_points_do_not_count_for_the_broadcast(spark, lookup):
     assert sorted(got, key=str) == sorted(want, key=str)
     far = spark.createDataFrame([(i + 0.5, 0.5) for i in range(100)], "lon double, lat double")
     assert not idx.near(far, [("lon", "lat")]).broadcast
+
+
+def test_zones_of_one_file_are_indexed_on_all_cores(spark):
+    zones = _grid_of_zones(spark, 40)
+    assert zones.rdd.getNumPartitions() == 1
+    assert spread(zones).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = zones.repartition(3 * spark.sparkContext.defaultParallelism)
+    assert spread(many).rdd.getNumPartitions() == many.rdd.getNumPartitions()
+
+
+def test_cells_of_very_many_zones_stay_uncrowded(spark, monkeypatch):
+    """The number of cells follows the number of zones beyond MAX_CELLS."""
+    from wayfarer.operators import spatial
+    monkeypatch.setattr(spatial, "MAX_CELLS", 50)
+    idx = build_zone_index(_grid_of_zones(spark, 400), "zid")
+    assert idx.cells.agg(F.max(F.size("zones"))).first()[0] <= 4

@@ -140,6 +140,7 @@ def build_geodesic_index(zones: DataFrame, id_col: str, attrs=(), geometry_col:
     antipodes; the job fails otherwise.  ``cell_size`` is rounded down to 180 / 2^m.
     """
     attrs = [id_col, *[a for a in attrs if a != id_col]]
+    zones = spatial.spread(zones)
     rings = F.transform(F.col(geometry_col), lambda r: spatial.checked_edges(F.array(r)))
     z = (zones.select(*attrs, rings.alias("_r")).withColumn("_south", _holds_south_pole(F.col("_r")))
          .withColumn("_e", F.flatten(F.transform(F.flatten("_r"), _pieces))).drop("_r").where(F.size("_e") > 0))

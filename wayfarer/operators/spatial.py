@@ -44,7 +44,8 @@ from ..session import checkpoint_dir
 
 DEFAULT_CELL_SIZE = "auto"
 CELLS_PER_ZONE_SIDE = 8          # auto: cell side = median zone extent / this
-MAX_CELLS = 4_000_000            # auto: coarsen until zones span at most this many cells beyond their first
+MAX_CELLS = 4_000_000            # auto: coarsen until zones span at most this many cells beyond their first,
+CELLS_PER_ZONE = 2               # or this many a zone (a fixed number alone would crowd the cells of very many zones)
 REF_X, REF_Y = 0.5137, 0.4871    # reference point of a cell, in units of G (off the middle, where few edges pass)
 DEFAULT_MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 _CONF_MAX_BROADCAST = "wayfarer.spatial.maxBroadcastBytes"
@@ -162,17 +163,18 @@ def _auto_cell_size(z: DataFrame) -> float:
 
     About ``CELLS_PER_ZONE_SIDE`` cells across a median zone, so most cells of
     a zone are interior (no edge test); coarsened if the cover would exceed
-    ``MAX_CELLS`` cells.
+    ``MAX_CELLS`` cells and ``CELLS_PER_ZONE`` cells a zone.
     """
     ext = F.greatest(F.col("_maxx") - F.col("_minx"), F.col("_maxy") - F.col("_miny"))
     row = z.agg(F.percentile_approx(ext, 0.5).alias("med"),
                 F.sum((F.col("_maxx") - F.col("_minx")) * (F.col("_maxy") - F.col("_miny"))).alias("area"),
-                F.sum(F.col("_maxx") - F.col("_minx") + F.col("_maxy") - F.col("_miny")).alias("perim")).first()
+                F.sum(F.col("_maxx") - F.col("_minx") + F.col("_maxy") - F.col("_miny")).alias("perim"),
+                F.count("*").alias("n")).first()
     if not row or not row["med"]:
         return 1.0
     G = float(row["med"]) / CELLS_PER_ZONE_SIDE
     # cells ~ area/G^2 + perimeter/G (+ one per zone, whatever G): both terms vanish as G grows
-    while row["area"] / G ** 2 + row["perim"] / G > MAX_CELLS:
+    while row["area"] / G ** 2 + row["perim"] / G > max(MAX_CELLS, CELLS_PER_ZONE * row["n"]):
         G *= 1.5
     return G
 
@@ -183,6 +185,12 @@ def _value_bytes(df: DataFrame, c: str) -> Column:
     return F.lit(16)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on all cores: the rows of a small file arrive in one task, and what an index makes of them is many times as much."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str = "geometry",
                      cell_size: float | str = DEFAULT_CELL_SIZE,
                      max_broadcast_bytes: int | None = None,
@@ -196,6 +204,7 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
     index used by several queries.
     """
     attrs = [id_col, *[a for a in attrs if a != id_col]]
+    zones = spread(zones)
 
     z = zones.select(*[F.col(a) for a in attrs], checked_edges(F.col(geometry_col)).alias("_e")).where(F.size("_e") > 0)
     if materialize:
