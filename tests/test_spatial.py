@@ -278,3 +278,19 @@ def test_cells_of_very_many_zones_stay_uncrowded(spark, monkeypatch):
     monkeypatch.setattr(spatial, "MAX_CELLS", 50)
     idx = build_zone_index(_grid_of_zones(spark, 400), "zid")
     assert idx.cells.agg(F.max(F.size("zones"))).first()[0] <= 4
+
+
+@pytest.mark.parametrize("lookup", [assign_zone, join_zones])
+def test_zones_near_points_get_a_grid_as_fine_as_the_limit_allows(spark, monkeypatch, lookup):
+    """However many zones lie elsewhere, most points of the zones in use fall in cells that need no test."""
+    from wayfarer.operators import spatial
+    monkeypatch.setattr(spatial, "MAX_CELLS", 50)
+    idx = build_zone_index(_grid_of_zones(spark, 400), "zid", max_broadcast_bytes=100_000, materialize=True)
+    whole = build_zone_index(_grid_of_zones(spark, 400), "zid", cell_size=0.5)
+    pts = spark.createDataFrame([(100 + i / 20, i % 7 / 6) for i in range(101)] + [(None, 0.5), (7.0, None)], "lon double, lat double")
+    near = idx.near(pts, [("lon", "lat")])
+    assert not idx.broadcast and near.broadcast and near.est_bytes <= 100_000 and near.cell_size < idx.cell_size / 2
+    assert near.cells.agg(F.avg(F.col("exact").cast("int"))).first()[0] > 0.4
+    got, want = ([tuple(r) for r in lookup(pts, "lon", "lat", i, {"zid": "z"}, predicate="intersects").collect()] for i in (idx, whole))
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(r[2] is not None for r in got) >= 101

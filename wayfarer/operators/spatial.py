@@ -23,8 +23,9 @@ even-odd / on-edge test: from the reference point to the point, along one
 vertical and one horizontal step, each crossing of an edge flips the parity.  The point table is never shuffled when the cell
 table is broadcast; the broadcast happens only after its size has been
 measured against a limit.  Beyond the limit the cells that hold no point are left
-out and the rest is measured (``ZoneIndex.near``); if that is too large as well, the
-join is a shuffled one on (cx, cy), with hot cells salted, and Spark's own estimate never turns
+out and the rest is measured (``ZoneIndex.near``), and the zones near points get a
+grid of their own, as fine as the limit allows, if that of all zones is coarser; if
+neither fits, the join is a shuffled one on (cx, cy), with hot cells salted, and Spark's own estimate never turns
 it into a broadcast.
 
 Predicates: ``intersects`` = inside or on an edge; ``within`` = inside and not
@@ -46,6 +47,7 @@ DEFAULT_CELL_SIZE = "auto"
 CELLS_PER_ZONE_SIDE = 8          # auto: cell side = median zone extent / this
 MAX_CELLS = 4_000_000            # auto: coarsen until zones span at most this many cells beyond their first,
 CELLS_PER_ZONE = 2               # or this many a zone (a fixed number alone would crowd the cells of very many zones)
+BYTES_PER_CELL = 256             # about what a zone takes in a cell: a grid for a broadcast has at most limit / this cells
 REF_X, REF_Y = 0.5137, 0.4871    # reference point of a cell, in units of G (off the middle, where few edges pass)
 DEFAULT_MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 _CONF_MAX_BROADCAST = "wayfarer.spatial.maxBroadcastBytes"
@@ -64,6 +66,7 @@ class ZoneIndex:
     geodesic: bool = False    # edges are great-circle arcs (see ``geodesic``) instead of planar segments
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
     reduced: bool = False     # ``near`` has been asked already
+    zones: DataFrame | None = None   # _z, attributes and edges (_e) of the zones, if they are stored
 
     def cell_of(self, lon: Column, lat: Column) -> tuple[Column, Column]:
         if self.geodesic:
@@ -85,10 +88,44 @@ class ZoneIndex:
         held = points.select(F.explode(F.array(*cell)).alias("c")).where(F.col("c").isNotNull()).select("c.*").distinct().checkpoint(eager=True)
         cells = self.cells.join(held.hint("merge"), ["cx", "cy"], "left_semi")
         est = _measured(cells)
-        if est > self.max_broadcast_bytes:
+        fits = est <= self.max_broadcast_bytes
+        finer = self._finer(held, fits)
+        if finer is not None:
+            return finer
+        if not fits:
             return replace(self, reduced=True)
         return replace(self, cells=cells, est_bytes=est, broadcast=True, reduced=True)
 
+    def _finer(self, held: DataFrame, fits: bool) -> ZoneIndex | None:
+        """A broadcast index of the zones whose extent meets the ``held`` cells alone; None if it would not fit,
+        or if this index fits without its empty cells and its grid is about as fine.
+
+        The cells of very many zones are coarse, and each of them lists several zones to be
+        tested for every point in it, however few of the zones are near any point.
+        """
+        if self.zones is None:
+            return None
+        G = self.cell_size
+        def span(low: str, high: str) -> Column:
+            return F.explode(F.sequence(F.floor(F.col(low) / G - _SLACK), F.floor(F.col(high) / G + _SLACK)))
+        at = (_extents(self.zones, "_z").select("_z", "_miny", "_maxy", span("_minx", "_maxx").alias("cx"))
+              .select("_z", "cx", span("_miny", "_maxy").alias("cy")))
+        ids = at.join(held.hint("merge"), ["cx", "cy"], "left_semi").select("_z").distinct()
+        used = self.zones.join(ids.hint("merge"), "_z", "left_semi").checkpoint(eager=True)
+        most = self.max_broadcast_bytes // BYTES_PER_CELL
+        n = used.count()
+        if not n or n > most:
+            return None
+        side = _auto_cell_size(_extents(used), most)
+        if fits and side > 0.75 * G:
+            return None
+        for _ in range(3):
+            finer = finish_index(used, _grid_cells(used, self.attrs, side), self.attrs, side, self.max_broadcast_bytes, True)
+            if finer.broadcast:
+                return replace(finer, reduced=True)
+            side *= 1.5
+        return None
+
 
 def _measured(cells: DataFrame) -> int:
     return int(cells.agg(F.coalesce(F.sum(F.col("_bytes") + 80), F.lit(0))).first()[0])
@@ -158,12 +195,22 @@ def on_boundary(edges: Column, px: Column, py: Column) -> Column:
 
 
 # ---------------------------------------------------------------- index
-def _auto_cell_size(z: DataFrame) -> float:
+def _extents(z: DataFrame, *keep: str) -> DataFrame:
+    return z.select(
+        *keep,
+        F.array_min(F.transform("_e", lambda e: F.least(e["x1"], e["x2"]))).alias("_minx"),
+        F.array_max(F.transform("_e", lambda e: F.greatest(e["x1"], e["x2"]))).alias("_maxx"),
+        F.array_min(F.transform("_e", lambda e: F.least(e["y1"], e["y2"]))).alias("_miny"),
+        F.array_max(F.transform("_e", lambda e: F.greatest(e["y1"], e["y2"]))).alias("_maxy"))
+
+
+def _auto_cell_size(z: DataFrame, most: int | None = None) -> float:
     """Cell side from the zones' own extents (one small aggregate over the zone table).
 
     About ``CELLS_PER_ZONE_SIDE`` cells across a median zone, so most cells of
     a zone are interior (no edge test); coarsened if the cover would exceed
-    ``MAX_CELLS`` cells and ``CELLS_PER_ZONE`` cells a zone.
+    ``most`` cells (default: ``MAX_CELLS`` cells and ``CELLS_PER_ZONE`` cells a zone)
+    beyond the zones' first ones.
     """
     ext = F.greatest(F.col("_maxx") - F.col("_minx"), F.col("_maxy") - F.col("_miny"))
     row = z.agg(F.percentile_approx(ext, 0.5).alias("med"),
@@ -174,7 +221,8 @@ def _auto_cell_size(z: DataFrame) -> float:
         return 1.0
     G = float(row["med"]) / CELLS_PER_ZONE_SIDE
     # cells ~ area/G^2 + perimeter/G (+ one per zone, whatever G): both terms vanish as G grows
-    while row["area"] / G ** 2 + row["perim"] / G > max(MAX_CELLS, CELLS_PER_ZONE * row["n"]):
+    most = max(MAX_CELLS, CELLS_PER_ZONE * row["n"]) if most is None else max(most - row["n"], row["n"] / 8)
+    while row["area"] / G ** 2 + row["perim"] / G > most:
         G *= 1.5
     return G
 
@@ -207,19 +255,22 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
     zones = spread(zones)
 
     z = zones.select(*[F.col(a) for a in attrs], checked_edges(F.col(geometry_col)).alias("_e")).where(F.size("_e") > 0)
+    z = z.withColumn("_z", F.monotonically_increasing_id())
     if materialize:
         checkpoint_dir(zones.sparkSession)
         z = z.checkpoint(eager=True)
-    G = float(cell_size) if cell_size != "auto" else _auto_cell_size(z.select(
-        F.array_min(F.transform("_e", lambda e: F.least(e["x1"], e["x2"]))).alias("_minx"),
-        F.array_max(F.transform("_e", lambda e: F.greatest(e["x1"], e["x2"]))).alias("_maxx"),
-        F.array_min(F.transform("_e", lambda e: F.least(e["y1"], e["y2"]))).alias("_miny"),
-        F.array_max(F.transform("_e", lambda e: F.greatest(e["y1"], e["y2"]))).alias("_maxy")))
+    G = float(cell_size) if cell_size != "auto" else _auto_cell_size(_extents(z))
+    index = finish_index(zones, _grid_cells(z, attrs, G), attrs, G, max_broadcast_bytes, materialize)
+    return replace(index, zones=z) if materialize and cell_size == "auto" else index
+
+
+def _grid_cells(z: DataFrame, attrs: list, G: float) -> DataFrame:
+    """One row per zone and cell of side ``G``, with the edges that touch the cell and its reference point's parity."""
     pad = G * _SLACK
 
     # edges to rows; per row the part of the edge inside it, and where it crosses the reference line
     zone = ["_z", *attrs]
-    edges = (z.withColumn("_z", F.monotonically_increasing_id()).select(*zone, F.explode("_e").alias("e")))
+    edges = z.select(*zone, F.explode("_e").alias("e"))
     low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
     rows = edges.withColumn("cy", F.explode(F.sequence(F.floor((low - pad) / G), F.floor((high + pad) / G))))
     e = F.col("e")
@@ -247,11 +298,9 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
         lambda s: F.transform(F.filter(F.sequence(F.floor(s["a"] / G) - 1, F.floor(s["b"] / G) + 1), lambda c: (
             ((c + REF_X) * G >= s["a"]) & ((c + REF_X) * G < s["b"]))),
             lambda c: F.struct(c.alias("cx"), F.lit(None).cast(edge_type).alias("e")))))
-    cells = (by_row.select(*zone, "cy", F.explode(F.concat(touched, inner)).alias("c"))
-             .groupBy(*zone, F.col("c.cx").alias("cx"), "cy")
-             .agg(F.collect_list("c.e").alias("edges"), F.max(F.col("c.e").isNull()).alias("inside")))
-
-    return finish_index(zones, cells, attrs, G, max_broadcast_bytes, materialize)
+    return (by_row.select(*zone, "cy", F.explode(F.concat(touched, inner)).alias("c"))
+            .groupBy(*zone, F.col("c.cx").alias("cx"), "cy")
+            .agg(F.collect_list("c.e").alias("edges"), F.max(F.col("c.e").isNull()).alias("inside")))
 
 
 def finish_index(zones: DataFrame, cells: DataFrame, attrs: list, G: float, max_broadcast_bytes: int | None, materialize: bool,
@@ -298,7 +347,6 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
         if c in points.columns:
             raise ValueError(f"reserved column {c} present")
     counted = points if source is None else source
-    index = index.near(counted, [(lon, lat)])
     cells = index.cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zones").alias("__zones"),
                                F.col("exact").alias("__exact"), F.col("first").alias("__first"))
     ok = _valid(lon, lat)
@@ -370,6 +418,7 @@ def assign_zone(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs
     ids are unique, which ``run_pipeline`` checks).
     """
     points = _check_coordinates(points, lon, lat, on_bad)
+    index = index.near(points if source is None else source, [(lon, lat)])  # its cells may be of another size
     tag = f"z{next(_ids)}"
     zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
     df = _attach_candidates(points, lon, lat, index, tag, source)
@@ -388,6 +437,7 @@ def join_zones(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs:
                predicate: str = "within", on_bad: str = "null", source: DataFrame | None = None) -> DataFrame:
     """Left join every matching zone: a point in two zones gives two rows, none gives NULLs."""
     points = _check_coordinates(points, lon, lat, on_bad)
+    index = index.near(points if source is None else source, [(lon, lat)])  # its cells may be of another size
     tag = f"z{next(_ids)}"
     zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
     df = _attach_candidates(points, lon, lat, index, tag, source)
