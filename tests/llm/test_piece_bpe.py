@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -47,6 +48,29 @@ def test_arbitrary_ids_decode_alike(library, model):
         assert decode(ids) == library.decode(ids), ids
 
 
+def test_lists_decode_at_once(library, model, monkeypatch):
+    rnd = random.Random(9)
+    texts = ["", " a", "a b  c", "naïve 日本 𝕏\x00 ﷽", "x" * 500, "\n\n", "▁"] + [t or "" for t in base_texts()]
+    ids = [None, []] + [library.encode(t) for t in texts]
+    odd = ids + [[1, 0, 2], [0], [2, 259 + 7], [3 + 0xE6], [3 + 0xE6, 300], [3 + 0x20, 5]] + [
+        [rnd.choice([rnd.randrange(32_000), rnd.randrange(3, 259), rnd.randrange(3), 259]) for _ in range(rnd.randint(0, 9))] for _ in range(500)]
+    kind = pa.list_(pa.int32())
+    decode = piece_bpe.decoder(model)
+    want = [decode(i or []) for i in odd]
+    run = piece_bpe.decode_lists(model)
+    assert run(pa.array(odd, kind)).to_pylist() == want == [library.decode(i or []) for i in odd]
+    for i, w in zip(odd, want):
+        assert run(pa.array([[5], i], kind)[1:]).to_pylist() == [w]
+    assert run(pa.array([], kind)).to_pylist() == []
+
+    def unused(model):
+        def fail(ids):
+            raise AssertionError("decoded text by text")
+        return fail
+    monkeypatch.setattr(piece_bpe, "decoder", unused)
+    assert piece_bpe.decode_lists(model)(pa.array(ids, kind)).to_pylist() == want[:len(ids)]
+
+
 def test_small_memory_changes_nothing(library, model, monkeypatch):
     monkeypatch.setattr(piece_bpe, "MEMORY", 9)
     encode = piece_bpe.encoder(model)
