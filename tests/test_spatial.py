@@ -294,3 +294,12 @@ def test_zones_near_points_get_a_grid_as_fine_as_the_limit_allows(spark, monkeyp
     got, want = ([tuple(r) for r in lookup(pts, "lon", "lat", i, {"zid": "z"}, predicate="intersects").collect()] for i in (idx, whole))
     assert sorted(got, key=str) == sorted(want, key=str)
     assert sum(r[2] is not None for r in got) >= 101
+
+
+@pytest.mark.parametrize("lookup", [assign_zone, join_zones])
+def test_reference_points_are_not_computed_edge_by_edge(spark, lookup):
+    idx = build_zone_index(_grid_of_zones(spark, 9), "zid", cell_size=0.5, materialize=True)
+    pts = spark.createDataFrame([(100.1, 0.3)], "lon double, lat double")
+    plan = lookup(pts, "lon", "lat", idx, {"zid": "z"})._jdf.queryExecution().optimizedPlan().toString()
+    tests = [line for line in plan.splitlines() if "lambdafunction" in line]
+    assert tests and not any("floor" in line.lower() for line in tests)

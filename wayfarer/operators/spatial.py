@@ -334,7 +334,7 @@ def finish_index(zones: DataFrame, cells: DataFrame, attrs: list, G: float, max_
 # ---------------------------------------------------------------- lookups
 def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex, tag: str,
                        source: DataFrame | None = None) -> DataFrame:
-    """Left join each point's cell candidates as column ``__<tag>_zones``.
+    """Left join each point's cell candidates as column ``__<tag>_zones``, and the cell's reference point as ``__<tag>_rx``, ``_ry``.
 
     ``source``: a cheaper table that holds all the same coordinates, to list the
     points' cells and to count dense ones on if the index is too large to broadcast whole.
@@ -342,13 +342,15 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
     The index side is used unchanged (same plan for every lookup on it), so
     several lookups against one zone table share one broadcast.
     """
-    reserved = ("__cx", "__cy", "__zones", "__exact", "__first")
+    reserved = ("__cx", "__cy", "__zones", "__exact", "__first", "__rx", "__ry")
     for c in reserved:
         if c in points.columns:
             raise ValueError(f"reserved column {c} present")
     counted = points if source is None else source
     cells = index.cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zones").alias("__zones"),
-                               F.col("exact").alias("__exact"), F.col("first").alias("__first"))
+                               F.col("exact").alias("__exact"), F.col("first").alias("__first"),
+                               ((F.col("cx") + REF_X) * index.cell_size).alias("__rx"),
+                               ((F.col("cy") + REF_Y) * index.cell_size).alias("__ry"))
     ok = _valid(lon, lat)
     cx, cy = index.cell_of(F.col(lon), F.col(lat))
     pts = points.withColumns({"__cx": F.when(ok, cx), "__cy": F.when(ok, cy)})
@@ -367,7 +369,7 @@ def _attach_candidates(points: DataFrame, lon: str, lat: str, index: ZoneIndex,
         joined = pts.join(cells, ["__cx", "__cy", "__salt"], "left").drop("__salt")
     return (joined.drop("__cx", "__cy")
             .withColumnsRenamed({"__zones": f"__{tag}_zones", "__exact": f"__{tag}_exact",
-                                 "__first": f"__{tag}_first"}))
+                                 "__first": f"__{tag}_first", "__rx": f"__{tag}_rx", "__ry": f"__{tag}_ry"}))
 
 
 def _valid(lon: str, lat: str) -> Column:
@@ -376,9 +378,10 @@ def _valid(lon: str, lat: str) -> Column:
             & ~F.isnan(F.col(lon).cast("double")) & ~F.isnan(F.col(lat).cast("double")))
 
 
-def _matches(zs: Column, lon: str, lat: str, predicate: str, index: ZoneIndex) -> Column:
-    px, py, cell = F.col(lon), F.col(lat), index.cell_size
-    rx, ry = (F.floor(px / cell) + REF_X) * cell, (F.floor(py / cell) + REF_Y) * cell
+def _matches(tag: str, lon: str, lat: str, predicate: str, index: ZoneIndex) -> Column:
+    zs, px, py = F.col(f"__{tag}_zones"), F.col(lon), F.col(lat)
+    # a column of the index: as an expression of the point it would be computed for every edge anew
+    rx, ry = F.col(f"__{tag}_rx"), F.col(f"__{tag}_ry")
 
     def test(z):
         inside = inside_even_odd(z["inside"], z["edges"], px, py, rx, ry)
@@ -390,7 +393,7 @@ def _matches(zs: Column, lon: str, lat: str, predicate: str, index: ZoneIndex) -
         raise ValueError(f"unknown predicate {predicate!r}")
     if index.geodesic:
         from . import geodesic
-        return geodesic.matches(zs, px, py, cell, predicate)
+        return geodesic.matches(zs, px, py, index.cell_size, predicate)
     return F.filter(zs, test)
 
 
@@ -423,13 +426,13 @@ def assign_zone(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs
     zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
     df = _attach_candidates(points, lon, lat, index, tag, source)
     picked = f"__{tag}_pick"
-    hit = _matches(F.col(zs), lon, lat, predicate, index)
+    hit = _matches(tag, lon, lat, predicate, index)
     tested = F.array_min(F.transform(hit, lambda z: F.struct(*[z[a].alias(a) for a in index.attrs])))
     # cells wholly inside their candidates skip the per-point test (CASE is lazy)
     pick = F.when(F.col(exact) & F.col(lon).isNotNull() & F.col(lat).isNotNull(), F.col(first)).otherwise(tested)
     if id_col is not None:
         pick = F.when(F.col(id_col).isNotNull(), pick)
-    df = df.withColumn(picked, pick).drop(zs, exact, first)
+    df = df.withColumn(picked, pick).drop(zs, exact, first, f"__{tag}_rx", f"__{tag}_ry")
     return df.withColumns({out: F.col(picked)[a] for a, out in outputs.items()}).drop(picked)
 
 
@@ -442,9 +445,9 @@ def join_zones(points: DataFrame, lon: str, lat: str, index: ZoneIndex, outputs:
     zs, exact, first = f"__{tag}_zones", f"__{tag}_exact", f"__{tag}_first"
     df = _attach_candidates(points, lon, lat, index, tag, source)
     one = f"__{tag}_one"
-    hit = F.when(F.col(exact), F.col(zs)).otherwise(_matches(F.col(zs), lon, lat, predicate, index))
+    hit = F.when(F.col(exact), F.col(zs)).otherwise(_matches(tag, lon, lat, predicate, index))
     df = df.withColumn(one, F.explode_outer(F.transform(hit, lambda z: F.struct(*[z[a].alias(a) for a in index.attrs]))))
-    return df.drop(zs, exact, first).withColumns({out: F.col(one)[a] for a, out in outputs.items()}).drop(one)
+    return df.drop(zs, exact, first, f"__{tag}_rx", f"__{tag}_ry").withColumns({out: F.col(one)[a] for a, out in outputs.items()}).drop(one)
 
 
 def one_zone_per_id(points: DataFrame, id_col: str, outputs: list[str]) -> DataFrame:
