@@ -121,3 +121,29 @@ def test_impossible_vertices_fail(spark, bad):
     zone = [(1, [[{"lon": None if x is None else float(x), "lat": float(y)} for x, y in bad]])]
     with pytest.raises(Exception, match="zone"):
         names(spark, zone, [("p", 1.0, 1.0)])
+
+
+def test_zones_beyond_180_degrees_hold_no_point_there(spark):
+    zones = [(1, [ring((179.9, 0), (180.1, 0.001), (180.1, 0.1), (179.9, 0.1))]), (2, [ring((-180.1, 1), (-179.9, 1), (-179.9, 1.1), (-180.1, 1.1))]),
+             (3, [ring((200, 0), (200.1, 0), (200.1, 0.1), (200, 0.1))]), (4, [ring((-160.5, 0), (-159.5, 0), (-159.5, 0.3), (-160.5, 0.3))])]
+    points = [("in", 179.95, 0.05), ("beyond", -179.95, 0.05), ("in2", -179.95, 1.05), ("beyond2", 179.95, 1.05), ("turned", -159.95, 0.05), ("below", 179.95, -0.01)]
+    clipped = names(spark, zones, points, index=lambda *a, **k: build_geodesic_index(*a, **k, off_globe="clip"))
+    assert clipped == {"in": 1, "beyond": None, "in2": 2, "beyond2": None, "turned": 4, "below": None}
+    assert clipped == names(spark, zones, points, index=build_zone_index)
+
+
+def test_query_with_zones_beyond_180_degrees_matches_oracle(spark, tmp_dir):
+    """Part keys of a million put zones far beyond the globe."""
+    import duckdb
+    import __spark_entry__ as E
+    con = duckdb.connect()
+    con.execute("CREATE TABLE part AS SELECT CAST(k AS BIGINT) AS p_partkey, CAST(k % 50 AS INTEGER) AS p_size FROM (SELECT unnest(range(0, 20000, 3)) k UNION ALL SELECT unnest(range(580000, 586000, 50)) UNION ALL SELECT 1171459)")
+    con.execute("CREATE TABLE customer AS SELECT unnest(range(300)) AS c_custkey, CAST(NULL AS DOUBLE) AS c_acctbal")
+    con.execute("CREATE TABLE nation AS SELECT CAST(unnest(range(25)) AS INTEGER) AS n_nationkey, CAST(0 AS INTEGER) AS n_regionkey")
+    for t in ("part", "customer", "nation"):
+        con.execute(f"COPY {t} TO '{tmp_dir}/{t}.parquet' (FORMAT parquet)")
+    found = E.queries()["zone_geodesic_within"](spark, tmp_dir).collect()
+    expected = con.execute(E.oracle_sql()["zone_geodesic_within"]).fetchall()
+    key = lambda r: tuple(-1 if v is None else v for v in r)
+    assert sorted((tuple(r) for r in found), key=key) == sorted(expected, key=key)
+    assert sum(r.zone is not None for r in found) > 10

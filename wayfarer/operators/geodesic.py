@@ -14,6 +14,8 @@ The cell side is 180 / 2^m degrees, so that cell borders meet the antimeridian a
 the poles exactly.  Lookups are those of ``spatial`` (``assign_zone``, ``join_zones``):
 the path from a cell's reference point follows a parallel, then a meridian.
 
+Zones with longitudes beyond 180 degrees are refused, or clipped to the globe (``off_globe``).
+
 On the boundary are the vertices, the points of meridional edges and those with a product of exactly 0.
 """
 
@@ -133,24 +135,32 @@ def cell_of(lon: Column, lat: Column, cell: float) -> tuple[Column, Column]:
 
 
 def build_geodesic_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str = "geometry", cell_size: float | str = "auto",
-                         max_broadcast_bytes: int | None = None, materialize: bool = False) -> spatial.ZoneIndex:
+                         max_broadcast_bytes: int | None = None, materialize: bool = False, off_globe: str = "raise") -> spatial.ZoneIndex:
     """Grid index of ``zones`` with geodesic edges, for ``spatial.assign_zone`` and ``spatial.join_zones``.
 
     Vertices must be on the globe (|lon| <= 180, |lat| <= 90) and no edge may join
     antipodes; the job fails otherwise.  ``cell_size`` is rounded down to 180 / 2^m.
+    ``off_globe="clip"``: what lies beyond 180 degrees of longitude holds no point, as in the planar
+    index; the rest of the zone stands.  Latitudes beyond 90 degrees fail the job in any case.
     """
+    if off_globe not in ("raise", "clip"):
+        raise ValueError(f"off_globe must be 'raise' or 'clip', not {off_globe!r}")
     attrs = [id_col, *[a for a in attrs if a != id_col]]
     zones = spatial.spread(zones)
     rings = F.transform(F.col(geometry_col), lambda r: spatial.checked_edges(F.array(r)))
     z = (zones.select(*attrs, rings.alias("_r")).withColumn("_south", _holds_south_pole(F.col("_r")))
-         .withColumn("_e", F.flatten(F.transform(F.flatten("_r"), _pieces))).drop("_r").where(F.size("_e") > 0))
-    wrong = lambda e: ((F.abs(e["x1"]) > 180) | (F.abs(e["x2"]) > 180) | (F.abs(e["y1"]) > 90) | (F.abs(e["y2"]) > 90)
+         .withColumn("_e", F.flatten(F.transform(F.flatten("_r"), _pieces))).drop("_r"))
+    far = lambda e: (F.abs(e["x1"]) > 180) | (F.abs(e["x2"]) > 180) if off_globe == "raise" else F.lit(False)
+    wrong = lambda e: (far(e) | (F.abs(e["y1"]) > 90) | (F.abs(e["y2"]) > 90)
                        | ((e["x1"] == e["x2"]) & (e["y1"] == e["y2"]) & (F.abs(e["y1"]) == 0) & (F.abs(e["nx"]) > 0)))
     z = z.withColumn("_e", F.when(F.exists("_e", wrong), F.raise_error(F.concat(
         F.lit("zone off the globe or with antipodal vertices: "), F.col(id_col).cast("string")))).otherwise(F.col("_e")))
+    if off_globe == "clip":     # edges are cut at the border columns below
+        z = z.withColumn("_e", F.filter("_e", lambda e: (e["x1"] <= 180) & (e["x2"] >= -180)))
     if materialize:
         checkpoint_dir(zones.sparkSession)
         z = z.checkpoint(eager=True)
+    z = z.where(F.size("_e") > 0)   # behind the checkpoint: before it, Spark moves it to the few tasks that read the file
     if cell_size == "auto":
         def ends(side: str, keep) -> Column:
             return F.transform(F.filter("_e", keep), lambda e: e[side])

@@ -254,11 +254,12 @@ def build_zone_index(zones: DataFrame, id_col: str, attrs=(), geometry_col: str
     attrs = [id_col, *[a for a in attrs if a != id_col]]
     zones = spread(zones)
 
-    z = zones.select(*[F.col(a) for a in attrs], checked_edges(F.col(geometry_col)).alias("_e")).where(F.size("_e") > 0)
+    z = zones.select(*[F.col(a) for a in attrs], checked_edges(F.col(geometry_col)).alias("_e"))
     z = z.withColumn("_z", F.monotonically_increasing_id())
     if materialize:
         checkpoint_dir(zones.sparkSession)
         z = z.checkpoint(eager=True)
+    z = z.where(F.size("_e") > 0)   # behind the checkpoint: before it, Spark moves it to the few tasks that read the file
     G = float(cell_size) if cell_size != "auto" else _auto_cell_size(_extents(z))
     index = finish_index(zones, _grid_cells(z, attrs, G), attrs, G, max_broadcast_bytes, materialize)
     return replace(index, zones=z) if materialize and cell_size == "auto" else index

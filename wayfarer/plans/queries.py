@@ -206,7 +206,7 @@ def zone_geodesic_intersects(i: Inputs) -> DataFrame:
 def zone_geodesic_within(i: Inputs) -> DataFrame:
     h = homes = i.core_hh.select("hh_id", "home_lon", "home_lat")
     h = spatial.join_zones(h, "home_lon", "home_lat", zones.zone_index(_wide_zones(i), geodesic=True, materialize=True), {"CO_TAZID": "wide_zone"})
-    small = zones.zone_index(zones.zones_from_quads(i.taz_v4), geodesic=True, materialize=True)
+    small = zones.zone_index(zones.zones_from_quads(i.taz_v4), geodesic=True, materialize=True, off_globe="clip")
     return spatial.join_zones(h, "home_lon", "home_lat", small, {"CO_TAZID": "zone"}, source=homes).select("hh_id", "wide_zone", "zone")
 
 

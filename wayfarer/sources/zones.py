@@ -141,7 +141,12 @@ def load_zones(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return zones_from_quads(fixtures.load(spark, sf_dir, name))
 
 
-def zone_index(zones: DataFrame, cell_size: float | str = DEFAULT_CELL_SIZE, materialize: bool = False, geodesic: bool = False) -> ZoneIndex:
-    """Index of a zone table; ``geodesic``: edges are great-circle arcs instead of segments in the plane of degrees."""
-    build = build_geodesic_index if geodesic else build_zone_index
-    return build(zones, "CO_TAZID", ZONE_ATTRS, "geometry", cell_size=cell_size, materialize=materialize)
+def zone_index(zones: DataFrame, cell_size: float | str = DEFAULT_CELL_SIZE, materialize: bool = False, geodesic: bool = False,
+               off_globe: str = "raise") -> ZoneIndex:
+    """Index of a zone table; ``geodesic``: edges are great-circle arcs instead of segments in the plane of degrees.
+
+    ``off_globe``: what ``build_geodesic_index`` does with longitudes beyond 180 degrees (planar zones may have any).
+    """
+    if geodesic:
+        return build_geodesic_index(zones, "CO_TAZID", ZONE_ATTRS, "geometry", cell_size=cell_size, materialize=materialize, off_globe=off_globe)
+    return build_zone_index(zones, "CO_TAZID", ZONE_ATTRS, "geometry", cell_size=cell_size, materialize=materialize)
