@@ -80,3 +80,28 @@ def test_drive_work_reads_only_needed_trip_columns(spark):
     for s in schemas:
         cols = {c.split(":")[0] for c in s.split(",")}
         assert cols <= {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"}, s
+
+
+def _nodes(node):
+    yield node
+    for k in range(node.children().size()):
+        yield from _nodes(node.children().apply(k))
+
+
+@pytest.mark.parametrize("name, key", [("trip_linked", "__u_day_id"), ("trip_linked", "__cx"), ("trip_unlinked", "__cx")])
+def test_passthrough_columns_travel_as_one_struct(spark, name, key):
+    """Joins and lookups do not copy the wide trip rows column by column."""
+    df = E.queries()[name](spark, SF)
+    joins = [n for n in _nodes(df._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Join" and key in n.condition().toString()]
+    assert joins and all(n.output().size() <= 60 for n in joins), [n.output().size() for n in joins]
+
+
+def test_method_limit_is_set_unless_the_session_has_one(spark):
+    from wayfarer.session import limit_methods
+    key = "spark.sql.codegen.hugeMethodLimit"
+    other = spark.newSession()
+    other.conf.set(key, "5000")
+    limit_methods(other)
+    assert other.conf.get(key) == "5000"
+    E.queries()["day"](spark, SF)
+    assert spark.conf.get(key) == "8000"

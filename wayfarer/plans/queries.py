@@ -16,6 +16,7 @@ from ..functions import codes
 from ..functions import recode as R
 from ..functions.columns import clock_hhm, minutes_after_midnight, star_except
 from ..operators import keys, spatial
+from ..session import limit_methods
 from ..sources import fixtures, zones
 from . import tables as T
 
@@ -25,6 +26,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        limit_methods(spark)
         self._zones = {}
 
     def __getattr__(self, name: str) -> DataFrame:
