@@ -197,3 +197,26 @@ def test_shared_shingles_are_counted_without_a_row_for_each(spark):
     assert got == {v: min(n, params.rare + 1) for v, n in want.items() if n > 1}
     assert max(got.values()) == params.rare + 1 and min(got.values()) == 2
     assert "HashAggregate" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_near_copies_of_frequent_shingles_meet_for_certain(spark):
+    """Pairs whose common shingles all count as frequent meet by their common runs, whatever the min-hashes say."""
+    rnd, texts, pairs = random.Random(12), [], []
+    for i in range(200):
+        words, other = near_pair(rnd, 400_000 + i)
+        pairs.append((len(texts), len(texts) + 1, len(words)))
+        texts += [" ".join(prose(40, 500_000 + 2 * i + k).lower().split() + w) for k, w in enumerate((words, other))]
+    got = spans(S.duplicate_passages(awkward(spark, texts), params=S.Params(rare=1)))
+    assert [p for p in pairs if min(len(got[p[0]]), len(got[p[1]])) < 0.8 * p[2]] == []
+
+
+def test_covered_shingles_are_those_of_any_dense_stretch():
+    rnd = np.random.default_rng(6)
+    for _ in range(200):
+        match, least = rnd.random(rnd.integers(1, 60)) < rnd.choice([0.5, 0.8, 0.95]), int(rnd.integers(1, 20))
+        want = np.zeros(len(match), dtype=bool)
+        for s in range(len(match)):
+            for e in range(s + least, len(match) + 1):
+                if match[s:e].sum() >= 0.8 * (e - s) - 1e-9:
+                    want[s:e] = True
+        assert (S._covered(match, 0.8, least) == want).all()
